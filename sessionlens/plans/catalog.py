@@ -6,7 +6,7 @@ import importlib
 
 from sessionlens.plans.registry import REGISTRY
 
-_MODULES = ["q_profile", "q_features"]
+_MODULES = ["q_clean", "q_impute", "q_joins", "q_profile", "q_features", "q_time"]
 
 
 def load() -> dict:
