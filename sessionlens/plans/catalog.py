@@ -6,7 +6,7 @@ import importlib
 
 from sessionlens.plans.registry import REGISTRY
 
-_MODULES = ["q_clean", "q_impute", "q_joins", "q_profile", "q_features", "q_time"]
+_MODULES = ["q_clean", "q_impute", "q_joins", "q_profile", "q_features", "q_time", "q_splits"]
 
 
 def load() -> dict:
