@@ -47,13 +47,19 @@ def time_since_prev(df: DataFrame) -> DataFrame:
               .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0))
 
 
-def recent_session_ctr(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
-    """Users with more than 2 rows, rows after their first: CTR with and
-    without a row of the user in the previous ``within_hours``, and the lift
-    (with - without) / without."""
+def recent_session_rows(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
+    """Rows after the first of users with more than 2 rows, flagged
+    ``had_recent_session`` when the user's previous row is at most
+    ``within_hours`` earlier."""
     t = time_since_prev(df).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("user_id")))
-    f = t.where((F.col("_n") > 2) & F.col("hours_since_prev").isNotNull())
-    f = f.withColumn("had_recent_session", (F.col("hours_since_prev") <= within_hours).cast("int"))
+    f = t.where((F.col("_n") > 2) & F.col("hours_since_prev").isNotNull()).drop("_n")
+    return f.withColumn("had_recent_session", (F.col("hours_since_prev") <= within_hours).cast("int"))
+
+
+def recent_session_ctr(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
+    """CTR with and without a recent row (see ``recent_session_rows``) and
+    the lift (with - without) / without."""
+    f = recent_session_rows(df, within_hours)
     g = f.agg(F.avg(F.when(F.col("had_recent_session") == 1, F.col(TARGET))).alias("ctr_with_recent"),
               F.avg(F.when(F.col("had_recent_session") == 0, F.col(TARGET))).alias("ctr_without_recent"),
               F.count(F.lit(1)).alias("rows"))
