@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day
 from sessionlens.schema import ROW_ORD, TARGET
+from sessionlens.session import cut_lineage, maybe_cut_lineage
 
 
 @dataclass(frozen=True)
@@ -127,10 +128,31 @@ def _prep(df: DataFrame) -> DataFrame:
     return df.withColumn("_date", F.to_date("DateTime"))
 
 
-def _ut_table(d: DataFrame) -> DataFrame:
+# The finest grain every grouped feature can be rolled up from. Rows that
+# agree on all of these are interchangeable for the aggregates, so the input
+# is read once into this table and every coarser table (whose shuffles Spark
+# reuses) derives from it.
+_BASE_KEYS = ["user_id", "DateTime", "product", "product_category", "campaign_id", "webpage_id",
+              "secondary_product_category_known", "city_development_index_known", "var_1"]
+
+
+def _base_groups(d: DataFrame, materialize=True) -> DataFrame:
+    """Rows per distinct base key, and the first row (order) of each.
+
+    When materialized (the default) the table is checkpointed (reliable,
+    into the shared checkpoint folder): the input is scanned once for all
+    grouped features instead of once per consumer, and the lineage of
+    everything built on it is cut there. "auto" materializes only when
+    Catalyst estimates the input above ``MATERIALIZE_MIN_BYTES``.
+    """
+    g0 = d.groupBy(*_BASE_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(ROW_ORD).alias("_ord"))
+    return maybe_cut_lineage(g0, materialize, source=d)
+
+
+def _ut_table(g0: DataFrame) -> DataFrame:
     """(user, DateTime) grain."""
-    return d.groupBy("user_id", "DateTime").agg(
-        F.count(F.lit(1)).alias("_n_ut"),
+    return g0.groupBy("user_id", "DateTime").agg(
+        F.sum("_n").alias("_n_ut"),
         _nuniq("product").alias("_nu_prod_ut"),
         _nuniq("webpage_id").alias("_nu_web_ut"),
         _mixed("secondary_product_category_known").alias("session_mixed_secondary_product_category_known"),
@@ -139,11 +161,11 @@ def _ut_table(d: DataFrame) -> DataFrame:
     )
 
 
-def _ud_table(d: DataFrame) -> DataFrame:
+def _ud_table(g0: DataFrame) -> DataFrame:
     """(user, day) grain, with the per-day high-volume threshold."""
-    ud = d.groupBy("user_id", "_date").agg(
-        F.count(F.lit(1)).alias("_n_ud"),
-        F.count("webpage_id").alias("_web_ud"),
+    ud = g0.withColumn("_date", F.to_date("DateTime")).groupBy("user_id", "_date").agg(
+        F.sum("_n").alias("_n_ud"),
+        F.coalesce(F.sum(F.when(F.col("webpage_id").isNotNull(), F.col("_n"))), F.lit(0)).alias("_web_ud"),
         _nuniq("product").alias("_nu_prod_ud"),
         _nuniq("campaign_id").alias("_nu_camp_ud"),
         _nuniq("webpage_id").alias("_nu_web_ud"),
@@ -155,14 +177,14 @@ def _ud_table(d: DataFrame) -> DataFrame:
     return join_null_safe(ud, thr, ["_date"])
 
 
-def _user_table(d: DataFrame, ut: DataFrame, ud: DataFrame) -> DataFrame:
-    """User grain: rolled up from the finer tables and from the rows."""
-    rows = d.groupBy("user_id").agg(
+def _user_table(g0: DataFrame, ut: DataFrame, ud: DataFrame) -> DataFrame:
+    """User grain, rolled up from the finer tables."""
+    rows = g0.groupBy("user_id").agg(
         _nuniq("product").alias("_nu_prod"),
         _nuniq("product_category").alias("_nu_cat"),
         _nuniq("campaign_id").alias("_nu_camp"),
         _nuniq("webpage_id").alias("_nu_web"),
-        F.sum(early_morning("DateTime").cast("int")).alias("_early"),
+        F.sum(F.when(early_morning("DateTime"), F.col("_n")).otherwise(0)).alias("_early"),
         _mixed("city_development_index_known").alias("mixed_city_development_index_known"),
         _mixed("secondary_product_category_known").alias("mixed_product_category_2_known"),
         F.coalesce((F.max("var_1") == F.min("var_1")).cast("int"), F.lit(0)).alias("user_uniform_var1"),
@@ -176,29 +198,35 @@ def _user_table(d: DataFrame, ut: DataFrame, ud: DataFrame) -> DataFrame:
         F.ceil(F.avg("_nu_web_ud")).alias("_div_web"),
         F.max("_nu_hour_ud").alias("_max_hours"),
     )
-    ident = (d.where(F.col("product").isNotNull() & F.col("campaign_id").isNotNull()
-                     & F.col("webpage_id").isNotNull())
-              .groupBy("user_id", "product", "campaign_id", "webpage_id").agg(F.count(F.lit(1)).alias("_n"))
-              .groupBy("user_id").agg(F.max("_n").alias("_max_ident")))
-    u = (rows.join(from_ut, "user_id", "left").join(from_ud, "user_id", "left")
-             .join(ident, "user_id", "left"))
-    # 0.99 quantile over users of the max rows per timestamp: one number
-    thr = u.agg(F.percentile("_max_ut", F.lit(EXCESS_DUP_QUANTILE)).alias("_thr99"))
-    return u.crossJoin(F.broadcast(thr))
+    ident = (g0.where(F.col("product").isNotNull() & F.col("campaign_id").isNotNull()
+                      & F.col("webpage_id").isNotNull())
+               .groupBy("user_id", "product", "campaign_id", "webpage_id").agg(F.sum("_n").alias("_n"))
+               .groupBy("user_id").agg(F.max("_n").alias("_max_ident")))
+    u = (join_null_safe(rows, from_ut, ["user_id"]))
+    return join_null_safe(join_null_safe(u, from_ud, ["user_id"]), ident, ["user_id"])
+
+
+def _excess_threshold(grain: DataFrame) -> DataFrame:
+    """One row: the 0.99 quantile over users of their max rows per
+    timestamp (exact; the buffer holds distinct counts, not users)."""
+    per_user = grain.where(F.col("_max_ut").isNotNull()).groupBy("user_id").agg(F.max("_max_ut").alias("m"))
+    return per_user.agg(F.percentile("m", F.lit(EXCESS_DUP_QUANTILE)).alias("_thr99"))
 
 
-def _first_seen(d: DataFrame, key: str, name: str) -> DataFrame:
-    okey = F.struct(F.col("DateTime").isNull(), F.col("DateTime"), F.col(ROW_ORD))
-    return (d.where(F.col(key).isNotNull() & F.col("user_id").isNotNull())
-             .groupBy("user_id", key).agg(F.min(okey).alias(name)))
+def _first_seen(g0: DataFrame, key: str, name: str) -> DataFrame:
+    """Row order of the first (time, then row order) row of each (user, value)."""
+    okey = F.struct(F.col("DateTime").isNull(), F.col("DateTime"), F.col("_ord"))
+    return (g0.where(F.col(key).isNotNull() & F.col("user_id").isNotNull())
+              .groupBy("user_id", key).agg(F.min(okey)["_ord"].alias(name)))
 
 
-_ORDER = [F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD).asc()]
+def _order():
+    return [F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD).asc()]
 
 
 def _seq_columns(d: DataFrame, needed: set) -> DataFrame:
     if "prev_session_same_product" in needed:
-        w = Window.partitionBy("user_id").orderBy(*_ORDER)
+        w = Window.partitionBy("user_id").orderBy(*_order())
         prev = F.lag("product").over(w)
         d = d.withColumn("prev_session_same_product",
                          F.when(F.col("user_id").isNull(), 0)
@@ -233,45 +261,45 @@ _FIRST = {"has_viewed_product_before": "product", "has_viewed_category_before":
 
 def _feature_expr(name: str) -> Column:
     c = F.col
-    guard = c("user_id").isNotNull()
+    guard = c("user_id").isNotNull() if name in _FIRST else None
     exprs = {
-        "daily_sessions_count": clip_upper(c("_n_ud"), 10),
-        "daily_webpage_count": clip_upper(c("_web_ud"), 10),
-        "is_high_volume_user": F.coalesce((c("_n_ud") >= c("_thr")).cast("int"), F.lit(0)),
-        "session_time_of_day": time_of_day("DateTime"),
-        "session_day_of_week": F.weekday("DateTime"),
-        "duplicate_timestamp_session_count": clip_upper(c("_max_ut") - 1, 10),
-        "product_diversity_same_timestamp": clip_upper(c("_nu_prod_ut"), 5),
-        "webpage_diversity_same_timestamp": clip_upper(c("_nu_web_ut"), 5),
-        "session_mixed_secondary_product_category_known": c("session_mixed_secondary_product_category_known"),
-        "session_mixed_city_development_index_known": c("session_mixed_city_development_index_known"),
-        "session_mixed_var1": c("session_mixed_var1"),
-        "distinct_products_count": clip_upper(c("_nu_prod"), 4),
-        "distinct_categories_count": clip_upper(c("_nu_cat"), 4),
-        "distinct_campaigns_count": clip_upper(c("_nu_camp"), 4),
-        "distinct_webpages_count": clip_upper(c("_nu_web"), 4),
-        "total_active_days": F.coalesce(c("_days"), F.lit(0)),
-        "sessions_with_min_gap_count": clip_upper(F.coalesce(c("_gaps"), F.lit(0)), 5),
-        "excess_duplicate_timestamps": F.coalesce((c("_max_ut") >= c("_thr99")).cast("int"), F.lit(0)),
-        "early_morning_sessions_count": clip_upper(c("_early"), 4),
-        "user_product_diversity": clip_upper(c("_div_prod"), 5),
-        "user_campaign_diversity": clip_upper(c("_div_camp"), 5),
-        "user_webpage_diversity": clip_upper(c("_div_web"), 5),
-        "same_timestamp_session_count": clip_upper(c("_n_ut"), 6),
-        "max_daily_user_activity_spread": F.coalesce(c("_max_hours"), F.lit(0)),
-        "max_same_timestamp_session_count": F.coalesce(clip_upper(c("_max_ut"), 6), F.lit(0)),
-        "many_identical_sessions": F.coalesce(clip_upper(c("_max_ident"), 6), F.lit(0)),
-        "mixed_city_development_index_known": c("mixed_city_development_index_known"),
-        "mixed_product_category_2_known": c("mixed_product_category_2_known"),
-        "user_uniform_var1": c("user_uniform_var1"),
-        "prev_session_same_product": c("prev_session_same_product"),
-        "daily_session_sequence": c("daily_session_sequence"),
+        "daily_sessions_count": lambda: clip_upper(c("_n_ud"), 10),
+        "daily_webpage_count": lambda: clip_upper(c("_web_ud"), 10),
+        "is_high_volume_user": lambda: F.coalesce((c("_n_ud") >= c("_thr")).cast("int"), F.lit(0)),
+        "session_time_of_day": lambda: time_of_day("DateTime"),
+        "session_day_of_week": lambda: F.weekday("DateTime"),
+        "duplicate_timestamp_session_count": lambda: clip_upper(c("_max_ut") - 1, 10),
+        "product_diversity_same_timestamp": lambda: clip_upper(c("_nu_prod_ut"), 5),
+        "webpage_diversity_same_timestamp": lambda: clip_upper(c("_nu_web_ut"), 5),
+        "session_mixed_secondary_product_category_known": lambda: c("session_mixed_secondary_product_category_known"),
+        "session_mixed_city_development_index_known": lambda: c("session_mixed_city_development_index_known"),
+        "session_mixed_var1": lambda: c("session_mixed_var1"),
+        "distinct_products_count": lambda: clip_upper(c("_nu_prod"), 4),
+        "distinct_categories_count": lambda: clip_upper(c("_nu_cat"), 4),
+        "distinct_campaigns_count": lambda: clip_upper(c("_nu_camp"), 4),
+        "distinct_webpages_count": lambda: clip_upper(c("_nu_web"), 4),
+        "total_active_days": lambda: F.coalesce(c("_days"), F.lit(0)),
+        "sessions_with_min_gap_count": lambda: clip_upper(F.coalesce(c("_gaps"), F.lit(0)), 5),
+        "excess_duplicate_timestamps": lambda: F.coalesce((c("_max_ut") >= c("_thr99")).cast("int"), F.lit(0)),
+        "early_morning_sessions_count": lambda: clip_upper(c("_early"), 4),
+        "user_product_diversity": lambda: clip_upper(c("_div_prod"), 5),
+        "user_campaign_diversity": lambda: clip_upper(c("_div_camp"), 5),
+        "user_webpage_diversity": lambda: clip_upper(c("_div_web"), 5),
+        "same_timestamp_session_count": lambda: clip_upper(c("_n_ut"), 6),
+        "max_daily_user_activity_spread": lambda: F.coalesce(c("_max_hours"), F.lit(0)),
+        "max_same_timestamp_session_count": lambda: F.coalesce(clip_upper(c("_max_ut"), 6), F.lit(0)),
+        "many_identical_sessions": lambda: F.coalesce(clip_upper(c("_max_ident"), 6), F.lit(0)),
+        "mixed_city_development_index_known": lambda: c("mixed_city_development_index_known"),
+        "mixed_product_category_2_known": lambda: c("mixed_product_category_2_known"),
+        "user_uniform_var1": lambda: c("user_uniform_var1"),
+        "prev_session_same_product": lambda: c("prev_session_same_product"),
+        "daily_session_sequence": lambda: c("daily_session_sequence"),
     }
     for n, key in _FIRST.items():
-        okey = F.struct(c("DateTime").isNull(), c("DateTime"), c(ROW_ORD))
-        exprs[n] = F.when(guard & c(key).isNotNull() & c(f"_first_{key}").isNotNull(),
-                          (okey != c(f"_first_{key}")).cast("int")).otherwise(F.lit(0))
-    return exprs[name]
+        if n == name:
+            return F.when(guard & c(key).isNotNull() & c(f"_first_{key}").isNotNull(),
+                          (c(ROW_ORD) != c(f"_first_{key}")).cast("int")).otherwise(F.lit(0))
+    return exprs[name]()
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -288,11 +316,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(r, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
-def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,)) -> DataFrame:
+def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True) -> DataFrame:
     """Columns ``keep`` + the requested features (default: the registry,
     in registry order) + the target when present, cast by the registry.
 
-    Only the grain tables a requested feature needs are built.
+    Only the grain tables a requested feature needs are built. The base
+    aggregate and the grouped-feature table are checkpointed (eager jobs);
+    ``materialize`` = False / "auto" skips / sizes the first checkpoint.
     """
     names = list(names) if names is not None else FEATURE_NAMES
     needed = set(names)
@@ -302,21 +332,29 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,)) -> DataFrame:
     need_u = bool(needed & _U)
     # one table keyed by (user_id, DateTime) holding every grouped feature
     grain = None
+    need_first = bool(needed & set(_FIRST))
+    g0 = _base_groups(d, materialize) if (need_ut or need_ud or need_u or need_first) else None
     if need_ut or need_ud or need_u:
-        ut = _ut_table(d)
+        ut = _ut_table(g0)
         grain = ut.withColumn("_date", F.to_date("DateTime"))
-        ud = _ud_table(d) if (need_ud or need_u) else None
+        ud = _ud_table(g0) if (need_ud or need_u) else None
         if need_ud:
             grain = join_null_safe(grain, ud, ["user_id", "_date"])
         if need_u:
-            grain = join_null_safe(grain, _user_table(d, ut, ud), ["user_id"])
-        grain = grain.drop("_date")
+            grain = join_null_safe(grain, _user_table(g0, ut, ud), ["user_id"])
+        # The grouped-feature table is an aggregate (at most one row per
+        # user and timestamp). Checkpointing it keeps the row-side plan
+        # small (Catalyst would otherwise re-optimize every rollup inside
+        # it) and makes it a reliable restart point.
+        grain = cut_lineage(grain.drop("_date"))
+        if need_u:
+            grain = grain.crossJoin(F.broadcast(_excess_threshold(grain)))
     rows = _seq_columns(d, needed)
     if grain is not None:
         rows = join_null_safe(rows, grain, ["user_id", "DateTime"])
     for n, key in _FIRST.items():
         if n in needed:
-            rows = join_null_safe(rows, _first_seen(d, key, f"_first_{key}"), ["user_id", key])
+            rows = join_null_safe(rows, _first_seen(g0, key, f"_first_{key}"), ["user_id", key])
     out = []
     for c in keep:
         if c in rows.columns:
@@ -332,9 +370,9 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,)) -> DataFrame:
     return rows.select(*out)
 
 
-def prepare_features(df: DataFrame, keep=(ROW_ORD,)) -> DataFrame:
+def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True) -> DataFrame:
     """All 43 registry features + target, in registry order (row 110)."""
-    return compute_features(df, FEATURE_NAMES, keep)
+    return compute_features(df, FEATURE_NAMES, keep, materialize)
 
 
 def most_common_time_of_day(df: DataFrame) -> DataFrame:
@@ -350,6 +388,6 @@ def most_common_time_of_day(df: DataFrame) -> DataFrame:
 
 def grain_summary(df: DataFrame) -> dict:
     """The three grain tables (for inspection and tests)."""
-    d = _prep(df)
-    ut, ud = _ut_table(d), _ud_table(d)
-    return {"ut": ut, "ud": ud, "u": _user_table(d, ut, ud)}
+    g0 = _base_groups(_prep(df))
+    ut, ud = _ut_table(g0), _ud_table(g0)
+    return {"ut": ut, "ud": ud, "u": _user_table(g0, ut, ud)}

@@ -74,6 +74,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "sessionlens", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (no job is run)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return -1
+
+
+# Inputs above this estimate are worth a reliable checkpoint before they
+# feed several aggregations (one scan instead of one per consumer).
+MATERIALIZE_MIN_BYTES = 256 << 20
+
+
+def maybe_cut_lineage(df: DataFrame, materialize="auto", source: DataFrame | None = None) -> DataFrame:
+    """``cut_lineage`` when asked, or ("auto") when the source is large."""
+    if materialize == "auto":
+        size = estimated_bytes(source if source is not None else df)
+        materialize = size < 0 or size >= MATERIALIZE_MIN_BYTES
+    return cut_lineage(df) if materialize else df
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never localCheckpoint):
     the result survives the loss of the executors that computed it."""
