@@ -6,7 +6,7 @@ import importlib
 
 from sessionlens.plans.registry import REGISTRY
 
-_MODULES = ["q_clean", "q_impute", "q_joins", "q_profile", "q_features", "q_time", "q_splits", "q_metrics", "q_models"]
+_MODULES = ["q_clean", "q_impute", "q_joins", "q_profile", "q_features", "q_time", "q_splits", "q_metrics", "q_models", "q_io"]
 
 
 def load() -> dict:

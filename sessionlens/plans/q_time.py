@@ -98,12 +98,6 @@ def q_union_splits(spark, sf_dir):
     return setops.union_splits(*parts)
 
 
-@register("union_sources", sql="""SELECT DISTINCT * EXCLUDE (row_ord) FROM (
-  SELECT * FROM wide UNION ALL SELECT * FROM narrow)""")
-def q_union_sources(spark, sf_dir):
-    return setops.union_sources(wide(spark, sf_dir), narrow(spark, sf_dir))
-
-
 def _q(c):
     return f'"{c}"'
 
