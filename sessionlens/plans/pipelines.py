@@ -1,0 +1,83 @@
+"""End-to-end plans: the training run and the inference run.
+
+One SparkSession and lazy DataFrames replace the reference's chain of
+processes and CSV hand-offs. Lineage is cut with reliable checkpoints at
+the split (reused by every later step) and the writes go to ``out_dir``
+(a shared folder on a cluster).
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessionlens.operators import cleaning, features, impute, metrics, models, splits
+from sessionlens.schema import ROW_ORD, TARGET
+from sessionlens.session import cut_lineage
+from sessionlens.sources import io
+
+SPLITS = ("train", "val", "test")
+
+
+def preprocess(sessions: DataFrame, imputer_model=None):
+    """Clean, split by user (test product left out of train), fit the mode
+    imputer on train, impute and compute features inside each split.
+    Returns (processed splits by name, fitted imputer)."""
+    cleaned = cleaning.clean_train(sessions)
+    split = cut_lineage(splits.leave_one_product_out(cleaned))
+    parts = {s: split.where(F.col("split") == s).drop("split") for s in SPLITS}
+    imputer_model = imputer_model or impute.ModeImputer().fit(parts["train"])
+    processed = {}
+    for s, df in parts.items():
+        d = impute.impute_session_id(impute.impute_user_id(df))
+        d = cleaning.cast_float_to_int(imputer_model.transform(d), null_free_only=False)
+        processed[s] = features.prepare_features(d)
+    return processed, imputer_model
+
+
+def evaluate(scored: DataFrame, beta: float = 2.0) -> DataFrame:
+    """AUC, F1 and balanced accuracy (+ the other label metrics), long form."""
+    s = scored.select(F.col(TARGET).alias("y_true"), F.col("prediction").alias("y_pred"),
+                      F.col("y_pred_prob").alias("y_proba"))
+    lab = metrics.label_metrics(s, beta=beta)
+    auc = metrics.roc_auc(s)
+    row = lab.crossJoin(auc)
+    names = ["auc", "f1", "bacc", "aba", "mcc", "precision", "recall", "fbeta"]
+    stack = ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in names)
+    return row.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)")
+
+
+def training_run(spark: SparkSession, sessions: DataFrame, out_dir: str, base_params=None,
+                 meta_params=None) -> DataFrame:
+    """Preprocess, fit the stacked model on train, score validation, refit
+    on every processed row, save transformer + models + test features.
+    Returns the validation metrics."""
+    processed, imputer_model = preprocess(sessions)
+    est = models.StackedClassifier(models.model_choice("gbt", **(base_params or models.BASE_DEFAULTS)),
+                                   meta_params=meta_params)
+    model = est.fit(processed["train"])
+    val_metrics = evaluate(model.transform(processed["val"]))
+    full = models.refit_full(est, *processed.values())
+    imputer_model.write().overwrite().save(os.path.join(out_dir, "imputer"))
+    models.save_model(model, os.path.join(out_dir, "model"))
+    models.save_model(full, os.path.join(out_dir, "full_model"))
+    io.write_features_labels(processed["test"], os.path.join(out_dir, "test"))
+    return val_metrics
+
+
+def inference_run(spark: SparkSession, sessions: DataFrame, run_dir: str, out_dir: str) -> DataFrame:
+    """Score new sessions with a saved run: inference cleaning (every row
+    kept), saved imputer, features of this batch, full model; predictions
+    and labels are written in input order and returned."""
+    imputer_model = impute.ModeImputerModel.load(os.path.join(run_dir, "imputer"))
+    d = cleaning.null_sentinel(cleaning.clean_inference(sessions))
+    d = impute.impute_session_id(impute.impute_user_id(d))
+    d = cleaning.cast_float_to_int(imputer_model.transform(d), null_free_only=False)
+    feats = features.prepare_features(d)
+    scored = models.load_model(os.path.join(run_dir, "full_model")).transform(feats)
+    scored = cut_lineage(scored.select(ROW_ORD, "y_pred_prob", "prediction"))
+    io.write_predictions(scored, os.path.join(out_dir, "predicted_probabilities"), "y_pred_prob")
+    io.write_predictions(scored, os.path.join(out_dir, "predicted_labels"), "prediction")
+    return scored

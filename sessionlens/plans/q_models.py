@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sessionlens.operators import cleaning, encode, features, models, splits
-from sessionlens.plans.registry import register, wide
+from sessionlens.plans.registry import narrow, register, wide
 from sessionlens.session import cut_lineage, scratch_path
 
 GBT_QUICK = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
@@ -175,3 +175,20 @@ def q_persist_model(spark, sf_dir):
     models.save_model(m, path)
     back = models.load_model(path)
     return back.transform(test).select("row_ord", "y_pred_prob", "prediction")
+
+
+# -- end-to-end runs ------------------------------------------------
+
+@register("training_pipeline")
+def q_training_pipeline(spark, sf_dir):
+    from sessionlens.plans import pipelines
+    out = scratch_path(spark, "run")
+    return pipelines.training_run(spark, wide(spark, sf_dir), out, base_params=GBT_QUICK, meta_params=RF_QUICK)
+
+
+@register("inference_pipeline")
+def q_inference_pipeline(spark, sf_dir):
+    from sessionlens.plans import pipelines
+    run = scratch_path(spark, "run")
+    pipelines.training_run(spark, wide(spark, sf_dir), run, base_params=GBT_QUICK, meta_params=RF_QUICK)
+    return pipelines.inference_run(spark, narrow(spark, sf_dir), run, scratch_path(spark, "scores"))
