@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day
+from sessionlens.operators.ordering import has_hot_users, keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
 from sessionlens.session import cut_lineage, maybe_cut_lineage
 
@@ -224,23 +225,40 @@ def _order():
     return [F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD).asc()]
 
 
-def _seq_columns(d: DataFrame, needed: set) -> DataFrame:
+def _seq_columns(d: DataFrame, needed: set, skew_safe: bool = False) -> DataFrame:
+    """The sequential features: windows per user, or (``skew_safe``) the
+    range-partitioned keyed scan that splits a hot user across tasks."""
+    micros = F.unix_micros(F.col("DateTime").cast("timestamp"))
     if "prev_session_same_product" in needed:
-        w = Window.partitionBy("user_id").orderBy(*_order())
-        prev = F.lag("product").over(w)
+        if skew_safe:
+            d = keyed_scan(d, "user_id", ["DateTime", ROW_ORD], lag_cols=["product"])
+            prev = F.col("_lag_product")
+        else:
+            prev = F.lag("product").over(Window.partitionBy("user_id").orderBy(*_order()))
         d = d.withColumn("prev_session_same_product",
                          F.when(F.col("user_id").isNull(), 0)
                           .otherwise(F.coalesce((prev == F.col("product")).cast("int"), F.lit(0))))
+        if skew_safe:
+            d = d.drop("_lag_product")
     if "sessions_with_min_gap_count" in needed:
-        w = Window.partitionBy("user_id").orderBy(ROW_ORD)
-        gap = F.unix_micros(F.col("DateTime").cast("timestamp")) - F.lag(
-            F.unix_micros(F.col("DateTime").cast("timestamp"))).over(w)
-        d = d.withColumn("_short_gap", (gap < MIN_GAP_SECONDS * 1_000_000).cast("int"))
-        d = d.withColumn("_gaps", F.sum("_short_gap").over(Window.partitionBy("user_id")))
+        if skew_safe:
+            g = keyed_scan(d.select("user_id", ROW_ORD, micros.alias("_us")), "user_id", [ROW_ORD],
+                           lag_cols=["_us"])
+            gaps = (g.groupBy("user_id").agg(
+                F.sum(((F.col("_us") - F.col("_lag__us")) < MIN_GAP_SECONDS * 1_000_000).cast("int")).alias("_gaps")))
+            d = join_null_safe(d, gaps, ["user_id"])
+        else:
+            w = Window.partitionBy("user_id").orderBy(ROW_ORD)
+            gap = micros - F.lag(micros).over(w)
+            d = d.withColumn("_short_gap", (gap < MIN_GAP_SECONDS * 1_000_000).cast("int"))
+            d = d.withColumn("_gaps", F.sum("_short_gap").over(Window.partitionBy("user_id")))
     if "daily_session_sequence" in needed:
-        w = Window.partitionBy("user_id", "_date").orderBy(ROW_ORD)
-        d = d.withColumn("daily_session_sequence",
-                         F.least(F.row_number().over(w), F.lit(7)))
+        if skew_safe:
+            d = keyed_scan(d.withColumn("_ud", F.struct("user_id", "_date")), "_ud", [ROW_ORD], count_out="_seq")
+            d = d.withColumn("daily_session_sequence", F.least(F.col("_seq") + 1, F.lit(7))).drop("_ud", "_seq")
+        else:
+            w = Window.partitionBy("user_id", "_date").orderBy(ROW_ORD)
+            d = d.withColumn("daily_session_sequence", F.least(F.row_number().over(w), F.lit(7)))
     return d
 
 
@@ -316,13 +334,15 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(r, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
-def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True) -> DataFrame:
+def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True, skew="auto") -> DataFrame:
     """Columns ``keep`` + the requested features (default: the registry,
     in registry order) + the target when present, cast by the registry.
 
     Only the grain tables a requested feature needs are built. The base
     aggregate and the grouped-feature table are checkpointed (eager jobs);
     ``materialize`` = False / "auto" skips / sizes the first checkpoint.
+    ``skew`` ("auto" / True / False) picks the keyed scan for the sequential
+    features when a user holds more than its share of rows.
     """
     names = list(names) if names is not None else FEATURE_NAMES
     needed = set(names)
@@ -349,7 +369,12 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
         grain = cut_lineage(grain.drop("_date"))
         if need_u:
             grain = grain.crossJoin(F.broadcast(_excess_threshold(grain)))
-    rows = _seq_columns(d, needed)
+    seq = needed & {"prev_session_same_product", "sessions_with_min_gap_count", "daily_session_sequence"}
+    if seq and skew == "auto":
+        per_user = (grain.groupBy("user_id").agg(F.sum("_n_ut").alias("_rows")) if grain is not None
+                    else d.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows")))
+        skew = has_hot_users(per_user, "_rows")
+    rows = _seq_columns(d, needed, bool(seq) and skew is True)
     if grain is not None:
         rows = join_null_safe(rows, grain, ["user_id", "DateTime"])
     for n, key in _FIRST.items():
@@ -370,9 +395,9 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
     return rows.select(*out)
 
 
-def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True) -> DataFrame:
+def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True, skew="auto") -> DataFrame:
     """All 43 registry features + target, in registry order (row 110)."""
-    return compute_features(df, FEATURE_NAMES, keep, materialize)
+    return compute_features(df, FEATURE_NAMES, keep, materialize, skew)
 
 
 def most_common_time_of_day(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import epoch_seconds
-from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number
+from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number, keyed_scan, use_keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
 
 
@@ -14,14 +14,21 @@ def _user_time():
     return Window.partitionBy("user_id").orderBy(F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD))
 
 
-def historical_click(df: DataFrame) -> DataFrame:
-    """Clicks of the user's earlier rows (time order, then row order)."""
+def historical_click(df: DataFrame, skew="auto") -> DataFrame:
+    """Clicks of the user's earlier rows (time order, then row order).
+    ``skew``: True / "auto" (hot user present) uses the keyed scan."""
+    if use_keyed_scan(df, "user_id", skew):
+        s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], sum_cols=[TARGET])
+        return s.withColumnRenamed(f"_sum_{TARGET}", "historical_click").withColumn(
+            "historical_click", F.col("historical_click").cast("long"))
     w = _user_time().rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn("historical_click", F.coalesce(F.sum(TARGET).over(w), F.lit(0)).cast("long"))
 
 
-def historical_sessions(df: DataFrame) -> DataFrame:
+def historical_sessions(df: DataFrame, skew="auto") -> DataFrame:
     """Number of the user's earlier rows; the first is 0."""
+    if use_keyed_scan(df, "user_id", skew):
+        return keyed_scan(df, "user_id", ["DateTime", ROW_ORD], count_out="historical_sessions")
     return df.withColumn("historical_sessions", (F.row_number().over(_user_time()) - 1).cast("long"))
 
 
@@ -38,13 +45,18 @@ def product_viewed_before(df: DataFrame) -> DataFrame:
                         F.coalesce((okey != F.col("_first")).cast("int"), F.lit(0))).drop("_first")
 
 
-def time_since_prev(df: DataFrame) -> DataFrame:
+def time_since_prev(df: DataFrame, skew="auto") -> DataFrame:
     """Seconds and hours since the user's previous row in time order
     (hours = seconds / 3600; the reference divides by 360)."""
-    prev = F.lag("DateTime").over(_user_time())
+    if use_keyed_scan(df, "user_id", skew):
+        df = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], lag_cols=["DateTime"])
+        prev = F.col("_lag_DateTime")
+    else:
+        prev = F.lag("DateTime").over(_user_time())
     secs = (F.unix_micros(F.col("DateTime").cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))) / 1e6
-    return (df.withColumn("seconds_since_prev", secs)
-              .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0))
+    out = (df.withColumn("seconds_since_prev", secs)
+             .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0))
+    return out.drop("_lag_DateTime") if "_lag_DateTime" in out.columns else out
 
 
 def recent_session_rows(df: DataFrame, within_hours: float = 1.0) -> DataFrame:

@@ -12,8 +12,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlens.session import cut_lineage
+
 DEFAULT_CHUNK = 1 << 20
 
+# A key is "hot" when it holds SKEW_FACTOR times an average shuffle
+# partition's rows (and at least SKEW_MIN_ROWS): a window over it would make
+# one task do that much more work than the others.
+SKEW_FACTOR = 4
+SKEW_MIN_ROWS = 2_000_000
+
+
+def has_hot_users(key_rows: DataFrame, count_col: str, factor: float = SKEW_FACTOR,
+                  min_rows: int = SKEW_MIN_ROWS) -> bool:
+    """From a per-key table of row counts (one small job)."""
+    r = key_rows.agg(F.max(count_col).alias("mx"), F.sum(count_col).alias("tot")).first()
+    if r["mx"] is None:
+        return False
+    parts = int(key_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return r["mx"] >= max(min_rows, factor * r["tot"] / max(parts, 1))
+
+
+def use_keyed_scan(df: DataFrame, key: str, skew) -> bool:
+    """Resolve a ``skew`` argument: True / False, or "auto" = hot key present."""
+    if skew == "auto":
+        return has_hot_users(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")), "_rows")
+    return bool(skew)
+
 
 def _chunk(order_col: str, chunk_size: int):
     return F.floor(F.col(order_col) / F.lit(chunk_size)).cast("bigint")
@@ -71,3 +96,56 @@ def _fill(df, column, order_col, partition_cols, chunk_size, out, forward):
              .join(summary, "_chunk", "left")
              .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
              .drop("_chunk", "_local", "_carry"))
+
+
+def keyed_scan(df: DataFrame, key: str, order_cols, lag_cols=(), sum_cols=(), count_out: str | None = None,
+               num_partitions: int | None = None) -> DataFrame:
+    """Per-key ordered scan that survives a key holding a third of the rows.
+
+    ``order_cols`` (names, ascending, nulls last) must end in a unique
+    tiebreaker. Adds ``_lag_<c>`` (``c`` on the key's previous row),
+    ``_sum_<c>`` (sum of ``c`` over the key's earlier rows) and, with
+    ``count_out``, the number of earlier rows of the key.
+
+    A window ``partitionBy(key)`` sends every row of a key to one task. Here
+    the rows are range-partitioned on (key, order): Spark samples the sort
+    key, so a hot key spans several partitions. Each (partition, key) piece
+    is scanned with a local window; a summary row per piece (its last values,
+    totals and size) gets running offsets over the pieces of its key (a
+    handful of rows per key) and joins back to stitch the piece borders.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(o).asc_nulls_last() for o in order_cols]
+    # Range bounds are sampled from the input partitions in iteration order,
+    # so a recomputation could move rows between pieces; the rows and their
+    # piece ids are written once (reliable checkpoint) and both branches
+    # below, and any retry, read the same assignment.
+    r = cut_lineage(df.repartitionByRange(n, F.col(key).asc_nulls_last(), *sort)
+                      .withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid", key).orderBy(*sort)
+    local = [F.row_number().over(w).alias("_lrn")]
+    local += [F.lag(c).over(w).alias(f"_llag_{c}") for c in lag_cols]
+    local += [F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_lsum_{c}")
+              for c in sum_cols]
+    scanned = r.select("*", *local)
+    # last row of a piece = max of (nulls-last order key, values)
+    okey = [x for o in order_cols for x in (F.col(o).isNull().alias(f"n_{o}"), F.col(o).alias(f"o_{o}"))]
+    aggs = [F.count(F.lit(1)).alias("_pn")] + [F.sum(c).alias(f"_pt_{c}") for c in sum_cols]
+    if lag_cols:
+        aggs.append(F.max(F.struct(*okey, *[F.col(c).alias(f"v_{c}") for c in lag_cols])).alias("_plast"))
+    pieces = r.groupBy("_pid", key).agg(*aggs)
+    wk = Window.partitionBy(key).orderBy("_pid")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    carry = [F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off_n")]
+    carry += [F.coalesce(F.sum(f"_pt_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
+    carry += [F.lag(F.col("_plast")[f"v_{c}"]).over(wk).alias(f"_prev_{c}") for c in lag_cols]
+    offsets = pieces.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), *carry)
+    j = scanned.join(offsets, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey")), "left")
+    out = [F.col(c) for c in df.columns]
+    out += [F.when(F.col("_lrn") == 1, F.col(f"_prev_{c}")).otherwise(F.col(f"_llag_{c}")).alias(f"_lag_{c}")
+            for c in lag_cols]
+    out += [(F.col(f"_off_{c}") + F.col(f"_lsum_{c}")).alias(f"_sum_{c}") for c in sum_cols]
+    if count_out:
+        out.append((F.col("_off_n") + F.col("_lrn") - 1).alias(count_out))
+    return j.select(*out)

@@ -165,3 +165,38 @@ def test_fbeta_and_bacc(spark):
                               beta=2.0).first()
     assert m.fbeta == pytest.approx(5 * 1 / (5 * 1 + 4 * 1 + 1))
     assert m.bacc == pytest.approx((0.5 + 2 / 3) / 2) and m.aba == pytest.approx(2 * m.bacc - 1)
+
+
+def _hot_user_frame(spark):
+    from conftest import SF_SMALL
+    from sessionlens.plans.registry import wide
+    d = cleaning.clean_inference(wide(spark, SF_SMALL))
+    # one user holds a third of all rows (a bot) on top of the normal users
+    return d.withColumn("user_id", F.when(F.col("row_ord") % 3 == 0, F.lit(999999)).otherwise(F.col("user_id")))
+
+
+def test_skew_safe_features_equal_windows(spark):
+    d = _hot_user_frame(spark)
+    names = features.FEATURE_NAMES + ["daily_session_sequence"]
+    a = features.compute_features(d, names, skew=False)
+    b = features.compute_features(d, names, skew=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_skew_safe_history_equal_windows(spark):
+    from sessionlens.operators import history
+    d = _hot_user_frame(spark)
+    for fn in (history.historical_click, history.historical_sessions, history.time_since_prev):
+        a, b = fn(d, skew=False), fn(d, skew=True)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0, fn.__name__
+
+
+def test_keyed_scan_splits_hot_key(spark):
+    df = spark.range(0, 3000).select(F.col("id").alias("row_ord"),
+                                     F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 40).alias("k"))
+    r = df.repartitionByRange(6, "k", "row_ord").withColumn("p", F.spark_partition_id())
+    assert r.where("k = 1").select("p").distinct().count() > 1
+    got = ordering.keyed_scan(df, "k", ["row_ord"], count_out="n", num_partitions=6)
+    from pyspark.sql import Window
+    exp = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("row_ord")) - 1)
+    assert got.exceptAll(exp).count() == 0
