@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day
 from sessionlens.operators.ordering import has_hot_users, keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
-from sessionlens.session import cut_lineage, maybe_cut_lineage
+from sessionlens.session import cut_lineage, estimated_bytes, maybe_cut_lineage
 
 
 @dataclass(frozen=True)
@@ -334,7 +334,88 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(r, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
-def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True, skew="auto") -> DataFrame:
+# Inputs Catalyst estimates below this size take the window plan: one
+# exchange on user_id serves every window keyed by a user-prefixed key.
+# Larger inputs take the aggregate plan, whose shuffles stay balanced when
+# a user or a timestamp is hot.
+WINDOW_PLAN_MAX_BYTES = 512 << 20
+
+
+def _first_row(w):
+    return F.row_number().over(w.orderBy(ROW_ORD)) == 1
+
+
+def _window_features(d: DataFrame, needed: set) -> DataFrame:
+    """All grouped features as windows over the rows (small inputs)."""
+    c = F.col
+    wU = Window.partitionBy("user_id")
+    wUD = Window.partitionBy("user_id", "_date")
+    wUT = Window.partitionBy("user_id", "DateTime")
+
+    def nuniq(col, w):
+        return F.size(F.collect_set(col).over(w))
+
+    def mixed(col, w):
+        v = c(col).cast("int")
+        return F.coalesce((F.max(v).over(w) != F.min(v).over(w)).cast("int"), F.lit(0))
+
+    has_t = c("DateTime").isNotNull()
+    d = d.select(
+        "*",
+        F.count(F.lit(1)).over(wUT).alias("_n_ut"),
+        nuniq("product", wUT).alias("_nu_prod_ut"),
+        nuniq("webpage_id", wUT).alias("_nu_web_ut"),
+        mixed("secondary_product_category_known", wUT).alias("session_mixed_secondary_product_category_known"),
+        mixed("city_development_index_known", wUT).alias("session_mixed_city_development_index_known"),
+        mixed("var_1", wUT).alias("session_mixed_var1"),
+        F.count(F.lit(1)).over(wUD).alias("_n_ud"),
+        F.count("webpage_id").over(wUD).alias("_web_ud"),
+        # per-day distinct counts, kept on the day's first row only so that
+        # a per-user sum averages over days, not rows
+        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("product", wUD)).alias("_dp"),
+        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("campaign_id", wUD)).alias("_dc"),
+        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("webpage_id", wUD)).alias("_dw"),
+        F.when(c("_date").isNotNull(), F.size(F.collect_set(F.hour("DateTime")).over(wUD))).alias("_dh"),
+        nuniq("product", wU).alias("_nu_prod"),
+        nuniq("product_category", wU).alias("_nu_cat"),
+        nuniq("campaign_id", wU).alias("_nu_camp"),
+        nuniq("webpage_id", wU).alias("_nu_web"),
+        F.sum(F.coalesce(early_morning("DateTime").cast("int"), F.lit(0))).over(wU).alias("_early"),
+        mixed("city_development_index_known", wU).alias("mixed_city_development_index_known"),
+        mixed("secondary_product_category_known", wU).alias("mixed_product_category_2_known"),
+        F.coalesce((F.max("var_1").over(wU) == F.min("var_1").over(wU)).cast("int"), F.lit(0))
+         .alias("user_uniform_var1"),
+        F.size(F.collect_set("_date").over(wU)).alias("_days"),
+        F.when(c("product").isNotNull() & c("campaign_id").isNotNull() & c("webpage_id").isNotNull(),
+               F.count(F.lit(1)).over(Window.partitionBy("user_id", "product", "campaign_id", "webpage_id")))
+         .alias("_ident"),
+    )
+    d = d.select(
+        "*",
+        F.percentile(c("_n_ud"), F.lit(HIGH_VOLUME_QUANTILE)).over(Window.partitionBy("_date")).alias("_thr"),
+        F.max(F.when(has_t, c("_n_ut"))).over(wU).alias("_max_ut"),
+        F.ceil(F.try_divide(F.sum("_dp").over(wU), c("_days"))).alias("_div_prod"),
+        F.ceil(F.try_divide(F.sum("_dc").over(wU), c("_days"))).alias("_div_camp"),
+        F.ceil(F.try_divide(F.sum("_dw").over(wU), c("_days"))).alias("_div_web"),
+        F.max("_dh").over(wU).alias("_max_hours"),
+        F.max("_ident").over(wU).alias("_max_ident"),
+        _first_row(wU).alias("_first_of_user"),
+    )
+    d = d.withColumn("_thr", F.when(c("_date").isNotNull(), c("_thr")))
+    # 0.99 quantile over users (one value per user): a one-row aggregate
+    thr99 = (d.where(c("_first_of_user")).agg(F.percentile("_max_ut", F.lit(EXCESS_DUP_QUANTILE)).alias("_thr99")))
+    d = d.crossJoin(F.broadcast(thr99))
+    for n, key in _FIRST.items():
+        if n in needed:
+            w = Window.partitionBy("user_id", key).orderBy(*_order())
+            d = d.withColumn(f"_first_{key}", F.when(c(key).isNotNull() & c("user_id").isNotNull(),
+                                                     F.first(ROW_ORD).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                                         Window.unboundedFollowing))))
+    return d
+
+
+def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True, skew="auto",
+                     plan: str = "auto") -> DataFrame:
     """Columns ``keep`` + the requested features (default: the registry,
     in registry order) + the target when present, cast by the registry.
 
@@ -342,11 +423,18 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
     aggregate and the grouped-feature table are checkpointed (eager jobs);
     ``materialize`` = False / "auto" skips / sizes the first checkpoint.
     ``skew`` ("auto" / True / False) picks the keyed scan for the sequential
-    features when a user holds more than its share of rows.
+    features when a user holds more than its share of rows. ``plan``:
+    "aggregate", "window", or "auto" = window below ``WINDOW_PLAN_MAX_BYTES``.
     """
     names = list(names) if names is not None else FEATURE_NAMES
     needed = set(names)
     d = _prep(df)
+    if plan == "auto":
+        size = estimated_bytes(d)
+        plan = "window" if 0 <= size < WINDOW_PLAN_MAX_BYTES else "aggregate"
+    if plan == "window":
+        rows = _seq_columns(_window_features(d, needed), needed, False)
+        return _final_select(rows, names, keep)
     need_ut = bool(needed & _UT)
     need_ud = bool(needed & _UD)
     need_u = bool(needed & _U)
@@ -380,6 +468,10 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
     for n, key in _FIRST.items():
         if n in needed:
             rows = join_null_safe(rows, _first_seen(g0, key, f"_first_{key}"), ["user_id", key])
+    return _final_select(rows, names, keep)
+
+
+def _final_select(rows: DataFrame, names, keep) -> DataFrame:
     out = []
     for c in keep:
         if c in rows.columns:
@@ -395,9 +487,9 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
     return rows.select(*out)
 
 
-def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True, skew="auto") -> DataFrame:
+def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True, skew="auto", plan="auto") -> DataFrame:
     """All 43 registry features + target, in registry order (row 110)."""
-    return compute_features(df, FEATURE_NAMES, keep, materialize, skew)
+    return compute_features(df, FEATURE_NAMES, keep, materialize, skew, plan)
 
 
 def most_common_time_of_day(df: DataFrame) -> DataFrame:

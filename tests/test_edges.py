@@ -200,3 +200,15 @@ def test_keyed_scan_splits_hot_key(spark):
     from pyspark.sql import Window
     exp = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("row_ord")) - 1)
     assert got.exceptAll(exp).count() == 0
+
+
+@pytest.mark.parametrize("which", ["edge", "smoke", "hot"])
+def test_window_plan_equals_aggregate_plan(spark, frame, which):
+    from conftest import SF_SMALL
+    from sessionlens.plans.registry import wide
+    d = {"edge": lambda: frame, "smoke": lambda: cleaning.clean_inference(wide(spark, SF_SMALL)),
+         "hot": lambda: _hot_user_frame(spark)}[which]()
+    names = features.FEATURE_NAMES + ["daily_session_sequence", "has_viewed_product_before"]
+    a = features.compute_features(d, names, plan="aggregate")
+    b = features.compute_features(d, names, plan="window")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
