@@ -81,7 +81,7 @@ def sessions_table(df: DataFrame) -> DataFrame:
     """(user_id, DateTime, session_id, sessions): earlier rows of the user."""
     w = Window.partitionBy("user_id").orderBy(*_order())
     return df.select("user_id", "DateTime", "session_id",
-                     (F.row_number().over(w) - 1).alias("sessions"))
+                     (F.row_number().over(w) - 1).cast("long").alias("sessions"))
 
 
 def sessions_merge(df: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -165,7 +165,8 @@ def q_schema_diff(spark, sf_dir):
 # -- scalar functions --------------------------------------------------------------
 
 @register("fn_date_parts", sql="""SELECT row_ord, CAST("DateTime" AS DATE) AS session_date,
-  hour("DateTime") AS hour, minute("DateTime") AS minute, isodow("DateTime") - 1 AS day_of_week FROM wide""")
+  CAST(hour("DateTime") AS INTEGER) AS hour, CAST(minute("DateTime") AS INTEGER) AS minute,
+  CAST(isodow("DateTime") - 1 AS INTEGER) AS day_of_week FROM wide""")
 def q_fn_date_parts(spark, sf_dir):
     return wide(spark, sf_dir).select("row_ord", S.session_date().alias("session_date"),
                                       S.hour().alias("hour"), S.minute().alias("minute"),

@@ -46,7 +46,7 @@ _HOLDOUT = """
     f"""lv_{c} AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS pos FROM (
           SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM wide JOIN hs USING (row_ord)
           WHERE split = 'train' AND {c} IS NOT NULL GROUP BY 1))""" for c in _OHE_COLS)
-    + " SELECT w.row_ord, " + ", ".join(f"lv_{c}.pos AS {c}_pos" for c in _OHE_COLS) + " FROM wide w "
+    + " SELECT w.row_ord, " + ", ".join(f"CAST(lv_{c}.pos AS INTEGER) AS {c}_pos" for c in _OHE_COLS) + " FROM wide w "
     + " ".join(f"LEFT JOIN lv_{c} ON CAST(w.{c} AS VARCHAR) = lv_{c}.v" for c in _OHE_COLS))
 def q_one_hot_fit_transform(spark, sf_dir):
     w = splits.holdout_split(wide(spark, sf_dir))

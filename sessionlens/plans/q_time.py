@@ -54,7 +54,7 @@ def q_monthly_ctr(spark, sf_dir):
     return timeseries.monthly_ctr(wide(spark, sf_dir))
 
 
-@register("diurnal_profile", sql="""SELECT hour("DateTime") AS hour, avg(is_click) AS click_rate,
+@register("diurnal_profile", sql="""SELECT CAST(hour("DateTime") AS INTEGER) AS hour, avg(is_click) AS click_rate,
   count(session_id) AS exposure FROM wide WHERE "DateTime" IS NOT NULL AND is_click IS NOT NULL GROUP BY 1""")
 def q_diurnal_profile(spark, sf_dir):
     return timeseries.diurnal_profile(wide(spark, sf_dir))
