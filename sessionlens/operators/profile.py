@@ -222,21 +222,22 @@ def outcome_pivot(df: DataFrame, f1: str, f2: str, outcome_type: str = "click_ra
 
 def outcome_batch(df: DataFrame, features, outcomes=OUTCOMES, against: str = "campaign_id",
                   min_sessions: int = 0) -> DataFrame:
-    """Row 64 for every (outcome, feature) against ``against``, one long
-    table (one aggregate per feature; outcomes share it)."""
-    parts = []
-    for f in features:
-        d = df.dropna(subset=[TARGET, f, against])
-        g = d.groupBy(f, against).agg(F.avg(TARGET).alias("click_rate"),
-                                       F.sum(TARGET).cast("double").alias("click_num"),
-                                       F.count(TARGET).alias("sessions_number"))
-        g = g.where(F.col("sessions_number") >= min_sessions)
-        for o in outcomes:
-            v = F.col("sessions_number").cast("double") if o == "sessions_num" else F.col(o).cast("double")
-            parts.append(g.select(F.lit(o).alias("outcome"), F.lit(f).alias("feature"),
-                                  F.col(f).cast("string").alias("level"), F.col(against),
-                                  v.alias("value"), "sessions_number"))
-    return reduce(DataFrame.unionByName, parts)
+    """Row 64 for every (outcome, feature) against ``against``, as one long
+    table from one scan: rows are unpivoted to (feature, level) and grouped
+    once; the outcomes are three columns of that one aggregate."""
+    d = df.where(F.col(TARGET).isNotNull() & F.col(against).isNotNull())
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("level"))
+                                for f in features])).alias("cell")
+    long = d.select(against, TARGET, cells).select(against, TARGET, "cell.*").where(F.col("level").isNotNull())
+    g = (long.groupBy("feature", "level", against)
+             .agg(F.avg(TARGET).alias("click_rate"), F.sum(TARGET).cast("double").alias("click_num"),
+                  F.count(TARGET).alias("sessions_number"))
+             .where(F.col("sessions_number") >= min_sessions))
+    vals = {"click_rate": "click_rate", "click_num": "click_num",
+            "sessions_num": "CAST(sessions_number AS DOUBLE)"}
+    stack = ", ".join(f"'{o}', {vals[o]}" for o in outcomes)
+    return g.selectExpr(f"stack({len(outcomes)}, {stack}) AS (outcome, value)", "feature", "level",
+                        against, "sessions_number")
 
 
 def top_groups(df: DataFrame, by: str, n: int = 10, tie_keys=()) -> DataFrame:

@@ -71,15 +71,21 @@ def _with_group_size(users: DataFrame, col: str = "label") -> DataFrame:
 
 
 def assign_user_splits(df: DataFrame, ratios=SPLIT_RATIOS, seed=RANDOM_STATE,
-                       rare_threshold: int = RARE_GROUP_THRESHOLD) -> DataFrame:
+                       rare_threshold: int = RARE_GROUP_THRESHOLD, part: DataFrame | None = None) -> DataFrame:
     """(user_id, split): users grouped by behaviour label, labels with fewer
     than ``rare_threshold`` users merged into one "rare" group, each group
-    cut in hash order by rounded ratios (row 141)."""
+    cut in hash order by rounded ratios (row 141). ``part`` (user_id,
+    _part) splits several user populations in the same pass, each with
+    its own groups."""
     if abs(sum(ratios) - 1.0) > 1e-9:
         raise ValueError("Split ratios must sum to 1")
-    u = _with_group_size(user_labels(df))
+    u = user_labels(df)
+    u = u.join(part, "user_id", "left") if part is not None else u
+    u = u.withColumn("_part", F.coalesce(F.col("_part"), F.lit(False)) if part is not None else F.lit(False))
+    sizes = u.groupBy("_part", "label").agg(F.count(F.lit(1)).alias("_gsize"))
+    u = u.join(sizes, ["_part", "label"])
     u = u.withColumn("_grp", F.when(F.col("_gsize") < rare_threshold, F.lit("rare")).otherwise(F.col("label")))
-    r = rank_by_hash(u.withColumn("_h", hash_key(seed, "user_id")), ["_grp"], "_h", "user_id")
+    r = rank_by_hash(u.withColumn("_h", hash_key(seed, "user_id")), ["_part", "_grp"], "_h", "user_id")
     return r.select("user_id", _assign(F.col("_pos"), F.col("_n"), ratios, "round").alias("split"))
 
 
@@ -93,11 +99,11 @@ def split_by_user(df: DataFrame, ratios=SPLIT_RATIOS, seed=RANDOM_STATE,
 def leave_one_product_out(df: DataFrame, product: str = TEST_PRODUCT, ratios=SPLIT_RATIOS,
                           seed=RANDOM_STATE, leave_out: bool = True) -> DataFrame:
     """Users who saw ``product`` and the other users are split apart (each
-    with its own labels); then rows of ``product`` leave train (row 142)."""
-    seen = df.where(F.col("product") == product).select("user_id").distinct()
-    rare = df.join(seen, "user_id", "left_semi")
-    normal = df.join(seen, "user_id", "left_anti")
-    out = split_by_user(normal, ratios, seed).unionByName(split_by_user(rare, ratios, seed))
+    with its own labels and groups, in one pass keyed by the population);
+    then rows of ``product`` leave train (row 142)."""
+    seen = (df.where(F.col("product") == product).select("user_id").distinct()
+              .withColumn("_part", F.lit(True)))
+    out = df.join(assign_user_splits(df, ratios, seed, part=seen), "user_id", "inner")
     if leave_out:
         out = out.where(~((F.col("split") == "train") & (F.col("product") == F.lit(product)))
                         | F.col("product").isNull())
@@ -189,17 +195,15 @@ def balanced_samples(df: DataFrame, k: int = 5, ratio: int = 2, id_col: str = RO
     clicks = df.where(F.col(TARGET) == 1)
     non = df.where(F.col(TARGET) == 0)
     n_clicks = clicks.agg(F.count(F.lit(1)).alias("_nc"))
-    parts = []
-    for i in range(k):
-        r = rank_by_hash(non.withColumn("_h", hash_key(i, id_col)).withColumn("_all", F.lit(0)),
-                         ["_all"], "_h", id_col)
-        take = (r.crossJoin(F.broadcast(n_clicks)).where(F.col("_pos") <= F.col("_nc") * ratio)
-                 .drop("_h", "_pos", "_n", "_all", "_nc"))
-        parts.append(clicks.unionByName(take).withColumn("sample_id", F.lit(i)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ids = F.array(*[F.lit(i) for i in range(k)])
+    # every non-click once per sample, each sample ranked by its own seed
+    cand = non.withColumn("sample_id", F.explode(ids))
+    cand = cand.withColumn("_h", F.md5(F.concat_ws("|", F.col("sample_id").cast("string"),
+                                                   F.col(id_col).cast("string"))))
+    r = rank_by_hash(cand, ["sample_id"], "_h", id_col)
+    take = (r.crossJoin(F.broadcast(n_clicks)).where(F.col("_pos") <= F.col("_nc") * ratio)
+             .drop("_h", "_pos", "_n", "_nc"))
+    return clicks.withColumn("sample_id", F.explode(ids)).unionByName(take)
 
 
 def kfold(df: DataFrame, k: int = 5, seed=RANDOM_STATE, id_col: str = ROW_ORD) -> DataFrame:
