@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlens.operators.ordering import keyed_scan, use_keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET, TEST_PRODUCT
 
 # A lookup side is broadcast only when a count proves it small.
@@ -92,7 +93,19 @@ def _micros(c):
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = False) -> DataFrame:
+def _asof_union(h: DataFrame, keys: DataFrame, value_cols) -> DataFrame:
+    """Internal per-(user, time) rows and external keys in one frame, with
+    external rows ordered before internal rows of the same time."""
+    ext = keys
+    for c in value_cols:
+        ext = ext.withColumn(c, F.lit(0).cast("long"))
+    return (h.select("user_id", "DateTime", *value_cols).withColumn("_ext", F.lit(False))
+             .unionByName(ext.withColumn("_ext", F.lit(True)))
+             .withColumn("_us", _micros("DateTime"))
+             .withColumn("_side", F.when(F.col("_ext"), 0).otherwise(1)))
+
+
+def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = False, skew="auto") -> DataFrame:
     """For each external row: the sum of the user's internal clicks strictly
     earlier in time (``drop_last`` also leaves out the latest of those rows,
     as the reference's cumsum/shift does).
@@ -107,6 +120,19 @@ def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = Fals
                      F.sum(TARGET).alias("_clicks"),
                      F.max_by(F.col(TARGET), F.col(ROW_ORD)).alias("_last")))
     keys = external.select("user_id", "DateTime").where(F.col("DateTime").isNotNull()).distinct()
+    if use_keyed_scan(h, "user_id", skew):
+        # A hot user is split across tasks by the keyed scan. With external
+        # rows ordered first at equal times, the exclusive running sum is the
+        # strictly-earlier sum. The previous group's last click is a running
+        # sum of differences between consecutive internal groups.
+        hd = keyed_scan(h.withColumn("_us", _micros("DateTime")), "user_id", ["_us"], lag_cols=["_last"])
+        hd = hd.withColumn("_dlast", (F.col("_last") - F.coalesce(F.col("_lag__last"), F.lit(0))).cast("long"))
+        u = _asof_union(hd.withColumn("_clicks", F.col("_clicks").cast("long")), keys, ["_clicks", "_dlast"])
+        sc = keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_clicks", "_dlast"]).where("_ext")
+        val = F.col("_sum__clicks") - (F.col("_sum__dlast") if drop_last else F.lit(0))
+        res = sc.select("user_id", "DateTime", val.cast("long").alias("historical_click"))
+        return (external.join(res, ["user_id", "DateTime"], "left")
+                        .withColumn("historical_click", F.coalesce("historical_click", F.lit(0))))
     u = (h.withColumn("_ext", F.lit(False))
           .unionByName(keys.withColumn("_clicks", F.lit(None).cast("long"))
                            .withColumn("_last", F.lit(None).cast("int"))
@@ -125,12 +151,20 @@ def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = Fals
                     .withColumn("historical_click", F.coalesce("historical_click", F.lit(0))))
 
 
-def asof_sessions(external: DataFrame, internal: DataFrame) -> DataFrame:
+def asof_sessions(external: DataFrame, internal: DataFrame, skew="auto") -> DataFrame:
     """Internal sessions of the user strictly earlier in time, plus the
     external sessions of the user already seen (time order, then row order)."""
     h = (internal.where(F.col("DateTime").isNotNull())
                  .groupBy("user_id", "DateTime").agg(F.count(F.lit(1)).alias("_n")))
     keys = external.select("user_id", "DateTime").where(F.col("DateTime").isNotNull()).distinct()
+    if use_keyed_scan(h, "user_id", skew):
+        u = _asof_union(h, keys, ["_n"])
+        before = (keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_n"]).where("_ext")
+                  .select("user_id", "DateTime", F.col("_sum__n").alias("_internal")))
+        ext = keyed_scan(external, "user_id", ["DateTime", ROW_ORD], count_out="_seen")
+        return (ext.join(before, ["user_id", "DateTime"], "left")
+                   .withColumn("sessions", (F.coalesce("_internal", F.lit(0)) + F.col("_seen")).cast("long"))
+                   .drop("_internal", "_seen"))
     u = (h.withColumn("_ext", F.lit(False))
           .unionByName(keys.withColumn("_n", F.lit(None).cast("long")).withColumn("_ext", F.lit(True))))
     w = (Window.partitionBy("user_id").orderBy(_micros("DateTime"))

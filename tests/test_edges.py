@@ -212,3 +212,15 @@ def test_window_plan_equals_aggregate_plan(spark, frame, which):
     a = features.compute_features(d, names, plan="aggregate")
     b = features.compute_features(d, names, plan="window")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_skew_safe_asof_equal_windows(spark):
+    from sessionlens.operators import joins
+    d = _hot_user_frame(spark)
+    for kw in ({"drop_last": False}, {"drop_last": True}):
+        a = joins.asof_clicks(d, d, skew=False, **kw).select("row_ord", "historical_click")
+        b = joins.asof_clicks(d, d, skew=True, **kw).select("row_ord", "historical_click")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, kw
+    a = joins.asof_sessions(d, d, skew=False).select("row_ord", "sessions")
+    b = joins.asof_sessions(d, d, skew=True).select("row_ord", "sessions")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
