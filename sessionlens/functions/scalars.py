@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def col(c) -> Column:
@@ -153,3 +154,16 @@ def fill_null(c, value) -> Column:
 
 def null_if(c, value) -> Column:
     return F.nullif(col(c), F.lit(value))
+
+
+def value_sort_key(df: DataFrame, c: str) -> Column:
+    """A double that orders a column's values like the column itself (exact
+    for integers below 2**53 and microsecond timestamps); null for text."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(c)).cast("double")
+    if isinstance(t, (T.NumericType, T.BooleanType)):
+        return F.col(c).cast("double")
+    return F.lit(None).cast("double")

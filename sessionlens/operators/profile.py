@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.functions.scalars import behavior_label
+from sessionlens.functions.scalars import behavior_label, value_sort_key
 from sessionlens.schema import ROW_ORD, TARGET
+from sessionlens.session import cut_lineage
 
 
 def _stack(df: DataFrame, names, value_exprs, key="column_name", value="value") -> DataFrame:
@@ -92,54 +93,71 @@ def category_counts(df: DataFrame, features) -> DataFrame:
                 .select("feature", "category", F.coalesce("n_users", F.lit(0)).cast("long").alias("n_users")))
 
 
+def value_counts_long(df: DataFrame, columns) -> DataFrame:
+    """(column_name, v, k, n): rows per value of every column, nulls
+    included (v null), from one scan and one partially-aggregated shuffle.
+    ``v`` is the value as text, ``k`` its numeric order key (null for
+    text). Checkpointed: the column reports below read it several times."""
+    cols = list(columns)
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"),
+                 value_sort_key(df, c).alias("k")) for c in cols])).alias("cell")
+    g = df.select(cells).select("cell.*").groupBy("column_name", "v", "k").agg(F.count(F.lit(1)).alias("n"))
+    return cut_lineage(g)
+
+
 def column_levels(df: DataFrame, columns=None, show: int = 10) -> DataFrame:
     """Per column: distinct count, null count and the levels (all if at
     most ``show``, else the first ``show - 1``), smallest first.
 
-    Per column a distinct (a distributed aggregate) and a top-k that keeps
-    ``show`` rows per task; all columns in one job through a union.
+    One scan builds the value counts; each column's levels are then a
+    top-``show`` (per-task top-k, merged) over that small table.
     """
     cols = list(columns or _data_cols(df))
-    parts = []
-    for c in cols:
-        dist = df.where(F.col(c).isNotNull()).select(c).distinct()
-        n = dist.agg(F.count(F.lit(1)).alias("n_distinct"))
-        top = dist.orderBy(c).limit(show).agg(F.array_sort(F.collect_list(c)).alias("_lv"))
-        parts.append(n.crossJoin(top).select(
-            F.lit(c).alias("column_name"), "n_distinct",
-            F.array_join(F.transform(
-                F.when(F.col("n_distinct") <= show, F.col("_lv")).otherwise(F.slice("_lv", 1, show - 1)),
-                lambda x: x.cast("string")), ",").alias("levels")))
-    levels = reduce(DataFrame.unionByName, parts)
-    nulls = missing_counts(df, cols).select("column_name", F.col("n_missing").alias("n_null"))
-    return levels.join(nulls, "column_name")
+    g = value_counts_long(df, cols)
+    nn = g.where(F.col("v").isNotNull())
+    stats = g.groupBy("column_name").agg(
+        F.count(F.when(F.col("v").isNotNull(), 1)).alias("n_distinct"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("n_null"))
+    tops = [nn.where(F.col("column_name") == c).orderBy(F.col("k").asc_nulls_last(), "v").limit(show)
+              .select("column_name", "k", "v") for c in cols]
+    lv = (reduce(DataFrame.unionByName, tops).groupBy("column_name")
+          .agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("_lv")))
+    j = stats.join(lv, "column_name", "left")
+    picked = F.when(F.col("n_distinct") <= show, F.col("_lv")).otherwise(F.slice("_lv", 1, show - 1))
+    return j.select("column_name", "n_distinct",
+                    F.array_join(F.transform(picked, lambda x: x["v"]), ",").alias("levels"), "n_null")
 
 
 def describe_all(df: DataFrame, columns=None) -> DataFrame:
     """count, unique, top, freq, mean, std, min, quartiles, max per column
-    (long form; numeric statistics are null for string columns)."""
+    (long form; numeric statistics are null for string columns). All from
+    the one-scan value counts: quartiles are exact frequency-weighted
+    percentiles, the standard deviation a second pass over the counts."""
     cols = list(columns or _data_cols(df))
     numeric = {f.name for f in df.schema.fields
                if f.dataType.typeName() in ("long", "integer", "double", "float", "short", "byte")}
-    parts = []
-    for c in cols:
-        x = F.col(c)
-        tops = (df.where(x.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                  .orderBy(F.desc("_n"), F.asc(c)).limit(1)
-                  .select(F.col(c).cast("string").alias("top"), F.col("_n").alias("freq")))
-        if c in numeric:
-            xd = x.cast("double")
-            stats = [F.avg(xd).alias("mean"), F.stddev_samp(xd).alias("std"),
-                     F.min(xd).alias("min"),
-                     F.percentile(xd, F.lit(0.25)).alias("q25"),
-                     F.percentile(xd, F.lit(0.5)).alias("q50"),
-                     F.percentile(xd, F.lit(0.75)).alias("q75"), F.max(xd).alias("max")]
-        else:
-            stats = [F.lit(None).cast("double").alias(n)
-                     for n in ("mean", "std", "min", "q25", "q50", "q75", "max")]
-        base = df.agg(F.count(x).alias("count"), F.count_distinct(x).alias("unique"), *stats)
-        parts.append(base.crossJoin(tops).select(F.lit(c).alias("column_name"), "*"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    g = value_counts_long(df, cols).where(F.col("v").isNotNull())
+    g = g.withColumn("x", F.when(F.col("column_name").isin(list(numeric) or [""]), F.col("k")))
+    first = g.groupBy("column_name").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("k"), F.col("v"))).alias("_top"),
+        (F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+        F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("_q"))
+    spread = (g.join(first.select("column_name", "mean"), "column_name")
+               .groupBy("column_name").agg(F.sqrt(F.sum(F.col("n") * (F.col("x") - F.col("mean")) ** 2)
+                                                  / (F.sum(F.when(F.col("x").isNotNull(), F.col("n"))) - 1))
+                                           .alias("std")))
+    out = first.join(spread, "column_name")
+    num = F.col("column_name").isin(list(numeric) or [""])
+    return out.select(
+        "column_name", "count", "unique",
+        F.when(num, F.col("mean")).alias("mean"), F.when(num, F.col("std")).alias("std"),
+        F.when(num, F.col("min")).alias("min"),
+        *[F.when(num, F.col("_q")[i]).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
+        F.when(num, F.col("max")).alias("max"),
+        F.col("_top.v").alias("top"), (-F.col("_top.neg_n")).alias("freq"))
 
 
 def value_counts(df: DataFrame, column: str, normalize: bool = True) -> DataFrame:
