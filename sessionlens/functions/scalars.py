@@ -42,14 +42,24 @@ def cyclic_hour(ts="DateTime") -> tuple[Column, Column]:
     return F.sin(a), F.cos(a)
 
 
-def epoch_seconds(ts="DateTime") -> Column:
-    """Seconds since 1970 as a double; null stays null."""
-    return F.unix_micros(col(ts).cast("timestamp")) / F.lit(1_000_000.0)
+def wall_micros(ts="DateTime") -> Column:
+    """Microseconds since 1970 of the wall-clock time, read as UTC.
+
+    Built from the fields of a TIMESTAMP_NTZ value, so it does not depend
+    on the session time zone (a cast to TIMESTAMP would, and gaps across a
+    daylight-saving change would shift). A TIMESTAMP input is first taken
+    as its wall time in the session zone, like the reference's naive times.
+    """
+    t = col(ts).cast("timestamp_ntz")
+    days = F.unix_date(F.to_date(t)).cast("long")
+    hms = (F.hour(t) * 3600 + F.minute(t) * 60).cast("long")
+    sec = F.extract(F.lit("SECOND"), t)            # seconds with microseconds
+    return (days * 86_400 + hms) * 1_000_000 + (sec * 1_000_000).cast("long")
 
 
-def epoch_seconds_ntz(ts="DateTime") -> Column:
-    """Same for a TIMESTAMP_NTZ column, read as wall time in UTC."""
-    return F.unix_micros(F.to_utc_timestamp(col(ts).cast("timestamp"), "UTC")) / F.lit(1_000_000.0)
+def epoch_seconds(ts="DateTime") -> Column:
+    """Seconds since 1970 as a double (wall time as UTC); null stays null."""
+    return wall_micros(ts) / F.lit(1_000_000.0)
 
 
 def parse_datetime(c, fmt: str | None = None) -> Column:
@@ -160,8 +170,10 @@ def value_sort_key(df: DataFrame, c: str) -> Column:
     """A double that orders a column's values like the column itself (exact
     for integers below 2**53 and microsecond timestamps); null for text."""
     t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(t, T.TimestampNTZType):
+        return wall_micros(c).cast("double")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(F.col(c)).cast("double")
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
     if isinstance(t, (T.NumericType, T.BooleanType)):

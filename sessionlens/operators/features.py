@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day
+from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day, wall_micros
 from sessionlens.operators.ordering import has_hot_users, keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
 from sessionlens.session import cut_lineage, estimated_bytes, maybe_cut_lineage
@@ -228,7 +228,7 @@ def _order():
 def _seq_columns(d: DataFrame, needed: set, skew_safe: bool = False) -> DataFrame:
     """The sequential features: windows per user, or (``skew_safe``) the
     range-partitioned keyed scan that splits a hot user across tasks."""
-    micros = F.unix_micros(F.col("DateTime").cast("timestamp"))
+    micros = wall_micros("DateTime")
     if "prev_session_same_product" in needed:
         if skew_safe:
             d = keyed_scan(d, "user_id", ["DateTime", ROW_ORD], lag_cols=["product"])

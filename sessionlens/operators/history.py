@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.functions.scalars import epoch_seconds
+from sessionlens.functions.scalars import epoch_seconds, wall_micros
 from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number, keyed_scan, use_keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
 
@@ -53,7 +53,7 @@ def time_since_prev(df: DataFrame, skew="auto") -> DataFrame:
         prev = F.col("_lag_DateTime")
     else:
         prev = F.lag("DateTime").over(_user_time())
-    secs = (F.unix_micros(F.col("DateTime").cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))) / 1e6
+    secs = (wall_micros("DateTime") - wall_micros(prev)) / 1e6
     out = (df.withColumn("seconds_since_prev", secs)
              .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0))
     return out.drop("_lag_DateTime") if "_lag_DateTime" in out.columns else out

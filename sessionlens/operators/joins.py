@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlens.functions.scalars import wall_micros
 from sessionlens.operators.ordering import keyed_scan, use_keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET, TEST_PRODUCT
 
@@ -90,7 +91,7 @@ def sessions_merge(df: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def _micros(c):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    return wall_micros(c)
 
 
 def _asof_union(h: DataFrame, keys: DataFrame, value_cols) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlens.functions.scalars import wall_micros
 from sessionlens.schema import TARGET
 
 
@@ -71,5 +72,10 @@ def time_bounds(df: DataFrame, by=None, ts: str = "DateTime") -> DataFrame:
 def localize_utc(df: DataFrame, ts: str = "DateTime", out: str = "DateTime_utc") -> DataFrame:
     """Naive wall time read as UTC: an instant (TIMESTAMP), whatever the
     session time zone."""
-    return df.withColumn(out, F.to_utc_timestamp(F.col(ts).cast("string").cast("timestamp"),
-                                                 F.current_timezone()))
+    return df.withColumn(out, F.timestamp_micros(wall_micros(ts)))
+
+
+def utc_text(ts: str, fmt: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"):
+    """An instant rendered in UTC, whatever the session time zone."""
+    wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(ts).cast("timestamp_ntz"))
+    return F.date_format(wall, fmt)

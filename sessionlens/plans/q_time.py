@@ -72,8 +72,7 @@ def q_time_bounds(spark, sf_dir):
 def q_localize_utc(spark, sf_dir):
     d = timeseries.localize_utc(wide(spark, sf_dir))
     return d.select("row_ord", F.unix_micros("DateTime_utc").alias("utc_micros"),
-                    F.date_format(F.to_utc_timestamp("DateTime_utc", F.current_timezone()),
-                                  "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("utc_iso"))
+                    timeseries.utc_text("DateTime_utc").alias("utc_iso"))
 
 
 # -- sorts, unions, set differences --------------------------------------------------------

@@ -24,3 +24,15 @@ def test_every_query_registered_has_callable():
     qs = E.queries()
     assert set(SQL) <= set(qs)
     assert len(qs) >= 180
+
+
+@pytest.mark.parametrize("key", ["fn_epoch", "time_since_prev", "localize_utc", "asof_clicks",
+                                 "sessions_with_min_gap_count", "hourly_ctr", "diff_prev_nonnull"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(E.queries()[key](spark, SF_SMALL), SQL[key], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r
