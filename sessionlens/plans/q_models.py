@@ -179,16 +179,16 @@ def q_persist_model(spark, sf_dir):
 
 # -- end-to-end runs ------------------------------------------------
 
-@register("training_pipeline")
-def q_training_pipeline(spark, sf_dir):
-    from sessionlens.plans import pipelines
+@register("training_run")
+def q_training_run(spark, sf_dir):
+    from sessionlens.plans import runs
     out = scratch_path(spark, "run")
-    return pipelines.training_run(spark, wide(spark, sf_dir), out, base_params=GBT_QUICK, meta_params=RF_QUICK)
+    return runs.training_run(spark, wide(spark, sf_dir), out, base_params=GBT_QUICK, meta_params=RF_QUICK)
 
 
-@register("inference_pipeline")
-def q_inference_pipeline(spark, sf_dir):
-    from sessionlens.plans import pipelines
+@register("inference_run")
+def q_inference_run(spark, sf_dir):
+    from sessionlens.plans import runs
     run = scratch_path(spark, "run")
-    pipelines.training_run(spark, wide(spark, sf_dir), run, base_params=GBT_QUICK, meta_params=RF_QUICK)
-    return pipelines.inference_run(spark, narrow(spark, sf_dir), run, scratch_path(spark, "scores"))
+    runs.training_run(spark, wide(spark, sf_dir), run, base_params=GBT_QUICK, meta_params=RF_QUICK)
+    return runs.inference_run(spark, narrow(spark, sf_dir), run, scratch_path(spark, "scores"))
