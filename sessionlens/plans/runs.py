@@ -33,7 +33,9 @@ def preprocess(sessions: DataFrame, imputer_model=None):
     for s, df in parts.items():
         d = impute.impute_session_id(impute.impute_user_id(df))
         d = cleaning.cast_float_to_int(imputer_model.transform(d), null_free_only=False)
-        processed[s] = features.prepare_features(d)
+        # model fitting makes many passes; each reads this checkpoint
+        # instead of recomputing the feature plan
+        processed[s] = cut_lineage(features.prepare_features(d))
     return processed, imputer_model
 
 
@@ -75,7 +77,7 @@ def inference_run(spark: SparkSession, sessions: DataFrame, run_dir: str, out_di
     d = cleaning.null_sentinel(cleaning.clean_inference(sessions))
     d = impute.impute_session_id(impute.impute_user_id(d))
     d = cleaning.cast_float_to_int(imputer_model.transform(d), null_free_only=False)
-    feats = features.prepare_features(d)
+    feats = cut_lineage(features.prepare_features(d))
     scored = models.load_model(os.path.join(run_dir, "full_model")).transform(feats)
     scored = cut_lineage(scored.select(ROW_ORD, "y_pred_prob", "prediction"))
     io.write_predictions(scored, os.path.join(out_dir, "predicted_probabilities"), "y_pred_prob")
