@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.session import cut_lineage
+from sessionlens.session import cut_lineage, estimated_bytes
 
 DEFAULT_CHUNK = 1 << 20
 
@@ -33,9 +33,18 @@ def has_hot_users(key_rows: DataFrame, count_col: str, factor: float = SKEW_FACT
     return r["mx"] >= max(min_rows, factor * r["tot"] / max(parts, 1))
 
 
+# Below this estimated input size no key can hold enough rows to matter,
+# and "auto" decides without running the counting job.
+SKEW_CHECK_MIN_BYTES = 256 << 20
+
+
 def use_keyed_scan(df: DataFrame, key: str, skew) -> bool:
-    """Resolve a ``skew`` argument: True / False, or "auto" = hot key present."""
+    """Resolve a ``skew`` argument: True / False, or "auto" = hot key present
+    (one counting job, skipped for inputs Catalyst estimates as small)."""
     if skew == "auto":
+        size = estimated_bytes(df)
+        if 0 <= size < SKEW_CHECK_MIN_BYTES:
+            return False
         return has_hot_users(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")), "_rows")
     return bool(skew)
 
