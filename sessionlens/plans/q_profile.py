@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from sessionlens.operators import cleaning, profile
 from sessionlens.plans.registry import narrow, register, wide
 
@@ -304,5 +302,3 @@ _DUP_KEYS = ["user_id", "DateTime", "product", "campaign_id"]
 def q_duplicate_report(spark, sf_dir):
     return profile.duplicate_report(wide(spark, sf_dir), _DUP_KEYS)
 
-
-_ = F
