@@ -224,3 +224,18 @@ def test_skew_safe_asof_equal_windows(spark):
     a = joins.asof_sessions(d, d, skew=False).select("row_ord", "sessions")
     b = joins.asof_sessions(d, d, skew=True).select("row_ord", "sessions")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_wall_micros_exact_across_dst_in_any_session_zone(spark):
+    import calendar
+    walls = [dt.datetime(2024, 11, 3, h, m, 0, 123456) for h in (0, 1, 4, 5, 6) for m in (0, 30)]
+    walls += [dt.datetime(2024, 3, 10, h, 30) for h in (1, 2, 3, 7)]
+    df = spark.createDataFrame([(w,) for w in walls], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in df.select(S.wall_micros("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = [calendar.timegm(w.timetuple()) * 1_000_000 + w.microsecond for w in walls]
+    assert got == want
