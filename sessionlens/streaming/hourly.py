@@ -28,11 +28,25 @@ def hourly_ctr_stream(stream: DataFrame, lateness: str = "2 hours", ts: str = "D
                     (F.col("clicks") / F.col("sessions")).alias("ctr"))
 
 
+# The state holds one row per hour not yet closed by the watermark, whatever
+# the input volume (partial aggregation runs before the shuffle), so a few
+# state partitions suffice. The number is fixed into the checkpoint at the
+# first run, so it is chosen here rather than inherited.
+STATE_PARTITIONS = 8
+
+
 def run_hourly_ctr(spark: SparkSession, source_dir: str, schema: T.StructType, checkpoint: str,
-                   query_name: str, lateness: str = "2 hours") -> DataFrame:
+                   query_name: str, lateness: str = "2 hours",
+                   state_partitions: int = STATE_PARTITIONS) -> DataFrame:
     """Process every file now in ``source_dir`` (``availableNow``), append
     the closed hours to an in-memory table and return it. The checkpoint
-    folder makes the query restartable."""
+    folder makes the query restartable. The query runs in a session clone
+    (same SparkContext, own SQL settings) so the caller's settings stay as
+    they are; the clone works in UTC, so the hour windows of naive wall
+    times are wall-clock hours whatever the caller's time zone."""
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     stream = spark.readStream.schema(schema).parquet(source_dir)
     q = (hourly_ctr_stream(stream, lateness).writeStream.outputMode("append").format("memory")
          .queryName(query_name).option("checkpointLocation", checkpoint)

@@ -27,7 +27,8 @@ def test_every_query_registered_has_callable():
 
 
 @pytest.mark.parametrize("key", ["fn_epoch", "time_since_prev", "localize_utc", "asof_clicks",
-                                 "sessions_with_min_gap_count", "hourly_ctr", "diff_prev_nonnull"])
+                                 "sessions_with_min_gap_count", "hourly_ctr", "diff_prev_nonnull",
+                                 "hourly_ctr_stream"])
 def test_results_do_not_depend_on_session_time_zone(spark, con, key):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
