@@ -11,13 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every job relies on. AQE re-plans joins and coalesces shuffle
 # partitions at run time; skew-join splits a hot key's partition when a
 # heavy user meets its one-row aggregate in a join back.
+# Context settings: only at session creation.
+CONTEXT_CONF = {
+    "spark.ui.enabled": "false",
+    # remove checkpoint files once nothing references them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+# SQL settings: at creation, and again on a session that already existed.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
     # Windows on user_id, (user_id, date) and (user_id, DateTime) share one
     # exchange on user_id instead of one exchange each.
     "spark.sql.requireAllClusterKeysForDistribution": "false",
@@ -35,7 +42,7 @@ def get_spark(app: str = "sessionlens", master: str | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**CONTEXT_CONF, **DEFAULT_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -43,8 +50,7 @@ def get_spark(app: str = "sessionlens", master: str | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     for k, v in DEFAULT_CONF.items():
-        if k != "spark.ui.enabled":
-            spark.conf.set(k, v)
+        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
