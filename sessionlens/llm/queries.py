@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import quality_rules
+from sessionlens.llm import decontaminate, pii, quality_rules
 from sessionlens.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,16 @@ def query(fn):
     return fn
 
 
+@query
+def op2_pii(spark, sf_dir):
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
