@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontaminate, pii, quality_rules
+from sessionlens.llm import decontaminate, packing, pii, quality_model, quality_rules
 from sessionlens.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,16 @@ def op3_decontamination(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_quality(spark, sf_dir):
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
