@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontaminate, packing, pii, quality_model, quality_rules
+from sessionlens.llm import decontaminate, packing, pii, quality_model, quality_rules, substring_dedup
 from sessionlens.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op5_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+@query
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
