@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontaminate, packing, pii, quality_model, quality_rules, substring_dedup
+from sessionlens.llm import decontaminate, ngram_join, packing, pii, quality_model, quality_rules, substring_dedup
 from sessionlens.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.join_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query
 def op2_pii(spark, sf_dir):
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
