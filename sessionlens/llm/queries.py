@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontaminate, ngram_join, packing, pii, quality_model, quality_rules, substring_dedup
+from sessionlens.llm import (decontaminate, license_scan, ngram_join, packing, pii, quality_model, quality_rules,
+                             secret_scan, substring_dedup)
 from sessionlens.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +45,16 @@ def op5_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_license_scan(spark, sf_dir):
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 @query
 def op8_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
