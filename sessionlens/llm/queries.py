@@ -6,10 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlens.llm import (decontaminate, license_scan, ngram_join, packing, pii, quality_model, quality_rules,
-                             secret_scan, substring_dedup)
+                             secret_scan, substring_dedup, warc)
 from sessionlens.llm.tables import table
+from sessionlens.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -65,3 +67,17 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query
+def op10_warc_audit(spark, sf_dir):
+    """Archives all pages into a replica that loses and alters some records by
+    a rule on their ids, then audits the replica's files."""
+    recs = warc.records(table(spark, sf_dir, "pages"))
+    listed = warc.manifest(recs)
+    rule = F.conv(F.substring("record_id", 1, 6), 16, 10).cast("long")
+    damaged = recs.filter(rule % 59 != 0).withColumn(
+        "html", F.when(rule % 53 == 0, F.translate("html", "aeiou", "eioua")).otherwise(F.col("html")))
+    path = scratch_path(spark, "warc")
+    warc.write_archive(damaged, path)
+    return warc.audit(listed, warc.read_archive(spark, path))
