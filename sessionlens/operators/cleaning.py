@@ -121,7 +121,7 @@ def rename_column(df: DataFrame, old: str = "product_category_1",
 
 
 def cast_float_to_int(df: DataFrame, null_free_only: bool = False) -> DataFrame:
-    """Every float / double column to int (truncation, as ``astype(int)``).
+    """Every float / double column to 64-bit int (truncation, as ``astype(int)``).
 
     ``null_free_only`` keeps columns that hold nulls (one extra aggregate).
     """
@@ -130,7 +130,7 @@ def cast_float_to_int(df: DataFrame, null_free_only: bool = False) -> DataFrame:
     if null_free_only and floats:
         row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in floats]).first()
         floats = [c for c in floats if row[c] == 0]
-    return df.select(*[F.col(c).cast("int").alias(c) if c in floats else F.col(c)
+    return df.select(*[F.col(c).cast("bigint").alias(c) if c in floats else F.col(c)
                        for c in df.columns])
 
 

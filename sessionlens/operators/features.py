@@ -11,7 +11,7 @@ Plan shape (see README "Feature plan"):
 * "Seen before" flags need only the first occurrence of (user, value): an
   aggregate of ``min(struct(order))`` joined back on (user, value).
 * The truly sequential features (previous row's product; gaps in row
-  order) are windows ordered by time or by row order.
+  order) are range-partitioned keyed scans ordered by time or by row order.
 * Thresholds that are quantiles: the per-day 0.95 quantile is over rows, so
   it is computed as a frequency-weighted exact ``percentile`` over the
   (user, day) counts -- one row per active user-day, not one per session.
@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import clip_upper, early_morning, time_of_day, wall_micros
-from sessionlens.operators.ordering import has_hot_users, keyed_scan
+from sessionlens.operators.ordering import keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
-from sessionlens.session import cut_lineage, estimated_bytes, maybe_cut_lineage
+from sessionlens.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -114,8 +114,8 @@ def threshold_features():
 # ---------------------------------------------------------------------------
 
 def _nuniq(c: str) -> Column:
-    # distinct non-null count; collect_set keeps partial aggregation
-    return F.size(F.collect_set(F.col(c)))
+    # distinct non-null count: two-phase, so no task holds a user's values
+    return F.count_distinct(F.col(c))
 
 
 def _mixed(c: str) -> Column:
@@ -137,17 +137,16 @@ _BASE_KEYS = ["user_id", "DateTime", "product", "product_category", "campaign_id
               "secondary_product_category_known", "city_development_index_known", "var_1"]
 
 
-def _base_groups(d: DataFrame, materialize=True) -> DataFrame:
+def _base_groups(d: DataFrame, materialize: bool = True) -> DataFrame:
     """Rows per distinct base key, and the first row (order) of each.
 
     When materialized (the default) the table is checkpointed (reliable,
     into the shared checkpoint folder): the input is scanned once for all
     grouped features instead of once per consumer, and the lineage of
-    everything built on it is cut there. "auto" materializes only when
-    Catalyst estimates the input above ``MATERIALIZE_MIN_BYTES``.
+    everything built on it is cut there.
     """
     g0 = d.groupBy(*_BASE_KEYS).agg(F.count(F.lit(1)).alias("_n"), F.min(ROW_ORD).alias("_ord"))
-    return maybe_cut_lineage(g0, materialize, source=d)
+    return cut_lineage(g0) if materialize else g0
 
 
 def _ut_table(g0: DataFrame) -> DataFrame:
@@ -170,7 +169,7 @@ def _ud_table(g0: DataFrame) -> DataFrame:
         _nuniq("product").alias("_nu_prod_ud"),
         _nuniq("campaign_id").alias("_nu_camp_ud"),
         _nuniq("webpage_id").alias("_nu_web_ud"),
-        F.size(F.collect_set(F.hour("DateTime"))).alias("_nu_hour_ud"),
+        F.count_distinct(F.hour("DateTime")).alias("_nu_hour_ud"),
     )
     # quantile over rows = quantile over (user, day) counts weighted by count
     thr = (ud.where(F.col("_date").isNotNull()).groupBy("_date")
@@ -221,44 +220,34 @@ def _first_seen(g0: DataFrame, key: str, name: str) -> DataFrame:
               .groupBy("user_id", key).agg(F.min(okey)["_ord"].alias(name)))
 
 
-def _order():
-    return [F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD).asc()]
+# daily_session_sequence stops counting here
+_LAST_SEQUENCE = 7
 
 
-def _seq_columns(d: DataFrame, needed: set, skew_safe: bool = False) -> DataFrame:
-    """The sequential features: windows per user, or (``skew_safe``) the
-    range-partitioned keyed scan that splits a hot user across tasks."""
-    micros = wall_micros("DateTime")
+def _seq_columns(d: DataFrame, needed: set) -> DataFrame:
+    """The sequential features. Scans read the key, the order and one value;
+    their results join back on the row order, which is unique."""
     if "prev_session_same_product" in needed:
-        if skew_safe:
-            d = keyed_scan(d, "user_id", ["DateTime", ROW_ORD], lag_cols=["product"])
-            prev = F.col("_lag_product")
-        else:
-            prev = F.lag("product").over(Window.partitionBy("user_id").orderBy(*_order()))
-        d = d.withColumn("prev_session_same_product",
-                         F.when(F.col("user_id").isNull(), 0)
-                          .otherwise(F.coalesce((prev == F.col("product")).cast("int"), F.lit(0))))
-        if skew_safe:
-            d = d.drop("_lag_product")
+        cols = d.select("user_id", "DateTime", ROW_ORD, "product")
+        prev = keyed_scan(cols, "user_id", ["DateTime", ROW_ORD], lag_cols=["product"]).select(
+            ROW_ORD, F.when(F.col("user_id").isNull(), 0)
+            .otherwise(F.coalesce((F.col("_lag_product") == F.col("product")).cast("int"), F.lit(0)))
+            .alias("prev_session_same_product"))
+        d = d.join(prev, ROW_ORD, "left")
     if "sessions_with_min_gap_count" in needed:
-        if skew_safe:
-            g = keyed_scan(d.select("user_id", ROW_ORD, micros.alias("_us")), "user_id", [ROW_ORD],
-                           lag_cols=["_us"])
-            gaps = (g.groupBy("user_id").agg(
-                F.sum(((F.col("_us") - F.col("_lag__us")) < MIN_GAP_SECONDS * 1_000_000).cast("int")).alias("_gaps")))
-            d = join_null_safe(d, gaps, ["user_id"])
-        else:
-            w = Window.partitionBy("user_id").orderBy(ROW_ORD)
-            gap = micros - F.lag(micros).over(w)
-            d = d.withColumn("_short_gap", (gap < MIN_GAP_SECONDS * 1_000_000).cast("int"))
-            d = d.withColumn("_gaps", F.sum("_short_gap").over(Window.partitionBy("user_id")))
+        g = keyed_scan(d.select("user_id", ROW_ORD, wall_micros("DateTime").alias("_us")), "user_id", [ROW_ORD],
+                       lag_cols=["_us"])
+        gaps = (g.groupBy("user_id").agg(
+            F.sum(((F.col("_us") - F.col("_lag__us")) < MIN_GAP_SECONDS * 1_000_000).cast("int")).alias("_gaps")))
+        d = join_null_safe(d, gaps, ["user_id"])
     if "daily_session_sequence" in needed:
-        if skew_safe:
-            d = keyed_scan(d.withColumn("_ud", F.struct("user_id", "_date")), "_ud", [ROW_ORD], count_out="_seq")
-            d = d.withColumn("daily_session_sequence", F.least(F.col("_seq") + 1, F.lit(7))).drop("_ud", "_seq")
-        else:
-            w = Window.partitionBy("user_id", "_date").orderBy(ROW_ORD)
-            d = d.withColumn("daily_session_sequence", F.least(F.row_number().over(w), F.lit(7)))
+        # only a day's first rows differ: a limited rank, which tasks cut to
+        # a few rows per (user, day) before the shuffle
+        w = Window.partitionBy("user_id", "_date").orderBy(ROW_ORD)
+        first = (d.select("user_id", "_date", ROW_ORD).withColumn("_seq", F.row_number().over(w))
+                  .where(F.col("_seq") < _LAST_SEQUENCE).select(ROW_ORD, "_seq"))
+        d = d.join(first, ROW_ORD, "left").withColumn(
+            "daily_session_sequence", F.coalesce("_seq", F.lit(_LAST_SEQUENCE))).drop("_seq")
     return d
 
 
@@ -334,113 +323,22 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(r, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
-# Inputs Catalyst estimates below this size take the window plan: one
-# exchange on user_id serves every window keyed by a user-prefixed key.
-# Larger inputs take the aggregate plan, whose shuffles stay balanced when
-# a user or a timestamp is hot.
-WINDOW_PLAN_MAX_BYTES = 512 << 20
-
-
-def _first_row(w):
-    return F.row_number().over(w.orderBy(ROW_ORD)) == 1
-
-
-def _window_features(d: DataFrame, needed: set) -> DataFrame:
-    """All grouped features as windows over the rows (small inputs)."""
-    c = F.col
-    wU = Window.partitionBy("user_id")
-    wUD = Window.partitionBy("user_id", "_date")
-    wUT = Window.partitionBy("user_id", "DateTime")
-
-    def nuniq(col, w):
-        return F.size(F.collect_set(col).over(w))
-
-    def mixed(col, w):
-        v = c(col).cast("int")
-        return F.coalesce((F.max(v).over(w) != F.min(v).over(w)).cast("int"), F.lit(0))
-
-    has_t = c("DateTime").isNotNull()
-    d = d.select(
-        "*",
-        F.count(F.lit(1)).over(wUT).alias("_n_ut"),
-        nuniq("product", wUT).alias("_nu_prod_ut"),
-        nuniq("webpage_id", wUT).alias("_nu_web_ut"),
-        mixed("secondary_product_category_known", wUT).alias("session_mixed_secondary_product_category_known"),
-        mixed("city_development_index_known", wUT).alias("session_mixed_city_development_index_known"),
-        mixed("var_1", wUT).alias("session_mixed_var1"),
-        F.count(F.lit(1)).over(wUD).alias("_n_ud"),
-        F.count("webpage_id").over(wUD).alias("_web_ud"),
-        # per-day distinct counts, kept on the day's first row only so that
-        # a per-user sum averages over days, not rows
-        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("product", wUD)).alias("_dp"),
-        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("campaign_id", wUD)).alias("_dc"),
-        F.when(_first_row(wUD) & c("_date").isNotNull(), nuniq("webpage_id", wUD)).alias("_dw"),
-        F.when(c("_date").isNotNull(), F.size(F.collect_set(F.hour("DateTime")).over(wUD))).alias("_dh"),
-        nuniq("product", wU).alias("_nu_prod"),
-        nuniq("product_category", wU).alias("_nu_cat"),
-        nuniq("campaign_id", wU).alias("_nu_camp"),
-        nuniq("webpage_id", wU).alias("_nu_web"),
-        F.sum(F.coalesce(early_morning("DateTime").cast("int"), F.lit(0))).over(wU).alias("_early"),
-        mixed("city_development_index_known", wU).alias("mixed_city_development_index_known"),
-        mixed("secondary_product_category_known", wU).alias("mixed_product_category_2_known"),
-        F.coalesce((F.max("var_1").over(wU) == F.min("var_1").over(wU)).cast("int"), F.lit(0))
-         .alias("user_uniform_var1"),
-        F.size(F.collect_set("_date").over(wU)).alias("_days"),
-        F.when(c("product").isNotNull() & c("campaign_id").isNotNull() & c("webpage_id").isNotNull(),
-               F.count(F.lit(1)).over(Window.partitionBy("user_id", "product", "campaign_id", "webpage_id")))
-         .alias("_ident"),
-    )
-    d = d.select(
-        "*",
-        F.percentile(c("_n_ud"), F.lit(HIGH_VOLUME_QUANTILE)).over(Window.partitionBy("_date")).alias("_thr"),
-        F.max(F.when(has_t, c("_n_ut"))).over(wU).alias("_max_ut"),
-        F.ceil(F.try_divide(F.sum("_dp").over(wU), c("_days"))).alias("_div_prod"),
-        F.ceil(F.try_divide(F.sum("_dc").over(wU), c("_days"))).alias("_div_camp"),
-        F.ceil(F.try_divide(F.sum("_dw").over(wU), c("_days"))).alias("_div_web"),
-        F.max("_dh").over(wU).alias("_max_hours"),
-        F.max("_ident").over(wU).alias("_max_ident"),
-        _first_row(wU).alias("_first_of_user"),
-    )
-    d = d.withColumn("_thr", F.when(c("_date").isNotNull(), c("_thr")))
-    # 0.99 quantile over users (one value per user): a one-row aggregate
-    thr99 = (d.where(c("_first_of_user")).agg(F.percentile("_max_ut", F.lit(EXCESS_DUP_QUANTILE)).alias("_thr99")))
-    d = d.crossJoin(F.broadcast(thr99))
-    for n, key in _FIRST.items():
-        if n in needed:
-            w = Window.partitionBy("user_id", key).orderBy(*_order())
-            d = d.withColumn(f"_first_{key}", F.when(c(key).isNotNull() & c("user_id").isNotNull(),
-                                                     F.first(ROW_ORD).over(w.rowsBetween(Window.unboundedPreceding,
-                                                                                         Window.unboundedFollowing))))
-    return d
-
-
-def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=True, skew="auto",
-                     plan: str = "auto") -> DataFrame:
+def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize: bool = True) -> DataFrame:
     """Columns ``keep`` + the requested features (default: the registry,
     in registry order) + the target when present, cast by the registry.
 
-    Only the grain tables a requested feature needs are built. The base
-    aggregate and the grouped-feature table are checkpointed (eager jobs);
-    ``materialize`` = False / "auto" skips / sizes the first checkpoint.
-    ``skew`` ("auto" / True / False) picks the keyed scan for the sequential
-    features when a user holds more than its share of rows. ``plan``:
-    "aggregate", "window", or "auto" = window below ``WINDOW_PLAN_MAX_BYTES``.
+    One plan for every size. Only the grain tables a requested feature needs
+    are built, by aggregation; sequential features come from range-partitioned
+    scans of the columns they read. The base aggregate (unless ``materialize``
+    is off) and the grouped-feature table are checkpointed.
     """
     names = list(names) if names is not None else FEATURE_NAMES
     needed = set(names)
     d = _prep(df)
-    if plan == "auto":
-        size = estimated_bytes(d)
-        plan = "window" if 0 <= size < WINDOW_PLAN_MAX_BYTES else "aggregate"
-    if plan == "window":
-        rows = _seq_columns(_window_features(d, needed), needed, False)
-        return _final_select(rows, names, keep)
-    need_ut = bool(needed & _UT)
-    need_ud = bool(needed & _UD)
-    need_u = bool(needed & _U)
+    need_ut, need_ud, need_u = bool(needed & _UT), bool(needed & _UD), bool(needed & _U)
+    need_first = bool(needed & set(_FIRST))
     # one table keyed by (user_id, DateTime) holding every grouped feature
     grain = None
-    need_first = bool(needed & set(_FIRST))
     g0 = _base_groups(d, materialize) if (need_ut or need_ud or need_u or need_first) else None
     if need_ut or need_ud or need_u:
         ut = _ut_table(g0)
@@ -457,12 +355,7 @@ def compute_features(df: DataFrame, names=None, keep=(ROW_ORD,), materialize=Tru
         grain = cut_lineage(grain.drop("_date"))
         if need_u:
             grain = grain.crossJoin(F.broadcast(_excess_threshold(grain)))
-    seq = needed & {"prev_session_same_product", "sessions_with_min_gap_count", "daily_session_sequence"}
-    if seq and skew == "auto":
-        per_user = (grain.groupBy("user_id").agg(F.sum("_n_ut").alias("_rows")) if grain is not None
-                    else d.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows")))
-        skew = has_hot_users(per_user, "_rows")
-    rows = _seq_columns(d, needed, bool(seq) and skew is True)
+    rows = _seq_columns(d, needed)
     if grain is not None:
         rows = join_null_safe(rows, grain, ["user_id", "DateTime"])
     for n, key in _FIRST.items():
@@ -487,9 +380,9 @@ def _final_select(rows: DataFrame, names, keep) -> DataFrame:
     return rows.select(*out)
 
 
-def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize=True, skew="auto", plan="auto") -> DataFrame:
+def prepare_features(df: DataFrame, keep=(ROW_ORD,), materialize: bool = True) -> DataFrame:
     """All 43 registry features + target, in registry order (row 110)."""
-    return compute_features(df, FEATURE_NAMES, keep, materialize, skew, plan)
+    return compute_features(df, FEATURE_NAMES, keep, materialize)
 
 
 def most_common_time_of_day(df: DataFrame) -> DataFrame:
@@ -501,10 +394,3 @@ def most_common_time_of_day(df: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("_n")).alias("k"), F.col("_tod").alias("v")))["v"]
          .alias("most_common_time_of_day"))
     return join_null_safe(d, best, ["user_id"]).select(ROW_ORD, "most_common_time_of_day")
-
-
-def grain_summary(df: DataFrame) -> dict:
-    """The three grain tables (for inspection and tests)."""
-    g0 = _base_groups(_prep(df))
-    ut, ud = _ut_table(g0), _ud_table(g0)
-    return {"ut": ut, "ud": ud, "u": _user_table(g0, ut, ud)}

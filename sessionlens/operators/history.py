@@ -6,30 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import epoch_seconds, wall_micros
-from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number, keyed_scan, use_keyed_scan
+from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number, keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET
 
 
-def _user_time():
-    return Window.partitionBy("user_id").orderBy(F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD))
+def historical_click(df: DataFrame) -> DataFrame:
+    """Clicks of the user's earlier rows (time order, then row order)."""
+    s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], sum_cols=[TARGET])
+    return s.withColumnRenamed(f"_sum_{TARGET}", "historical_click").withColumn(
+        "historical_click", F.col("historical_click").cast("long"))
 
 
-def historical_click(df: DataFrame, skew="auto") -> DataFrame:
-    """Clicks of the user's earlier rows (time order, then row order).
-    ``skew``: True / "auto" (hot user present) uses the keyed scan."""
-    if use_keyed_scan(df, "user_id", skew):
-        s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], sum_cols=[TARGET])
-        return s.withColumnRenamed(f"_sum_{TARGET}", "historical_click").withColumn(
-            "historical_click", F.col("historical_click").cast("long"))
-    w = _user_time().rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("historical_click", F.coalesce(F.sum(TARGET).over(w), F.lit(0)).cast("long"))
-
-
-def historical_sessions(df: DataFrame, skew="auto") -> DataFrame:
+def historical_sessions(df: DataFrame) -> DataFrame:
     """Number of the user's earlier rows; the first is 0."""
-    if use_keyed_scan(df, "user_id", skew):
-        return keyed_scan(df, "user_id", ["DateTime", ROW_ORD], count_out="historical_sessions")
-    return df.withColumn("historical_sessions", (F.row_number().over(_user_time()) - 1).cast("long"))
+    return keyed_scan(df, "user_id", ["DateTime", ROW_ORD], count_out="historical_sessions")
 
 
 def product_viewed_before(df: DataFrame) -> DataFrame:
@@ -45,26 +35,22 @@ def product_viewed_before(df: DataFrame) -> DataFrame:
                         F.coalesce((okey != F.col("_first")).cast("int"), F.lit(0))).drop("_first")
 
 
-def time_since_prev(df: DataFrame, skew="auto") -> DataFrame:
+def time_since_prev(df: DataFrame) -> DataFrame:
     """Seconds and hours since the user's previous row in time order
     (hours = seconds / 3600; the reference divides by 360)."""
-    if use_keyed_scan(df, "user_id", skew):
-        df = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], lag_cols=["DateTime"])
-        prev = F.col("_lag_DateTime")
-    else:
-        prev = F.lag("DateTime").over(_user_time())
-    secs = (wall_micros("DateTime") - wall_micros(prev)) / 1e6
-    out = (df.withColumn("seconds_since_prev", secs)
-             .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0))
-    return out.drop("_lag_DateTime") if "_lag_DateTime" in out.columns else out
+    s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], lag_cols=["DateTime"])
+    secs = (wall_micros("DateTime") - wall_micros(F.col("_lag_DateTime"))) / 1e6
+    return (s.withColumn("seconds_since_prev", secs)
+             .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0).drop("_lag_DateTime"))
 
 
 def recent_session_rows(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
     """Rows after the first of users with more than 2 rows, flagged
     ``had_recent_session`` when the user's previous row is at most
     ``within_hours`` earlier."""
-    t = time_since_prev(df).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("user_id")))
-    f = t.where((F.col("_n") > 2) & F.col("hours_since_prev").isNotNull()).drop("_n")
+    t = time_since_prev(df).where(F.col("hours_since_prev").isNotNull())
+    busy = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2)
+    f = t.join(busy.select(F.col("user_id").alias("_busy")), F.col("user_id").eqNullSafe(F.col("_busy")), "left_semi")
     return f.withColumn("had_recent_session", (F.col("hours_since_prev") <= within_hours).cast("int"))
 
 
@@ -75,8 +61,8 @@ def recent_session_ctr(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
     g = f.agg(F.avg(F.when(F.col("had_recent_session") == 1, F.col(TARGET))).alias("ctr_with_recent"),
               F.avg(F.when(F.col("had_recent_session") == 0, F.col(TARGET))).alias("ctr_without_recent"),
               F.count(F.lit(1)).alias("rows"))
-    return g.withColumn("relative_lift", (F.col("ctr_with_recent") - F.col("ctr_without_recent"))
-                        / F.col("ctr_without_recent"))
+    return g.withColumn("relative_lift", F.try_divide(F.col("ctr_with_recent") - F.col("ctr_without_recent"),
+                                                      F.col("ctr_without_recent")))
 
 
 def viewed_before_ctr(df: DataFrame) -> DataFrame:
@@ -86,7 +72,8 @@ def viewed_before_ctr(df: DataFrame) -> DataFrame:
     g = v.agg(F.avg(TARGET).alias("overall_ctr"),
               F.avg(F.when(F.col("product_viewed_before") == 1, F.col(TARGET))).alias("ctr_viewed_before"),
               F.avg(F.when(F.col("product_viewed_before") == 0, F.col(TARGET))).alias("ctr_not_viewed_before"))
-    return g.withColumn("relative_lift", (F.col("ctr_viewed_before") - F.col("overall_ctr")) / F.col("overall_ctr"))
+    return g.withColumn("relative_lift", F.try_divide(
+        F.col("ctr_viewed_before") - F.col("overall_ctr"), F.col("overall_ctr")))
 
 
 def _halo_context(df: DataFrame, value: str, order_col: str, m: int, chunk_size: int):

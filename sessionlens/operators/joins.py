@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import wall_micros
-from sessionlens.operators.ordering import keyed_scan, use_keyed_scan
+from sessionlens.operators.ordering import keyed_scan
 from sessionlens.schema import ROW_ORD, TARGET, TEST_PRODUCT
 
-# A lookup side is broadcast only when a count proves it small.
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach a per-key table to every row. The small side is counted
-    first (one cheap job over an aggregate) and broadcast only under the
-    bound; otherwise both sides shuffle on the key and AQE may still turn
-    the join into a broadcast or split a skewed key at run time."""
-    n = small.count()
-    side = F.broadcast(small) if n <= max_broadcast_rows else small
-    return big.join(side, on=on, how=how)
+def join_lookup(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """Attach a per-key table to every row. AQE broadcasts the small side
+    when its measured bytes allow it and splits a skewed key otherwise."""
+    return big.join(small, on=on, how=how)
 
 
 def user_counts_join(df: DataFrame) -> DataFrame:
@@ -61,29 +53,27 @@ def outer_join_campaign(df: DataFrame) -> DataFrame:
     return exposure.join(per_campaign, "campaign_id", "full")
 
 
-def _order():
-    return [F.col("DateTime").asc_nulls_last(), F.col(ROW_ORD).asc()]
-
-
 def historical_click_table(df: DataFrame) -> DataFrame:
     """(user_id, DateTime, historical_click): clicks of the user's earlier
     rows (per user; the reference's shift crosses users)."""
-    w = Window.partitionBy("user_id").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
-    return df.select("user_id", "DateTime", F.coalesce(F.sum(TARGET).over(w), F.lit(0))
-                     .cast("long").alias("historical_click"))
+    cols = df.select("user_id", "DateTime", ROW_ORD, TARGET)
+    s = keyed_scan(cols, "user_id", ["DateTime", ROW_ORD], sum_cols=[TARGET])
+    return s.select("user_id", "DateTime", F.col(f"_sum_{TARGET}").cast("long").alias("historical_click"))
 
 
 def history_merge(df: DataFrame, history: DataFrame) -> DataFrame:
     """Left join on (user, DateTime). Duplicate keys in ``history`` fan out
-    (the reference's behaviour, kept as the raw join)."""
+    (the reference's behaviour, kept as the raw join): a key held d times on
+    both sides gives d * d rows, so aggregate ``history`` first where rows of
+    one user share a time without bound."""
     return df.join(history, ["user_id", "DateTime"], "left")
 
 
 def sessions_table(df: DataFrame) -> DataFrame:
     """(user_id, DateTime, session_id, sessions): earlier rows of the user."""
-    w = Window.partitionBy("user_id").orderBy(*_order())
-    return df.select("user_id", "DateTime", "session_id",
-                     (F.row_number().over(w) - 1).cast("long").alias("sessions"))
+    cols = df.select("user_id", "DateTime", ROW_ORD, "session_id")
+    return keyed_scan(cols, "user_id", ["DateTime", ROW_ORD], count_out="sessions").select(
+        "user_id", "DateTime", "session_id", F.col("sessions").cast("long").alias("sessions"))
 
 
 def sessions_merge(df: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -106,75 +96,46 @@ def _asof_union(h: DataFrame, keys: DataFrame, value_cols) -> DataFrame:
              .withColumn("_side", F.when(F.col("_ext"), 0).otherwise(1)))
 
 
-def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = False, skew="auto") -> DataFrame:
+def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = False) -> DataFrame:
     """For each external row: the sum of the user's internal clicks strictly
     earlier in time (``drop_last`` also leaves out the latest of those rows,
     as the reference's cumsum/shift does).
 
-    No range join: the internal rows are pre-aggregated per (user, time)
-    and unioned with the distinct external (user, time) keys; a range
-    window (``rangeBetween(unboundedPreceding, -1)`` on microseconds) sums
-    what is strictly earlier, and the result joins back on (user, time).
+    No range join: the internal rows are pre-aggregated per (user, time) and
+    unioned with the distinct external (user, time) keys; a keyed scan, which
+    splits a hot user across tasks, sums what comes before, and the result
+    joins back on (user, time). With external rows ordered first at equal
+    times, the exclusive running sum is the strictly-earlier sum.
     """
     h = (internal.where(F.col("DateTime").isNotNull())
                  .groupBy("user_id", "DateTime").agg(
-                     F.sum(TARGET).alias("_clicks"),
+                     F.sum(TARGET).cast("long").alias("_clicks"),
                      F.max_by(F.col(TARGET), F.col(ROW_ORD)).alias("_last")))
     keys = external.select("user_id", "DateTime").where(F.col("DateTime").isNotNull()).distinct()
-    if use_keyed_scan(h, "user_id", skew):
-        # A hot user is split across tasks by the keyed scan. With external
-        # rows ordered first at equal times, the exclusive running sum is the
-        # strictly-earlier sum. The previous group's last click is a running
-        # sum of differences between consecutive internal groups.
-        hd = keyed_scan(h.withColumn("_us", _micros("DateTime")), "user_id", ["_us"], lag_cols=["_last"])
-        hd = hd.withColumn("_dlast", (F.col("_last") - F.coalesce(F.col("_lag__last"), F.lit(0))).cast("long"))
-        u = _asof_union(hd.withColumn("_clicks", F.col("_clicks").cast("long")), keys, ["_clicks", "_dlast"])
-        sc = keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_clicks", "_dlast"]).where("_ext")
-        val = F.col("_sum__clicks") - (F.col("_sum__dlast") if drop_last else F.lit(0))
-        res = sc.select("user_id", "DateTime", val.cast("long").alias("historical_click"))
-        return (external.join(res, ["user_id", "DateTime"], "left")
-                        .withColumn("historical_click", F.coalesce("historical_click", F.lit(0))))
-    u = (h.withColumn("_ext", F.lit(False))
-          .unionByName(keys.withColumn("_clicks", F.lit(None).cast("long"))
-                           .withColumn("_last", F.lit(None).cast("int"))
-                           .withColumn("_ext", F.lit(True))))
-    w = (Window.partitionBy("user_id").orderBy(_micros("DateTime"))
-               .rangeBetween(Window.unboundedPreceding, -1))
-    res = u.select("user_id", "DateTime", "_ext",
-                   F.coalesce(F.sum("_clicks").over(w), F.lit(0)).alias("_before"),
-                   F.last("_last", ignorenulls=True).over(w).alias("_prev_last"))
-    res = res.where("_ext")
-    val = F.col("_before")
+    sums = ["_clicks"]
     if drop_last:
-        val = val - F.coalesce(F.col("_prev_last"), F.lit(0))
-    res = res.select("user_id", "DateTime", val.cast("long").alias("historical_click"))
+        # the previous group's last click, as a running sum of differences
+        # between consecutive internal groups
+        h = keyed_scan(h.withColumn("_us", _micros("DateTime")), "user_id", ["_us"], lag_cols=["_last"])
+        h = h.withColumn("_dlast", (F.col("_last") - F.coalesce(F.col("_lag__last"), F.lit(0))).cast("long"))
+        sums = ["_clicks", "_dlast"]
+    sc = keyed_scan(_asof_union(h, keys, sums), "user_id", ["_us", "_side"], sum_cols=sums).where("_ext")
+    val = F.col("_sum__clicks") - (F.col("_sum__dlast") if drop_last else F.lit(0))
+    res = sc.select("user_id", "DateTime", val.cast("long").alias("historical_click"))
     return (external.join(res, ["user_id", "DateTime"], "left")
                     .withColumn("historical_click", F.coalesce("historical_click", F.lit(0))))
 
 
-def asof_sessions(external: DataFrame, internal: DataFrame, skew="auto") -> DataFrame:
+def asof_sessions(external: DataFrame, internal: DataFrame) -> DataFrame:
     """Internal sessions of the user strictly earlier in time, plus the
     external sessions of the user already seen (time order, then row order)."""
     h = (internal.where(F.col("DateTime").isNotNull())
                  .groupBy("user_id", "DateTime").agg(F.count(F.lit(1)).alias("_n")))
     keys = external.select("user_id", "DateTime").where(F.col("DateTime").isNotNull()).distinct()
-    if use_keyed_scan(h, "user_id", skew):
-        u = _asof_union(h, keys, ["_n"])
-        before = (keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_n"]).where("_ext")
-                  .select("user_id", "DateTime", F.col("_sum__n").alias("_internal")))
-        ext = keyed_scan(external, "user_id", ["DateTime", ROW_ORD], count_out="_seen")
-        return (ext.join(before, ["user_id", "DateTime"], "left")
-                   .withColumn("sessions", (F.coalesce("_internal", F.lit(0)) + F.col("_seen")).cast("long"))
-                   .drop("_internal", "_seen"))
-    u = (h.withColumn("_ext", F.lit(False))
-          .unionByName(keys.withColumn("_n", F.lit(None).cast("long")).withColumn("_ext", F.lit(True))))
-    w = (Window.partitionBy("user_id").orderBy(_micros("DateTime"))
-               .rangeBetween(Window.unboundedPreceding, -1))
-    internal_before = (u.select("user_id", "DateTime", "_ext",
-                                F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_internal"))
-                        .where("_ext").drop("_ext"))
-    we = Window.partitionBy("user_id").orderBy(*_order())
-    ext = external.withColumn("_seen", F.row_number().over(we) - 1)
-    return (ext.join(internal_before, ["user_id", "DateTime"], "left")
+    u = _asof_union(h, keys, ["_n"])
+    before = (keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_n"]).where("_ext")
+              .select("user_id", "DateTime", F.col("_sum__n").alias("_internal")))
+    ext = keyed_scan(external, "user_id", ["DateTime", ROW_ORD], count_out="_seen")
+    return (ext.join(before, ["user_id", "DateTime"], "left")
                .withColumn("sessions", (F.coalesce("_internal", F.lit(0)) + F.col("_seen")).cast("long"))
                .drop("_internal", "_seen"))

@@ -5,8 +5,8 @@ Label metrics are one aggregate of four sums. Score metrics (ROC AUC,
 area under the precision-recall curve, average precision) first reduce the
 rows to one row per distinct score (partial aggregation), then need
 cumulative counts in score order: those come from ``cumulative_by_value``,
-which ranks values inside equal-width value buckets and adds bucket
-offsets, so no step sorts all distinct scores in one task.
+which scans range partitions of the values and adds their offsets, so no
+step sorts all distinct scores in one task.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlens.session import cut_lineage
+
 Y_TRUE, Y_PRED, Y_PROBA = "y_true", "y_pred", "y_proba"
-VALUE_BUCKETS = 4096
 
 
 def confusion_counts(df: DataFrame, group_cols=()) -> DataFrame:
@@ -81,26 +82,22 @@ def label_metrics(df: DataFrame, group_cols=(), beta: float = 2.0) -> DataFrame:
                     (2 * bacc_expr() - 1).alias("aba"))
 
 
-def cumulative_by_value(df: DataFrame, value_col: str, sum_cols, descending: bool = False,
-                        buckets: int = VALUE_BUCKETS) -> DataFrame:
+def cumulative_by_value(df: DataFrame, value_col: str, sum_cols, descending: bool = False) -> DataFrame:
     """``df`` has one row per distinct ``value_col``. Adds ``_below_<c>``:
     the sum of ``c`` over rows strictly before in value order (ascending,
-    or descending)."""
-    bounds = df.agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
-    width = F.when(F.col("_hi") > F.col("_lo"), F.col("_hi") - F.col("_lo")).otherwise(F.lit(1.0))
-    frac = (F.col(value_col) - F.col("_lo")) / width
-    if descending:
-        frac = 1 - frac
-    b = F.least(F.floor(frac * buckets), F.lit(buckets - 1)).cast("int")
-    d = df.crossJoin(F.broadcast(bounds)).withColumn("_bk", b).drop("_lo", "_hi")
+    or descending). Range partitions (sampled bounds, so concentrated values
+    spread too) are scanned on their own; one row a partition carries on."""
     order = F.col(value_col).desc() if descending else F.col(value_col).asc()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written once: bounds are sampled, both branches must see the same ones
+    d = cut_lineage(df.repartitionByRange(parts, order).withColumn("_bk", F.spark_partition_id()))
     w = Window.partitionBy("_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = d.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_loc_{c}") for c in sum_cols])
     tot = d.groupBy("_bk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    wb = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)   # <= buckets rows
+    wb = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)   # one row a partition
     offs = tot.select("_bk", *[F.coalesce(F.sum(f"_tot_{c}").over(wb), F.lit(0)).alias(f"_off_{c}")
                                for c in sum_cols])
-    j = local.join(F.broadcast(offs), "_bk")
+    j = local.join(offs, "_bk")
     return j.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"_below_{c}")
                                    for c in sum_cols])
 
@@ -145,7 +142,7 @@ def auprc(df: DataFrame) -> DataFrame:
     """Trapezoid area under the precision-recall curve, from the point
     (recall 0, precision 1) through every distinct threshold."""
     p = _pr_points(df)
-    r, r0 = F.col("tp") / _d("_P"), F.col("tp_prev") / _d("_P")
+    r, r0 = F.try_divide("tp", _d("_P")), F.try_divide("tp_prev", _d("_P"))
     pr, pr0 = _prec(F.col("tp"), F.col("fp")), _prec(F.col("tp_prev"), F.col("fp_prev"))
     return p.agg(F.sum((r - r0) * (pr + pr0) / 2).alias("auprc"))
 
@@ -153,10 +150,10 @@ def auprc(df: DataFrame) -> DataFrame:
 def average_precision(df: DataFrame) -> DataFrame:
     """Step-wise AP = sum (R_i - R_{i-1}) * P_i, and AP over the base rate."""
     p = _pr_points(df)
-    r, r0 = F.col("tp") / _d("_P"), F.col("tp_prev") / _d("_P")
+    r, r0 = F.try_divide("tp", _d("_P")), F.try_divide("tp_prev", _d("_P"))
     ap = p.agg(F.sum((r - r0) * _prec(F.col("tp"), F.col("fp"))).alias("average_precision"))
     base = df.agg(F.avg(_d(Y_TRUE)).alias("base_rate"))
-    return ap.crossJoin(base).withColumn("ap_lift", F.col("average_precision") / F.col("base_rate"))
+    return ap.crossJoin(base).withColumn("ap_lift", F.try_divide("average_precision", "base_rate"))
 
 
 def classification_report(df: DataFrame) -> DataFrame:

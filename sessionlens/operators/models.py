@@ -62,7 +62,7 @@ def class_ratio(df: DataFrame, label: str = TARGET) -> DataFrame:
     """One row: negatives, positives and negatives / positives."""
     g = df.agg(F.sum((F.col(label) == 0).cast("long")).alias("negatives"),
                F.sum((F.col(label) == 1).cast("long")).alias("positives"))
-    return g.withColumn("neg_pos_ratio", F.col("negatives") / F.col("positives"))
+    return g.withColumn("neg_pos_ratio", F.try_divide(F.col("negatives"), F.col("positives")))
 
 
 def with_class_weight(df: DataFrame, label: str = TARGET, out: str = "class_weight") -> DataFrame:

@@ -313,8 +313,8 @@ def cleaning_loss(before: DataFrame, after: DataFrame, columns=None) -> DataFram
     a = after.agg(F.count(F.lit(1)).alias("_ra"), *[F.count(c).alias(f"_a_{i}") for i, c in enumerate(cols)])
     j = b.crossJoin(a)
     names = ["__rows__"] + cols
-    exprs = ["CAST(_rb - _ra AS DOUBLE) * 100 / _rb"] + [
-        f"CAST(`_b_{i}` - `_a_{i}` AS DOUBLE) * 100 / `_b_{i}`" for i in range(len(cols))]
+    exprs = ["try_divide(CAST(_rb - _ra AS DOUBLE) * 100, _rb)"] + [
+        f"try_divide(CAST(`_b_{i}` - `_a_{i}` AS DOUBLE) * 100, `_b_{i}`)" for i in range(len(cols))]
     return _stack(j, names, exprs, "column_name", "pct_lost")
 
 

@@ -41,9 +41,11 @@ def rank_by_hash(df: DataFrame, group_cols, hash_col: str, tie_col: str,
                         F.coalesce(F.sum("_cnt").over(wg.orderBy("_b").rowsBetween(
                             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
                         F.sum("_cnt").over(wg).alias(size_out))
-    return (local.join(offs, [*g, "_b"], "inner")
+    offs = offs.select(*[F.col(c).alias(f"_k_{c}") for c in [*g, "_b"]], "_off", size_out)
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*g, "_b"]]  # a null class is a group too
+    return (local.join(offs, same, "inner")
                  .withColumn(out, F.col("_local") + F.col("_off"))
-                 .drop("_b", "_local", "_off"))
+                 .drop("_b", "_local", "_off", *[f"_k_{c}" for c in [*g, "_b"]]))
 
 
 def _assign(pos: Column, n: Column, ratios, mode: str) -> Column:
@@ -60,7 +62,7 @@ def user_labels(df: DataFrame, distinct_sessions: bool = True) -> DataFrame:
     """(user_id, label) with label ``"{n}_sessions_{k}_clicks"``."""
     sessions = F.count_distinct("session_id") if distinct_sessions else F.count("session_id")
     st = df.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-        sessions.alias("_s"), F.sum(TARGET).alias("_c"))
+        sessions.alias("_s"), F.coalesce(F.sum(TARGET), F.lit(0)).alias("_c"))
     return st.select("user_id", F.concat(F.col("_s").cast("string"), F.lit("_sessions_"),
                                          F.col("_c").cast("string"), F.lit("_clicks")).alias("label"))
 
@@ -116,8 +118,8 @@ def split_stats(split_df: DataFrame, total_rows: int | None = None) -> DataFrame
     g = split_df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.avg(TARGET).alias("ctr"),
                                       F.count_distinct("user_id").alias("users"))
     if total_rows is None:
-        tot = split_df.agg(F.count(F.lit(1)).alias("_t"))
-        g = g.crossJoin(F.broadcast(tot))
+        # a handful of rows: one per split
+        g = g.withColumn("_t", F.sum("rows").over(Window.partitionBy(F.lit(0))))
     else:
         g = g.withColumn("_t", F.lit(total_rows))
     return g.select("split", "rows", (F.col("rows") * 100.0 / F.col("_t")).cast("double").alias("pct_rows"),

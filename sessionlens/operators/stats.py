@@ -17,7 +17,7 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """r, n and the t statistic of r (n - 2 degrees of freedom)."""
     g = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(
         F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r"), F.count(F.lit(1)).alias("n"))
-    return g.withColumn("t_stat", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r"))))
+    return g.withColumn("t_stat", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r"))))
 
 
 def pearson_test(df: DataFrame, x: str, y: str) -> tuple[float, float]:
@@ -30,44 +30,47 @@ def pearson_test(df: DataFrame, x: str, y: str) -> tuple[float, float]:
         return r, 0.0
     df_ = n - 2
     t2 = r * r * df_ / (1 - r * r)
-    return r, _betainc(df_ / 2.0, 0.5, df_ / (df_ + t2))
-
-
-def _betacf(a, b, x, iters=300, eps=3e-16):
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def _betainc(a, b, x):
+    return r, incomplete_beta(df_ / 2.0, 0.5, df_ / (df_ + t2))
+
+
+def _beta_fraction(a: float, b: float, x: float, places: float = 1e-15) -> float:
+    """Value K of the continued fraction of I_x(a, b), where
+    I_x(a, b) = x**a (1 - x)**b / (a B(a, b)) * K and
+    K = 1 / (1 + d1 / (1 + d2 / (1 + ...))) with
+    d_{2k} = k (b - k) x / ((a + 2k - 1)(a + 2k)),
+    d_{2k+1} = -(a + k)(a + b + k) x / ((a + 2k)(a + 2k + 1)).
+    Convergents come from the three-term recurrence of numerators and
+    denominators, rescaled by the newest denominator."""
+
+    def term(i: int) -> float:
+        k = i // 2
+        if i % 2 == 0:
+            return k * (b - k) * x / ((a + i - 1) * (a + i))
+        return -(a + k) * (a + b + k) * x / ((a + i - 1) * (a + i))
+
+    top, above = 1.0, 1.0  # numerators: current, previous
+    low, below = 1.0 + term(1), 1.0
+    value = top / low
+    for i in range(2, 10_000):
+        t = term(i)
+        top, above = top + t * above, top
+        low, below = low + t * below, low
+        if low:
+            top, above, low, below = top / low, above / low, 1.0, below / low
+            if abs(top - value) <= places * abs(top):
+                return top
+            value = top
+    return value
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
     """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(lbeta + a * math.log(x) + b * math.log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1 - x) / b
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):  # the fraction converges fast on the other side
+        return 1.0 - incomplete_beta(b, a, 1 - x)
+    log_factor = a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a + 1) - math.lgamma(b)
+    return math.exp(log_factor) * _beta_fraction(a, b, x)
 
 
 def corr_matrix(df: DataFrame, columns) -> DataFrame:

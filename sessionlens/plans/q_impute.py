@@ -95,7 +95,7 @@ def gappy_time(spark, sf_dir):
         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS "DateTime" FROM f""")
 def q_ffill_bfill(spark, sf_dir):
     # chunk size small enough that the fixture spans several chunks
-    return impute.ffill_bfill(gappy_time(spark, sf_dir), "DateTime", chunk_size=1024)
+    return impute.ffill_bfill(gappy_time(spark, sf_dir), "DateTime")
 
 
 @register("fill_constant", sql="""SELECT * REPLACE (COALESCE(product_category_2, 0) AS product_category_2,

@@ -160,7 +160,7 @@ def q_viewed_before_ctr(spark, sf_dir):
          AS d FROM g WHERE "DateTime" IS NOT NULL)
   SELECT g.row_ord, g."DateTime", nn.d AS diff_prev_nonnull FROM g LEFT JOIN nn USING (row_ord)""")
 def q_diff_prev_nonnull(spark, sf_dir):
-    return history.diff_prev_nonnull(gappy_time(spark, sf_dir), chunk_size=1024)
+    return history.diff_prev_nonnull(gappy_time(spark, sf_dir))
 
 
 CONTEXT_M = 5
@@ -174,5 +174,5 @@ CONTEXT_M = 5
       + [f"lead(e, {k}) OVER (ORDER BY row_ord) AS ctx_{CONTEXT_M + k}" for k in range(1, CONTEXT_M + 1)])} FROM g)
   SELECT row_ord, {", ".join(f"ctx_{i}" for i in range(2 * CONTEXT_M + 1))} FROM c WHERE e IS NULL""")
 def q_null_context(spark, sf_dir):
-    out = history.null_context(gappy_time(spark, sf_dir), m=CONTEXT_M, chunk_size=1024)
+    out = history.null_context(gappy_time(spark, sf_dir), m=CONTEXT_M)
     return out.select("row_ord", *[F.col("context")[i].alias(f"ctx_{i}") for i in range(2 * CONTEXT_M + 1)])

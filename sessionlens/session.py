@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,8 +59,9 @@ def get_spark(app: str = "sessionlens", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (tests, a laptop) is a private scratch folder made and registered.
+    Read from ``spark.checkpoint.dir``. Only a local master (tests, a laptop)
+    gets a private scratch folder when none is set; on a cluster a folder of
+    one machine would lose data, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -67,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sessionlens-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -80,27 +84,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "sessionlens", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job is run)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return -1
-
-
-# Inputs above this estimate are worth a reliable checkpoint before they
-# feed several aggregations (one scan instead of one per consumer).
-MATERIALIZE_MIN_BYTES = 256 << 20
-
-
-def maybe_cut_lineage(df: DataFrame, materialize="auto", source: DataFrame | None = None) -> DataFrame:
-    """``cut_lineage`` when asked, or ("auto") when the source is large."""
-    if materialize == "auto":
-        size = estimated_bytes(source if source is not None else df)
-        materialize = size < 0 or size >= MATERIALIZE_MIN_BYTES
-    return cut_lineage(df) if materialize else df
-
-
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never localCheckpoint):
     the result survives the loss of the executors that computed it."""

@@ -175,20 +175,13 @@ def _hot_user_frame(spark):
     return d.withColumn("user_id", F.when(F.col("row_ord") % 3 == 0, F.lit(999999)).otherwise(F.col("user_id")))
 
 
-def test_skew_safe_features_equal_windows(spark):
-    d = _hot_user_frame(spark)
-    names = features.FEATURE_NAMES + ["daily_session_sequence"]
-    a = features.compute_features(d, names, skew=False)
-    b = features.compute_features(d, names, skew=True)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_skew_safe_history_equal_windows(spark):
+def test_history_equals_windows_with_a_hot_user(spark):
+    import window_reference
     from sessionlens.operators import history
     d = _hot_user_frame(spark)
-    for fn in (history.historical_click, history.historical_sessions, history.time_since_prev):
-        a, b = fn(d, skew=False), fn(d, skew=True)
-        assert a.exceptAll(b.select(*a.columns)).count() == 0, fn.__name__
+    for name in ("historical_click", "historical_sessions", "time_since_prev"):
+        a, b = getattr(window_reference, name)(d), getattr(history, name)(d)
+        assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count(), name
 
 
 def test_keyed_scan_splits_hot_key(spark):
@@ -202,27 +195,31 @@ def test_keyed_scan_splits_hot_key(spark):
     assert got.exceptAll(exp).count() == 0
 
 
-@pytest.mark.parametrize("which", ["edge", "smoke", "hot"])
-def test_window_plan_equals_aggregate_plan(spark, frame, which):
+@pytest.mark.parametrize("which", ["edge", "wide", "narrow", "hot"])
+def test_features_equal_windows(spark, frame, which):
+    import window_reference
     from conftest import SF_SMALL
-    from sessionlens.plans.registry import wide
-    d = {"edge": lambda: frame, "smoke": lambda: cleaning.clean_inference(wide(spark, SF_SMALL)),
+    from sessionlens.plans.registry import narrow, wide
+    d = {"edge": lambda: frame, "wide": lambda: cleaning.clean_inference(wide(spark, SF_SMALL)),
+         "narrow": lambda: cleaning.clean_inference(narrow(spark, SF_SMALL)),
          "hot": lambda: _hot_user_frame(spark)}[which]()
     names = features.FEATURE_NAMES + ["daily_session_sequence", "has_viewed_product_before"]
-    a = features.compute_features(d, names, plan="aggregate")
-    b = features.compute_features(d, names, plan="window")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a = features.compute_features(d, names).cache()
+    b = window_reference.compute_features(d, names).cache()
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_skew_safe_asof_equal_windows(spark):
+def test_asof_equals_plain_join_with_a_hot_user(spark):
+    import window_reference
     from sessionlens.operators import joins
     d = _hot_user_frame(spark)
-    for kw in ({"drop_last": False}, {"drop_last": True}):
-        a = joins.asof_clicks(d, d, skew=False, **kw).select("row_ord", "historical_click")
-        b = joins.asof_clicks(d, d, skew=True, **kw).select("row_ord", "historical_click")
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, kw
-    a = joins.asof_sessions(d, d, skew=False).select("row_ord", "sessions")
-    b = joins.asof_sessions(d, d, skew=True).select("row_ord", "sessions")
+    for drop_last in (False, True):
+        a = joins.asof_clicks(d, d, drop_last=drop_last).select("row_ord", "historical_click")
+        b = window_reference.asof(d, d, F.col("is_click"), drop_last)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, drop_last
+    a = joins.asof_sessions(d, d).select("row_ord", "sessions")
+    b = (window_reference.asof(d, d, F.lit(1)).join(window_reference.historical_sessions(d), "row_ord")
+         .select("row_ord", F.col("asof") + F.col("historical_sessions")))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
