@@ -19,7 +19,8 @@ linked documents. Steps:
 4. *R-trees.* Cells that still hold two components or more are split into
    blocks of bounded size; each pair of blocks packs its points into leaves
    with their maxima. Summed coordinate minima bound the overlap of two leaves,
-   then of two points; pairs of one component are skipped.
+   then of two points; pairs of one component are skipped, and so are pairs
+   that already met in a cell with a smaller token.
 5. *Verification.* Surviving pairs are compared by their full sets, and their
    links close the components.
 
@@ -54,7 +55,7 @@ SAMPLE_DOCS = 4_000
 COMMON_TOKENS = 1 << 19
 BLOCK_POINTS = 1_024
 LEAF = 32
-BROADCAST_IDS = 1 << 19  # 8 bytes each
+BROADCAST_PAIRS = 1 << 19  # three longs each
 
 
 def token_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
@@ -184,8 +185,9 @@ class Leaves:
 
 
 def tree_join(a: Leaves, b: Leaves, same: bool, component: np.ndarray, size: np.ndarray, point: np.ndarray,
-              percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of different components whose bound reaches the threshold."""
+              percent: int, met: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of different components whose bound reaches the threshold.
+    Rows of ``met`` are bit sets; pairs that share a bit are left out."""
     left, right = [], []
     for i, mine in enumerate(a.members):
         start = i if same else 0
@@ -200,22 +202,43 @@ def tree_join(a: Leaves, b: Leaves, same: bool, component: np.ndarray, size: np.
             if same and i == j:
                 ok &= np.tri(len(mine), len(theirs), -1, dtype=bool)
             x, y = np.nonzero(ok)
-            left.append(mine[x])
-            right.append(theirs[y])
+            x, y = mine[x], theirs[y]
+            if met is not None and len(x):
+                new = ~(met[x] & met[y]).any(1)
+                x, y = x[new], y[new]
+            left.append(x)
+            right.append(y)
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(left), np.concatenate(right)
 
 
+def bit_sets(lists: list[np.ndarray]) -> np.ndarray:
+    """Each list of longs as a row of bits over the distinct longs held twice
+    or more (others are shared by no pair)."""
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    values, n = np.unique(flat, return_counts=True)
+    values = values[n > 1]
+    bits = np.zeros((len(lists), max(1, len(values))), bool)
+    for i, own in enumerate(lists):
+        at = np.searchsorted(values, own)
+        at = at[at < len(values)]
+        if len(at):
+            at = at[np.isin(values[at], own)]
+            bits[i, at] = True
+    return np.packbits(bits, axis=1)
+
+
 def candidate_pairs(members: DataFrame, percent: int, block_points: int = BLOCK_POINTS) -> DataFrame:
     """Distinct (a, b) that pass the bound, from rows (token, held, key,
-    component, size, point). Cells larger than a block meet in block pairs."""
+    component, size, point, earlier: smaller tokens of the key's cells). Cells
+    larger than a block meet in block pairs."""
     n_blocks = F.ceil(F.col("held") / block_points).cast("int")
     mine = F.pmod(F.xxhash64("key", "token"), n_blocks).cast("int")
     rows = members.withColumn("nb", n_blocks).withColumn("mine", mine)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
-                       "key", "component", "size", "point")
+                       "key", "component", "size", "point", "earlier")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
 
@@ -225,15 +248,16 @@ def candidate_pairs(members: DataFrame, percent: int, block_points: int = BLOCK_
         # component names become small numbers
         component = np.unique(component, return_inverse=True)[1]
         own = np.arange(len(key))
+        met = bit_sets([np.asarray(x.values) for x in t.column("earlier").combine_chunks()])
         if i[0] == j[0]:
             leaves = Leaves(own, component, size, point)
-            x, y = tree_join(leaves, leaves, True, component, size, point, percent)
+            x, y = tree_join(leaves, leaves, True, component, size, point, percent, met)
         else:
             one, two = own[mine == i[0]], own[mine != i[0]]
             if len(one) == 0 or len(two) == 0:
                 return []
             x, y = tree_join(Leaves(one, component, size, point), Leaves(two, component, size, point), False,
-                             component, size, point, percent)
+                             component, size, point, percent, met)
         return [np.minimum(key[x], key[y]), np.maximum(key[x], key[y])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,40 +288,36 @@ def candidate_pairs(members: DataFrame, percent: int, block_points: int = BLOCK_
         if held:
             yield from flush(held)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs of classes whose full sets reach the threshold. Only texts of
-    classes in a pair move."""
-    pairs = cut_lineage(pairs)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = classes.select("key", "doc_id").join(ends, "key")
-    if ends.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-
-    def only_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # an id may be repeated with another text: keep the text of the class
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            own = [class_key(s) == k for s, k in zip(token_sets(utf8(batch.column(1)), n), keys)]
-            yield batch.filter(pa.array(own, pa.bool_()))
+    classes in a pair move; the pairs are sent to the texts while their count
+    is within ``BROADCAST_PAIRS``, and meet them in a shuffle beyond it."""
+    doc = lambda s: classes.select(F.col("key").alias(s), F.col("doc_id").alias(f"doc_{s}"))
+    pairs = cut_lineage(pairs.join(doc("a"), "a").join(doc("b"), "b").select("a", "b", "doc_a", "doc_b"))
+    small = pairs.count() <= BROADCAST_PAIRS
+
+    def texts(rows: DataFrame, side: str) -> DataFrame:
+        rows = F.broadcast(rows) if small else rows
+        return docs.join(rows, docs["doc_id"] == rows[f"doc_{side}"]).drop("doc_id", f"doc_{side}").withColumnRenamed(
+            "text", f"text_{side}")
 
-    texts = docs.join(wanted, "doc_id").select("key", "text").mapInArrow(only_member, "key long, text string")
-    texts = texts.dropDuplicates(["key"])
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+    both = texts(pairs.drop("doc_a"), "b").join(texts(pairs.select("a", "doc_a").distinct(), "a"), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ok = []
-            for x, y in zip(token_sets(utf8(batch.column(2)), n), token_sets(utf8(batch.column(3)), n)):
-                overlap = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(_reaches(overlap, len(x), len(y), percent))
+            for i, (x, y) in enumerate(zip(token_sets(utf8(batch.column(2)), n), token_sets(utf8(batch.column(3)), n))):
+                # an id may be repeated with another text, of another class
+                mine = class_key(x) == a[i] and class_key(y) == b[i]
+                ok.append(mine and bool(_reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)))
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
 def near_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -333,8 +353,10 @@ def join_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_doc
     placed = members.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
         "token", "held", "key", F.coalesce("root", "key").alias("component"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_cells = placed.join(mixed.filter("lo <> hi").select("token"), "token")
-    open_cells = open_cells.join(classes.select("key", "size", "point"), "key")
+    open_cells = cut_lineage(placed.join(mixed.filter("lo <> hi").select("token"), "token"))
+    own = open_cells.groupBy("key").agg(F.collect_set("token").alias("own"))  # at most a prefix
+    facts = classes.select("key", "size", "point").join(own, "key")
+    open_cells = open_cells.join(facts, "key").withColumn("earlier", F.filter("own", lambda x: x < F.col("token"))).drop("own")
     more = verify(candidate_pairs(open_cells, percent, block_points), classes, docs, n, percent)
     root = lambda side: labels.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     joined = more.join(root("a"), "a", "left").join(root("b"), "b", "left").select(
@@ -353,7 +375,7 @@ def join_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_doc
 
 
 def keep_first(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One document of each class, the one with the smallest id; of repeated
-    rows of that id, one. Documents without an id stay."""
-    classes = join_classes(docs, n, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_anti")
+    """One document of each class, the one with the smallest id (rows that
+    repeat this id stay with it). Documents without an id stay."""
+    drop = cut_lineage(join_classes(docs, n, percent).filter("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(F.broadcast(drop) if drop.count() <= BROADCAST_PAIRS else drop, "doc_id", "left_anti")

@@ -29,6 +29,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -59,38 +60,48 @@ class WordIds:
     """Ids of whole texts through a cache of words.
 
     The vocabulary drops white space and its merges never cross it, so a
-    text's ids are those of its space-separated words in order. Two
-    generations bound the cache: a full young one becomes the old one.
+    text's ids are those of its space-separated words in order. The cache
+    starts anew when it holds ``limit`` words, which bounds a worker's memory.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 700_000, at_once: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.limit, self.at_once = limit, at_once
+        # a special token between new words parts their ids again
+        special = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.mark = special[0].content if special else None
+        self.known: dict[bytes, bytes] = {}
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if len(self.known) > self.limit:
+            self.known.clear()
         split = [t.split() for t in texts]
-        need = set().union(*split).difference(self.young) if split else set()
-        if len(self.young) + len(need) > self.limit:
-            self.old, self.young = self.young, {}
-            need = set().union(*split)
-        new = []
-        for w in need:
-            ids = self.old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                self.young[w] = ids
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, coded):
-            self.young[w] = np.array(e.ids, "<u4").tobytes()
-        of = self.young.__getitem__
-        return [b"".join(map(of, words)) for words in split]
+        new: set[bytes] = set()
+        for words in split:
+            new.update(filterfalse(self.known.__contains__, words))
+        self._learn(list(new))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Add the ids of new words: many to a call, parted by the mark."""
+        words = [w.decode() for w in words]
+        alone = [w for w in words if self.mark is None or self.mark in w]
+        joined = [w for w in words if self.mark is not None and self.mark not in w]
+        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
+        runs = [joined[i:i + self.at_once] for i in range(0, len(joined), self.at_once)]
+        coded = self.tokenizer.encode_batch_fast([f" {self.mark} ".join(r) for r in runs], add_special_tokens=False)
+        for run, e in zip(runs, coded):
+            ids = np.array(e.ids, "<u4")
+            cut = np.flatnonzero(ids == self.tokenizer.token_to_id(self.mark)) * 4
+            whole = ids.tobytes()
+            for w, a, b in zip(run, [0, *(cut + 4).tolist()], [*cut.tolist(), len(whole)]):
+                self.known[w.encode()] = whole[a:b]
 
 
 @lru_cache(4)

@@ -13,16 +13,19 @@ it covers. Four steps, none of which gathers the corpus:
    document of the block that holds it; a minimum over all blocks confirms the
    recurring phrases and their owners.
 3. *Compile.* Each block gets the phrases that one of its documents must lose:
-   one shard of the phrase set. Their words, taken from the block, become the
-   patterns of an Aho-Corasick automaton over words.
+   one shard of the phrase set. Their leading ``CUE`` words, taken from the
+   block, become the patterns of an Aho-Corasick automaton over words (whole
+   phrases would triple its nodes); each pattern lists its phrases.
 4. *Stream.* All documents of the block run through its automaton, which finds
    every occurrence; those of a document after the owner are removed.
 
 A passage held by a third of the corpus is one row a block in every shuffle,
 and one pattern a block, so no key grows with its copies.
 
-Words travel as one character each (20 bits of their hash); a match counts
-only if the 64-bit hash of the whole window agrees too.
+In the automaton a word is ``LETTERS`` characters of small alphabets, one
+alphabet a place (it keeps the nodes' fan-out small, and matches start at
+words only); a match counts only if the 64-bit hash of the whole window that
+starts there is one of the pattern's phrases.
 
 Defined results: null and empty texts have no words; texts shorter than a
 phrase lose nothing; repeated rows of one ``doc_id`` are one owner, so none of
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.llm.tables import id_text
@@ -45,7 +48,9 @@ from sessionlens.llm.textblock import BLOCK_BYTES, Block, covered, mix, ngram_ha
 from sessionlens.session import cut_lineage
 
 SIZE = 13
-GRAM = 4
+GRAM = 6
+CUE = 4  # leading words of a phrase in the automaton
+LETTERS, BITS = 3, 7
 LAST = (1 << 63) - 1  # stands for a missing id
 
 _BLOCKS = "ids array<long>, sizes array<int>, texts binary"
@@ -103,14 +108,15 @@ def _anchors(b: Block, words: np.ndarray, size: int, gram: int) -> tuple[np.ndar
 
 
 def _distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the place of each one's smallest id, that id, the largest id."""
-    order = np.lexsort((ids, keys))
+    """Distinct keys, a place of each, its smallest and its largest id."""
+    if len(keys) == 0:
+        return keys, np.zeros(0, np.int64), ids[:0], ids[:0]
+    order = np.argsort(keys)
     k, i = keys[order], ids[order]
     head = np.ones(len(k), bool)
     head[1:] = k[1:] != k[:-1]
     first = np.flatnonzero(head)
-    last = np.append(first[1:], len(k)) - 1 if len(k) else first
-    return k[first], order[first], i[first], i[last]
+    return k[first], order[first], np.minimum.reduceat(i, first), np.maximum.reduceat(i, first)
 
 
 def _anchor_rows(blocks: DataFrame, size: int, gram: int) -> DataFrame:
@@ -119,7 +125,10 @@ def _anchor_rows(blocks: DataFrame, size: int, gram: int) -> DataFrame:
             for row in batch.to_pylist():
                 ids, _, b = _open(row)
                 at, anchor = _anchors(b, b.hashes(), size, gram)
-                keys, _, low, high = _distinct(anchor, ids[b.doc[at]])
+                doc = b.doc[at]
+                new = np.ones(len(at), bool)  # neighbouring windows mostly share their anchor
+                new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
+                keys, _, low, high = _distinct(anchor[new], ids[doc[new]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(keys)), pa.array(np.full(len(keys), row["block"])), pa.array(low != high)],
                     ["anchor", "block", "many"])
@@ -128,11 +137,13 @@ def _anchor_rows(blocks: DataFrame, size: int, gram: int) -> DataFrame:
 
 
 def recurring_anchors(blocks: DataFrame, size: int, gram: int) -> DataFrame:
-    """block and its anchors known from two blocks, or from two documents of one."""
-    rows = _anchor_rows(blocks, size, gram)
-    known = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.max("many").alias("many"))
-    known = known.filter((F.col("n") > 1) | F.col("many")).select("anchor")
-    return rows.select("anchor", "block").join(known, "anchor").groupBy("block").agg(
+    """block and its anchors known from two blocks, or from two documents of
+    one. A block reports an anchor once, so the window over an anchor holds a
+    row a block, however many documents share it."""
+    same = Window.partitionBy("anchor")
+    rows = _anchor_rows(blocks, size, gram).select(
+        "anchor", "block", ((F.count("*").over(same) > 1) | F.max("many").over(same)).alias("known"))
+    return rows.filter("known").groupBy("block").agg(
         F.collect_list("anchor").alias("anchors"))  # at most the windows of a block
 
 
@@ -164,14 +175,16 @@ def confirmed_phrases(blocks: DataFrame, size: int, gram: int) -> DataFrame:
                     ["block", "phrase", "place", "low", "high"])
 
     held = blocks.mapInArrow(run, "block long, phrase long, place int, low long, high long")
-    owner = held.groupBy("phrase").agg(F.min("low").alias("owner"), F.max("high").alias("last"))
-    owner = owner.filter(F.col("owner") < F.col("last")).drop("last")
-    return held.join(owner, "phrase").filter(F.col("owner") < F.col("high")).select("block", "phrase", "place", "owner")
+    owner = F.min("low").over(Window.partitionBy("phrase"))  # a row a block
+    return held.withColumn("owner", owner).filter(F.col("owner") < F.col("high")).select("block", "phrase", "place", "owner")
 
 
 def _as_text(words: np.ndarray) -> str:
-    """One character a word, from the planes above the basic one."""
-    return ((words & np.uint64(0xFFFFF)).astype(np.uint32) + np.uint32(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
+    """``LETTERS`` characters a word: ``BITS`` bits of its hash each."""
+    out = np.empty((len(words), LETTERS), "<u2")
+    for k in range(LETTERS):
+        out[:, k] = ((words >> np.uint64(k * BITS)) & np.uint64((1 << BITS) - 1)) + np.uint64((k + 2) << BITS)
+    return out.tobytes().decode("utf-16-le")
 
 
 def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: list[dict]) -> np.ndarray:
@@ -181,25 +194,27 @@ def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: l
     mask = np.zeros(len(words), bool)
     if not phrases:
         return mask
+    cue = min(CUE, size)
     text = _as_text(words)
     own = ngram_hashes(words, size)
     automaton = ahocorasick.Automaton()
     owners: dict[str, dict[int, int]] = {}
     for p in phrases:  # equal characters need not be equal windows: keep each hash's owner
-        owners.setdefault(text[p["place"]:p["place"] + size], {})[p["phrase"]] = p["owner"]
+        pattern = text[LETTERS * p["place"]:LETTERS * (p["place"] + cue)]
+        owners.setdefault(pattern, {})[p["phrase"]] = p["owner"]
     for pattern, by_hash in owners.items():
         automaton.add_word(pattern, by_hash)
     automaton.make_automaton()
-    keys = signed(own)
+    keys = signed(own).tolist()
     starts = []
     for i in range(len(b)):
         first, last = int(b.first[i]), int(b.first[i + 1])
         if last - first < size:
             continue
         me = int(ids[i])
-        for end, by_hash in automaton.iter(text[first:last]):
-            at = first + end - size + 1
-            owner = by_hash.get(int(keys[at]))
+        for end, by_hash in automaton.iter(text[LETTERS * first:LETTERS * last]):
+            at = first + (end + 1) // LETTERS - cue
+            owner = by_hash.get(keys[at]) if at + size <= last else None
             if owner is not None and owner < me:
                 starts.append(at)
     return covered(len(words), np.array(starts, np.int64), size) if starts else mask
