@@ -5,8 +5,7 @@ documents belongs to the one with the smallest id; all others lose the words
 it covers. Four steps, none of which gathers the corpus:
 
 1. *Anchors.* In every window the least of the short word grams inside it (by
-   hash, longer grams first) is its anchor, so equal windows have equal
-   anchors. Texts are packed into compressed blocks of about 1 MB; each block
+   hash) is its anchor, so equal windows have equal anchors. Texts are packed into compressed blocks of about 1 MB; each block
    reports its distinct anchors once.
 2. *Confirm.* Windows whose anchor is known from two documents are candidates.
    Each block reports each distinct candidate window once, with the smallest
@@ -48,7 +47,7 @@ from sessionlens.llm.textblock import BLOCK_BYTES, Block, covered, mix, ngram_ha
 from sessionlens.session import cut_lineage
 
 SIZE = 13
-GRAM = 6
+GRAM = 5
 CUE = 4  # leading words of a phrase in the automaton
 LETTERS, BITS = 3, 7
 LAST = (1 << 63) - 1  # stands for a missing id
@@ -98,25 +97,22 @@ def _anchors(b: Block, words: np.ndarray, size: int, gram: int) -> tuple[np.ndar
     if len(at) == 0:
         return at, np.zeros(0, np.uint64)
     grams = ngram_hashes(words, gram)
-    # longer grams are rarer: they win over shorter ones, hashes break ties
-    span = np.minimum(b.end[gram - 1:] - b.start[:len(grams)], 255).astype(np.uint64)
-    rank = ((np.uint64(255) - span) << np.uint64(56)) | (grams >> np.uint64(8))
-    best = rank[at]
+    best = grams[at]
     for k in range(1, size - gram + 1):
-        best = np.minimum(best, rank[at + k])
+        best = np.minimum(best, grams[at + k])
     return at, mix(best)
 
 
-def _distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, a place of each, its smallest and its largest id."""
+def _distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, and the smallest and the largest id of each."""
     if len(keys) == 0:
-        return keys, np.zeros(0, np.int64), ids[:0], ids[:0]
+        return keys, ids[:0], ids[:0]
     order = np.argsort(keys)
     k, i = keys[order], ids[order]
     head = np.ones(len(k), bool)
     head[1:] = k[1:] != k[:-1]
     first = np.flatnonzero(head)
-    return k[first], order[first], np.minimum.reduceat(i, first), np.maximum.reduceat(i, first)
+    return k[first], np.minimum.reduceat(i, first), np.maximum.reduceat(i, first)
 
 
 def _anchor_rows(blocks: DataFrame, size: int, gram: int) -> DataFrame:
@@ -128,7 +124,7 @@ def _anchor_rows(blocks: DataFrame, size: int, gram: int) -> DataFrame:
                 doc = b.doc[at]
                 new = np.ones(len(at), bool)  # neighbouring windows mostly share their anchor
                 new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
-                keys, _, low, high = _distinct(anchor[new], ids[doc[new]])
+                keys, low, high = _distinct(anchor[new], ids[doc[new]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(keys)), pa.array(np.full(len(keys), row["block"])), pa.array(low != high)],
                     ["anchor", "block", "many"])
@@ -161,22 +157,21 @@ def _windows(row: dict, size: int, gram: int):
 
 
 def confirmed_phrases(blocks: DataFrame, size: int, gram: int) -> DataFrame:
-    """block, phrase, place (a word of the block where it starts), owner: the
-    phrases that some document of the block holds and a smaller one owns."""
+    """block, phrase, owner: the phrases that some document of the block holds
+    and a smaller one owns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, _, b, _, at, key = _windows(row, size, gram)
-                keys, pick, low, high = _distinct(key, ids[b.doc[at]])
+                keys, low, high = _distinct(key, ids[b.doc[at]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), row["block"])), pa.array(signed(keys)),
-                     pa.array(at[pick].astype(np.int32)), pa.array(low), pa.array(high)],
-                    ["block", "phrase", "place", "low", "high"])
+                    [pa.array(np.full(len(keys), row["block"])), pa.array(signed(keys)), pa.array(low), pa.array(high)],
+                    ["block", "phrase", "low", "high"])
 
-    held = blocks.mapInArrow(run, "block long, phrase long, place int, low long, high long")
+    held = blocks.mapInArrow(run, "block long, phrase long, low long, high long")
     owner = F.min("low").over(Window.partitionBy("phrase"))  # a row a block
-    return held.withColumn("owner", owner).filter(F.col("owner") < F.col("high")).select("block", "phrase", "place", "owner")
+    return held.withColumn("owner", owner).filter(F.col("owner") < F.col("high")).select("block", "phrase", "owner")
 
 
 def _as_text(words: np.ndarray) -> str:
@@ -199,8 +194,11 @@ def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: l
     own = ngram_hashes(words, size)
     automaton = ahocorasick.Automaton()
     owners: dict[str, dict[int, int]] = {}
-    for p in phrases:  # equal characters need not be equal windows: keep each hash's owner
-        pattern = text[LETTERS * p["place"]:LETTERS * (p["place"] + cue)]
+    order = np.argsort(own)
+    wanted = np.array([p["phrase"] for p in phrases], np.int64).view(np.uint64)
+    places = order[np.searchsorted(own[order], wanted)]  # each phrase is in the block
+    for p, place in zip(phrases, places.tolist()):
+        pattern = text[LETTERS * place:LETTERS * (place + cue)]
         owners.setdefault(pattern, {})[p["phrase"]] = p["owner"]
     for pattern, by_hash in owners.items():
         automaton.add_word(pattern, by_hash)
@@ -226,7 +224,7 @@ def dedup(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     candidates = blocks.join(recurring_anchors(blocks, size, gram), "block", "left").select(
         "block", "ids", "sizes", "texts", "anchors")
     phrases = confirmed_phrases(candidates, size, gram).groupBy("block").agg(
-        F.collect_list(F.struct("phrase", "place", "owner")).alias("phrases"))  # at most the windows of a block
+        F.collect_list(F.struct("phrase", "owner")).alias("phrases"))  # at most the windows of a block
     both = blocks.join(phrases, "block", "left").select("ids", "sizes", "texts", "phrases")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
