@@ -74,6 +74,25 @@ def _fill(df, column, order_col, partition_cols, chunk_size, out, forward):
              .drop("_chunk", "_local", "_carry"))
 
 
+def exact_quantiles(counts: DataFrame, key: str, value: str, weight: str, quantiles) -> DataFrame:
+    """(key, quantiles: array): interpolated quantiles of ``value``, each row
+    counting ``weight`` times. Ranks come from a keyed scan of the values in
+    order, so no task holds a key's values."""
+    known = counts.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum(weight).alias("_w"))
+    scan = keyed_scan(known, key, [value], sum_cols=["_w"])
+    total = known.groupBy(key).agg(F.sum("_w").alias("_total")).withColumnRenamed(key, "_key")
+    asked = F.array(*[F.lit(float(q)) for q in quantiles])
+    at = total.select("_key", F.posexplode(F.transform(asked, lambda q: q * (F.col("_total") - 1))).alias("_i", "_at"))
+    at = at.withColumn("_rank", F.explode(F.array(F.floor("_at"), F.ceil("_at"))))
+    hit = scan.join(at, (F.col(key) == F.col("_key")) & (F.col("_rank") >= F.col("_sum__w"))
+                    & (F.col("_rank") < F.col("_sum__w") + F.col("_w")))
+    share = F.col("_at") - F.floor("_at")
+    one = hit.groupBy(key, "_i").agg(  # the value below, moved by its share towards the value above
+        (F.min(value) + (F.max(value) - F.min(value)) * F.first(share)).alias("_q"))
+    return one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_i", "_q"))).alias("_l")).select(
+        key, F.transform("_l", lambda x: x["_q"]).alias("quantiles"))
+
+
 def keyed_scan(df: DataFrame, key: str, order_cols, lag_cols=(), sum_cols=(), count_out: str | None = None,
                num_partitions: int | None = None) -> DataFrame:
     """Per-key ordered scan that survives a key holding a third of the rows.

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import behavior_label, value_sort_key
+from sessionlens.operators.ordering import exact_quantiles
 from sessionlens.schema import ROW_ORD, TARGET
 from sessionlens.session import cut_lineage
 
@@ -132,8 +133,9 @@ def column_levels(df: DataFrame, columns=None, show: int = 10) -> DataFrame:
 def describe_all(df: DataFrame, columns=None) -> DataFrame:
     """count, unique, top, freq, mean, std, min, quartiles, max per column
     (long form; numeric statistics are null for string columns). All from
-    the one-scan value counts: quartiles are exact frequency-weighted
-    percentiles, the standard deviation a second pass over the counts."""
+    the one-scan value counts: quartiles are exact, from ranks over
+    range-partitioned values; the standard deviation is a second pass over
+    the counts."""
     cols = list(columns or _data_cols(df))
     numeric = {f.name for f in df.schema.fields
                if f.dataType.typeName() in ("long", "integer", "double", "float", "short", "byte")}
@@ -143,19 +145,19 @@ def describe_all(df: DataFrame, columns=None) -> DataFrame:
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
         F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("k"), F.col("v"))).alias("_top"),
         (F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        F.percentile(F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("_q"))
+        F.min("x").alias("min"), F.max("x").alias("max"))
+    quartiles = exact_quantiles(g.select("column_name", "x", "n"), "column_name", "x", "n", (0.25, 0.5, 0.75))
     spread = (g.join(first.select("column_name", "mean"), "column_name")
                .groupBy("column_name").agg(F.sqrt(F.sum(F.col("n") * (F.col("x") - F.col("mean")) ** 2)
-                                                  / (F.sum(F.when(F.col("x").isNotNull(), F.col("n"))) - 1))
+                                                  / F.nullif(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))) - 1, F.lit(0)))
                                            .alias("std")))
-    out = first.join(spread, "column_name")
+    out = first.join(spread, "column_name").join(quartiles, "column_name", "left")
     num = F.col("column_name").isin(list(numeric) or [""])
     return out.select(
         "column_name", "count", "unique",
         F.when(num, F.col("mean")).alias("mean"), F.when(num, F.col("std")).alias("std"),
         F.when(num, F.col("min")).alias("min"),
-        *[F.when(num, F.col("_q")[i]).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
+        *[F.when(num, F.col("quantiles")[i]).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
         F.when(num, F.col("max")).alias("max"),
         F.col("_top.v").alias("top"), (-F.col("_top.neg_n")).alias("freq"))
 

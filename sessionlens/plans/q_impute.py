@@ -94,7 +94,6 @@ def gappy_time(spark, sf_dir):
   SELECT row_ord, COALESCE("DateTime", first_value("DateTime" IGNORE NULLS) OVER (ORDER BY row_ord
         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS "DateTime" FROM f""")
 def q_ffill_bfill(spark, sf_dir):
-    # chunk size small enough that the fixture spans several chunks
     return impute.ffill_bfill(gappy_time(spark, sf_dir), "DateTime")
 
 
@@ -104,14 +103,16 @@ def q_fill_constant(spark, sf_dir):
     return impute.fill_constant(wide(spark, sf_dir), ["product_category_2", "city_development_index"], 0)
 
 
+_MODE_FILLED = ["session_id", "DateTime", "user_id", "product", "campaign_id", "webpage_id", "product_category_1",
+                "product_category_2", "user_group_id", "gender", "age_level", "user_depth", "var_1", "is_click", "score"]
+
+
 @register("fill_median_mode", sql=f"""SELECT * REPLACE (
-  COALESCE(city_development_index, (SELECT CAST(trunc(median(city_development_index)) AS BIGINT) FROM wide))
+  COALESCE(CAST(city_development_index AS DOUBLE), (SELECT median(CAST(city_development_index AS DOUBLE)) FROM wide))
     AS city_development_index,
-  COALESCE(gender, {_mode_sql("gender", "wide")}) AS gender,
-  COALESCE(product_category_2, {_mode_sql("product_category_2", "wide")}) AS product_category_2) FROM wide""")
+  {", ".join(f"COALESCE({_q(c)}, {_mode_sql(c, 'wide')}) AS {_q(c)}" for c in _MODE_FILLED)}) FROM wide""")
 def q_fill_median_mode(spark, sf_dir):
-    return impute.fill_median_mode(wide(spark, sf_dir), ["city_development_index"],
-                                   ["gender", "product_category_2"])
+    return impute.fill_median_mode(wide(spark, sf_dir), ["city_development_index"], _MODE_FILLED)
 
 
 _WITHIN = ["gender", "city_development_index"]

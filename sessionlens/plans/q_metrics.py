@@ -142,7 +142,8 @@ def q_pearson_r(spark, sf_dir):
     return stats.pearson(g, "sessions_number", "click_rate")
 
 
-_CORR_COLS = ["campaign_id", "webpage_id", "product_category_1", "age_level", "var_1", "is_click", "score"]
+_CORR_COLS = ["session_id", "user_id", "campaign_id", "webpage_id", "product_category_1", "product_category_2",
+              "user_group_id", "age_level", "user_depth", "city_development_index", "var_1", "is_click", "score"]
 
 
 @register("corr_matrix", sql=" UNION ALL ".join(

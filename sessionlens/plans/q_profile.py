@@ -116,30 +116,30 @@ def q_category_counts(spark, sf_dir):
     return profile.category_counts(wide(spark, sf_dir), DEMOGRAPHICS)
 
 
-_LEVEL_COLS = ["product", "campaign_id", "webpage_id", "product_category_1", "product_category_2",
-               "gender", "age_level", "user_depth", "var_1", "is_click"]
+_LEVEL_COLS = ["session_id", "DateTime", "user_id", "product", "campaign_id", "webpage_id", "product_category_1",
+               "product_category_2", "user_group_id", "gender", "age_level", "user_depth", "city_development_index",
+               "var_1", "is_click", "score"]
 
 
 @register("column_levels", sql=" UNION ALL ".join(f"""
-  SELECT '{c}' AS column_name, (SELECT count(DISTINCT {c}) FROM wide) AS n_distinct,
+  SELECT '{c}' AS column_name, (SELECT count(DISTINCT "{c}") FROM wide) AS n_distinct,
     (SELECT array_to_string(list_transform(CASE WHEN count(*) <= 10 THEN list_sort(list(v))
             ELSE list_sort(list(v))[1:9] END, lambda x: CAST(x AS VARCHAR)), ',')
-     FROM (SELECT DISTINCT {c} AS v FROM wide WHERE {c} IS NOT NULL)) AS levels,
-    (SELECT count(*) - count({c}) FROM wide) AS n_null""" for c in _LEVEL_COLS))
+     FROM (SELECT DISTINCT "{c}" AS v FROM wide WHERE "{c}" IS NOT NULL)) AS levels,
+    (SELECT count(*) - count("{c}") FROM wide) AS n_null""" for c in _LEVEL_COLS))
 def q_column_levels(spark, sf_dir):
     return profile.column_levels(wide(spark, sf_dir), _LEVEL_COLS)
 
 
-_NUMERIC_DESC = ["campaign_id", "webpage_id", "product_category_1", "age_level", "var_1", "is_click",
-                 "score"]
-_STRING_DESC = ["product", "gender"]
+_NUMERIC_DESC = [c for c in _LEVEL_COLS if c not in ("DateTime", "product", "gender")]
+_STRING_DESC = ["DateTime", "product", "gender"]
 
 
 def _describe_sql(c, numeric):
-    top = (f"(SELECT CAST(v AS VARCHAR) FROM (SELECT {c} AS v, count(*) AS n FROM wide WHERE {c} IS NOT NULL "
-           f"GROUP BY {c} ORDER BY n DESC, v LIMIT 1))")
-    freq = (f"(SELECT n FROM (SELECT {c} AS v, count(*) AS n FROM wide WHERE {c} IS NOT NULL "
-            f"GROUP BY {c} ORDER BY n DESC, v LIMIT 1))")
+    top = (f"(SELECT CAST(v AS VARCHAR) FROM (SELECT \"{c}\" AS v, count(*) AS n FROM wide WHERE \"{c}\" IS NOT NULL "
+           f"GROUP BY \"{c}\" ORDER BY n DESC, v LIMIT 1))")
+    freq = (f"(SELECT n FROM (SELECT \"{c}\" AS v, count(*) AS n FROM wide WHERE \"{c}\" IS NOT NULL "
+            f"GROUP BY \"{c}\" ORDER BY n DESC, v LIMIT 1))")
     if numeric:
         x = f"CAST({c} AS DOUBLE)"
         stats = (f"avg({x}) AS mean, stddev_samp({x}) AS std, min({x}) AS min, "
@@ -147,7 +147,7 @@ def _describe_sql(c, numeric):
                  f"quantile_cont({x}, 0.75) AS q75, max({x}) AS max")
     else:
         stats = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", "min", "q25", "q50", "q75", "max"))
-    return (f"SELECT '{c}' AS column_name, count({c}) AS count, count(DISTINCT {c}) AS \"unique\", {stats}, "
+    return (f"SELECT '{c}' AS column_name, count(\"{c}\") AS count, count(DISTINCT \"{c}\") AS \"unique\", {stats}, "
             f"{top} AS top, {freq} AS freq FROM wide")
 
 

@@ -150,3 +150,16 @@ def test_checkpoint_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_exact_quantiles_match_sorted_rows(spark):
+    import numpy as np
+
+    from sessionlens.operators.ordering import exact_quantiles
+    rows = [(k, float((7 * i * i) % 31), 1 + i % 3) for k in ("a", "b") for i in range(40)] + [("c", 5.0, 1), ("d", None, 2)]
+    got = {r.k: r.quantiles for r in exact_quantiles(
+        spark.createDataFrame(rows, "k string, x double, n int"), "k", "x", "n", [0.25, 0.5, 0.9]).collect()}
+    for k in ("a", "b", "c"):
+        values = np.repeat([x for j, x, _ in rows if j == k], [n for j, _, n in rows if j == k])
+        assert got[k] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.9]).tolist())
+    assert "d" not in got
