@@ -8,13 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import (decontaminate, license_scan, ngram_join, packing, pii, quality_model, quality_rules,
-                             secret_scan, substring_dedup, warc)
+from sessionlens.llm import (decontaminate, license_scan, ngram_join, oracle, packing, pii, quality_model,
+                             quality_rules, secret_scan, substring_dedup, warc)
 from sessionlens.llm.tables import table
 from sessionlens.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+#: Spelled e-mail and account spans, secret spans, scores, token ids and packings have no SQL: they are tested in tests/llm
+ORACLE_SQL = {
+    "op1_ngram_join": oracle.NGRAM_JOIN,
+    "op3_decontamination": oracle.DECONTAMINATION,
+    "op6_license_scan": oracle.LICENSE_SCAN,
+    "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op9_quality_rules": oracle.QUALITY_RULES,
+    "op10_warc_audit": oracle.WARC_AUDIT,
+}
 
 
 def query(fn):
