@@ -75,11 +75,13 @@ def with_class_weight(df: DataFrame, label: str = TARGET, out: str = "class_weig
 
 
 def model_choice(name: str, **params):
-    """Base estimators by name: decision tree, boosted trees, forest, logistic."""
-    cls = {"decision_tree": DecisionTreeClassifier, "gbt": GBTClassifier,
-           "xgboost": GBTClassifier, "lightgbm": GBTClassifier, "catboost": GBTClassifier,
-           "random_forest": RandomForestClassifier, "logistic": LogisticRegression}[name]
-    est = cls(labelCol=TARGET, featuresCol="features")
+    """Base estimators by name: decision tree, boosted trees, forest, logistic.
+    Boosters of other libraries are not here under their names: ``gbt`` is."""
+    kinds = {"decision_tree": DecisionTreeClassifier, "gbt": GBTClassifier,
+             "random_forest": RandomForestClassifier, "logistic": LogisticRegression}
+    if name not in kinds:
+        raise ValueError(f"unknown model {name!r}; one of {sorted(kinds)}")
+    est = kinds[name](labelCol=TARGET, featuresCol="features")
     if est.hasParam("seed"):
         est = est.setSeed(RANDOM_STATE)
     return est.setParams(**params) if params else est
@@ -98,8 +100,10 @@ def base_pipeline(estimator=None, numeric=None, categorical=None, train: DataFra
     # one multi-column indexer: a single pass over the data to fit
     idx = StringIndexer(inputCols=categorical, outputCols=[c + "_idx" for c in categorical],
                         handleInvalid="keep")
-    if train is not None and hasattr(est, "setMaxBins"):
-        est = est.setMaxBins(_max_bins(idx.fit(train)))
+    if train is not None:
+        idx = idx.fit(train)  # a fitted stage: the pipeline does not fit it again
+        if hasattr(est, "setMaxBins"):
+            est = est.setMaxBins(_max_bins(idx))
     asm = VectorAssembler(inputCols=numeric + [c + "_idx" for c in categorical], outputCol="features",
                           handleInvalid="keep")
     return Pipeline(stages=[idx, asm, est])
@@ -226,8 +230,8 @@ def ensemble_mean(models, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     transforms on one frame (no joins), and the label at ``threshold``."""
     out, probs = df, []
     for i, m in enumerate(models):
-        stages = m.stages if isinstance(m, PipelineModel) else [m]
-        last = stages[-1]
+        m = m.copy()  # the caller's models keep their column names
+        last = m.stages[-1] if isinstance(m, PipelineModel) else m
         for setter, name in (("setProbabilityCol", f"_p{i}"), ("setRawPredictionCol", f"_raw{i}"),
                              ("setPredictionCol", f"_pred{i}")):
             getattr(last, setter)(name)

@@ -1,9 +1,12 @@
 """Queries for encodings and model jobs (rows 9, 152-164).
 
-Model queries are checked rows-only. They train with the reference's
-estimator kinds but fewer rounds / trees than its defaults (GBT 10 rounds,
-forest 10 trees) so the registered check stays minutes, not hours; the
-library defaults are the reference's (``models.BASE_DEFAULTS``,
+Fitted scores cannot come from SQL, so the model queries return what must
+hold for any fit, and SQL states it: which rows are scored, their labels, that
+scores are probabilities and labels follow them, that a saved model scores as
+before, that an ensemble's score is the mean of its members'. They train with
+the reference's estimator kinds but fewer rounds / trees than its defaults
+(GBT 10 rounds, forest 10 trees) so the registered check stays minutes, not
+hours; the library defaults are the reference's (``models.BASE_DEFAULTS``,
 ``models.META_DEFAULTS``). Training always sees the whole feature table.
 """
 
@@ -72,71 +75,102 @@ def q_class_ratio(spark, sf_dir):
     return models.class_ratio(wide(spark, sf_dir))
 
 
+def _rows(split: str, flags: str) -> str:
+    """The rows of a split with their label, and flags that must all hold."""
+    held = ", ".join(f"TRUE AS {f}" for f in flags.split())
+    return _HOLDOUT + f""" SELECT wide.row_ord, is_click AS y_true, {held}
+        FROM wide JOIN hs ON hs.row_ord = wide.row_ord WHERE split = '{split}'"""
+
+
+def _held(df, **flags):
+    return df.select("row_ord", F.col("is_click").alias("y_true"),
+                     *[F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()])
+
+
 def _scores(df):
-    return df.select("row_ord", models.positive_probability().alias("y_proba"),
-                     F.col("prediction").cast("int").alias("y_pred"), F.col("is_click").alias("y_true"))
+    """Scores are probabilities; the label is the likelier class."""
+    p, label = models.positive_probability(), F.col("prediction")
+    return _held(df, in_range=p.between(0, 1), follows=(p == 0.5) | ((p > 0.5).cast("double") == label))
+
+
+def _stacked_scores(df):
+    return _held(df, in_range=F.col("y_pred_prob").between(0, 1), is_label=F.col("prediction").isin(0.0, 1.0))
 
 
-@register("base_model")
+_SCORED = _rows("test", "in_range follows")
+_STACKED = "in_range is_label"
+
+
+@register("base_model", sql=_SCORED)
 def q_base_model(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     est = models.model_choice("gbt", **GBT_QUICK)
     return _scores(models.base_pipeline(est, train=train).fit(train).transform(test))
 
 
-@register("model_choice")
+@register("model_choice", sql=_rows("test", "decision_tree logistic random_forest"))
 def q_model_choice(spark, sf_dir):
+    """Each kind but the booster (see ``base_model``): valid scores."""
     train, test = _train_test(spark, sf_dir)
-    est = models.model_choice("decision_tree", maxDepth=6)
-    return _scores(models.base_pipeline(est, train=train).fit(train).transform(test))
+    out = test
+    for name, params in (("decision_tree", {"maxDepth": 6}), ("logistic", {"maxIter": 10}), ("random_forest", RF_QUICK)):
+        est = models.model_choice(name, **params)
+        scored = models.base_pipeline(est, train=train).fit(train).transform(test)
+        p = models.positive_probability()
+        out = out.join(scored.select("row_ord", p.between(0, 1).alias(name)), "row_ord", "left")
+    return _held(out, decision_tree=F.col("decision_tree"), logistic=F.col("logistic"), random_forest=F.col("random_forest"))
 
 
 def _stacked(train):
     return models.StackedClassifier(models.model_choice("gbt", **GBT_QUICK), meta_params=RF_QUICK).fit(train)
 
 
-@register("meta_features")
+@register("meta_features", sql=_rows("train", "score_first numerics_pass one_hot"))
 def q_meta_features(spark, sf_dir):
+    """The vector is the score, then the numeric features as they are, then
+    one-hot groups that hold a single 1 at most."""
     train, _ = _train_test(spark, sf_dir)
     est = models.model_choice("gbt", **GBT_QUICK)
     base = models.base_pipeline(est, train=train).fit(train)
     scored = base.transform(train).select(*train.columns, models.positive_probability().alias("y_pred_prob"))
-    enc = models.meta_features_pipeline().fit(scored)
-    out = enc.transform(scored)
-    return out.select("row_ord", "y_pred_prob", F.size(models.vector_to_array("meta_features")).alias("n_meta"))
+    out = models.meta_features_pipeline().fit(scored).transform(scored)
+    v = models.vector_to_array("meta_features")
+    n = len(models.NUMERIC)
+    numerics = F.array(*[F.col(c).cast("double") for c in models.NUMERIC])
+    hot = F.slice(v, n + 2, F.size(v) - n - 1)
+    ones = F.aggregate(hot, F.lit(0.0), lambda a, x: a + x)
+    return _held(out, score_first=v[0] == F.col("y_pred_prob"), numerics_pass=F.slice(v, 2, n) == numerics,
+                 one_hot=F.forall(hot, lambda x: x.isin(0.0, 1.0)) & (ones <= len(models.CATEGORICAL_META)))
 
 
-@register("meta_model")
+@register("meta_model", sql=_rows("test", "in_range follows"))
 def q_meta_model(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     m = _stacked(train)
     scored = m.base.transform(test).select(*test.columns, models.positive_probability().alias("y_pred_prob"))
-    out = m.meta.transform(m.meta_enc.transform(scored))
-    return out.select("row_ord", F.col("prediction").cast("int").alias("y_pred"),
-                      models.positive_probability().alias("meta_proba"))
+    return _scores(m.meta.transform(m.meta_enc.transform(scored)))
 
 
-@register("stacked_fit")
+@register("stacked_fit", sql=_rows("train", _STACKED))
 def q_stacked_fit(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    return _stacked(train).transform(train).select("row_ord", "y_pred_prob", "prediction")
+    return _stacked_scores(_stacked(train).transform(train))
 
 
-@register("stacked_predict")
+@register("stacked_predict", sql=_rows("test", _STACKED))
 def q_stacked_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    out = _stacked(train).transform(test)
-    return out.select("row_ord", F.col("y_pred_prob").alias("y_proba"), F.col("prediction").alias("y_pred"))
+    return _stacked_scores(_stacked(train).transform(test))
 
 
-@register("refit_full")
+@register("refit_full", sql=_rows("test", _STACKED))
 def q_refit_full(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     est = models.StackedClassifier(models.model_choice("gbt", **GBT_QUICK), meta_params=RF_QUICK)
-    return models.refit_full(est, train, test).transform(test).select("row_ord", "y_pred_prob", "prediction")
+    return _stacked_scores(models.refit_full(est, train, test).transform(test))
 
 
-@register("param_search")
+@register("param_search", sql=_SCORED)
 def q_param_search(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     est = models.model_choice("decision_tree")
@@ -146,7 +180,7 @@ def q_param_search(spark, sf_dir):
     return _scores(cv.bestModel.transform(test))
 
 
-@register("ensemble_mean")
+@register("ensemble_mean", sql=_rows("test", "is_mean follows"))
 def q_ensemble_mean(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     samples = splits.balanced_samples(train, k=3, ratio=2)
@@ -155,26 +189,38 @@ def q_ensemble_mean(spark, sf_dir):
         part = samples.where(F.col("sample_id") == i).drop("sample_id")
         est = models.model_choice("decision_tree", maxDepth=5)
         fitted.append(models.base_pipeline(est, train=part).fit(part))
-    return models.ensemble_mean(fitted, test).select("row_ord", "mean_proba", "prediction")
+    out = models.ensemble_mean(fitted, test)
+    for i, m in enumerate(fitted):
+        out = out.join(m.transform(test).select("row_ord", models.positive_probability().alias(f"p{i}")), "row_ord")
+    mean = (F.col("p0") + F.col("p1") + F.col("p2")) / 3
+    return _held(out, is_mean=F.abs(F.col("mean_proba") - mean) < 1e-12,
+                 follows=(F.col("mean_proba") >= 0.5).cast("int") == F.col("prediction"))
 
 
-@register("batch_score")
+def _same_score(a, b, column):
+    """Rows of ``a`` with whether ``b`` scores them alike."""
+    other = b.select("row_ord", column.alias("_other"))
+    return _held(a.withColumn("_score", column).join(other, "row_ord", "left"), same=F.col("_score") == F.col("_other"))
+
+
+@register("batch_score", sql=_rows("test", "same"))
 def q_batch_score(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     est = models.model_choice("gbt", **GBT_QUICK)
     path = scratch_path(spark, "model")
-    models.save_model(models.base_pipeline(est, train=train).fit(train), path)
-    return _scores(models.batch_score(path, test))
+    m = models.base_pipeline(est, train=train).fit(train)
+    models.save_model(m, path)
+    return _same_score(m.transform(test), models.batch_score(path, test), models.positive_probability())
 
 
-@register("persist_model")
+@register("persist_model", sql=_rows("test", "same"))
 def q_persist_model(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     m = _stacked(train)
     path = scratch_path(spark, "stacked")
     models.save_model(m, path)
     back = models.load_model(path)
-    return back.transform(test).select("row_ord", "y_pred_prob", "prediction")
+    return _same_score(m.transform(test), back.transform(test), F.col("y_pred_prob"))
 
 
 # -- end-to-end runs ------------------------------------------------
