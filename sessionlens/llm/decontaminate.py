@@ -168,18 +168,17 @@ def _frequencies(docs: DataFrame, index) -> dict[int, int]:
     return dict(counts.groupBy("token").agg(F.sum("n").alias("n")).toLocalIterator())
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-             block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """The documents with ``n_words``, ``hit_words`` (sorted numbers of words
-    inside a window's occurrence) and ``items`` (sorted ids, as strings)."""
+_WORDS, _HIT, _ITEMS = "_decontaminate_words", "_decontaminate_hit", "_decontaminate_items"
+
+
+def _annotated(docs: DataFrame, benchmark: DataFrame, size: int, block_windows: int) -> DataFrame:
     spark = docs.sparkSession
     windows = item_windows(benchmark, size)
     n = windows.count()
     parts = max(1, -(-n // block_windows))
     windows = windows.withColumn("part", F.pmod(F.col("window"), F.lit(parts)))
-    keep = [c for c in docs.columns if c not in ("n_words", "hit_words", "items")]
-    out = docs.select(*keep, F.lit(None).cast("int").alias("n_words"),
-                      F.array().cast("array<int>").alias("hit_words"), F.array().cast("array<string>").alias("items"))
+    out = docs.select("*", F.lit(None).cast("int").alias(_WORDS), F.array().cast("array<int>").alias(_HIT),
+                      F.array().cast("array<string>").alias(_ITEMS))
     for part in range(parts):
         index = _Index(windows.filter(F.col("part") == part).select("window", "item", "words").collect(), size)
         sent = spark.sparkContext.broadcast(index)
@@ -188,14 +187,24 @@ def annotate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     return out
 
 
+def annotate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
+             block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The documents with ``n_words``, ``hit_words`` (sorted numbers of words
+    inside a window's occurrence) and ``items`` (sorted ids, as strings);
+    columns of the documents with these names give way."""
+    new = {"n_words": F.col(_WORDS), "hit_words": F.col(_HIT), "items": F.col(_ITEMS)}
+    rows = _annotated(docs, benchmark, size, block_windows)
+    return rows.select(*[c for c in docs.columns if c not in new], *[v.alias(k) for k, v in new.items()])
+
+
 def _step(index, names: list[str]):
     text_at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
         for batch in batches:
-            hits = batch.column(names.index("hit_words")).to_pylist()
-            items = batch.column(names.index("items")).to_pylist()
+            hits = batch.column(names.index(_HIT)).to_pylist()
+            items = batch.column(names.index(_ITEMS)).to_pylist()
             n_words: list[int] = []
             for b in blocks(utf8(batch.column(text_at)), ALNUM_WORDS, lower=True):
                 w, s = ix.occurrences(b, b.hashes())
@@ -208,18 +217,18 @@ def _step(index, names: list[str]):
                     hits[row] = np.union1d(words, hits[row]).astype(np.int32).tolist()
                     items[row] = sorted({*items[row], *(x for j in np.unique(w[mine]) for x in ix.items[j])})
             cols = {name: batch.column(i) for i, name in enumerate(names)}
-            cols["n_words"] = pa.array(n_words, pa.int32())
-            cols["hit_words"] = pa.array(hits, pa.list_(pa.int32()))
-            cols["items"] = pa.array(items, pa.list_(pa.string()))
+            cols[_WORDS] = pa.array(n_words, pa.int32())
+            cols[_HIT] = pa.array(hits, pa.list_(pa.int32()))
+            cols[_ITEMS] = pa.array(items, pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(list(cols.values()), names)
 
     return run
 
 
-def contaminated():
+def contaminated(hit_words: str = "hit_words", n_words: str = "n_words"):
     """The rule on ``annotate``'s columns: hits cover a twentieth of the words."""
-    n_hit = F.size("hit_words").cast("long")
-    return (n_hit > 0) & (F.lit(20) * n_hit >= F.col("n_words"))
+    n_hit = F.size(hit_words).cast("long")
+    return (n_hit > 0) & (F.lit(20) * n_hit >= F.col(n_words))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -232,4 +241,5 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    return annotate(docs, benchmark).filter(~contaminated()).select(*docs.columns)
+    rows = _annotated(docs, benchmark, WINDOW, BLOCK_WINDOWS)
+    return rows.filter(~contaminated(_HIT, _WORDS)).select(*docs.columns)
