@@ -29,7 +29,6 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -47,6 +46,7 @@ SHARD_PIECES = 16384
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+SIGNS = "★♥☆♡❤✨"
 _TEXTS_AT_ONCE = 256
 
 
@@ -64,44 +64,51 @@ class WordIds:
     starts anew when it holds ``limit`` words, which bounds a worker's memory.
     """
 
-    def __init__(self, path: str, limit: int = 700_000, at_once: int = 64):
+    def __init__(self, path: str, limit: int = 700_000, at_once: int = 256):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit, self.at_once = limit, at_once
-        # a special token between new words parts their ids again
-        special = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
-        self.mark = special[0].content if special else None
+        # a sign with one id of its own parts the ids of new words
+        ids = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in SIGNS}
+        self.sign = next((c for c in SIGNS if len(ids[c]) == 1), None)
+        self.sign_id = ids[self.sign][0] if self.sign else None
         self.known: dict[bytes, bytes] = {}
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > self.limit:
             self.known.clear()
+        look = self.known.get
         split = [t.split() for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(filterfalse(self.known.__contains__, words))
-        self._learn(list(new))
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        ids = [list(map(look, words)) for words in split]
+        gaps = [[i for i, x in enumerate(found) if x is None] if None in found else [] for found in ids]
+        self._learn(list({words[i] for words, gap in zip(split, gaps) for i in gap}))
+        for words, found, gap in zip(split, ids, gaps):
+            for i in gap:
+                found[i] = look(words[i])
+        return [b"".join(found) for found in ids]
 
     def _learn(self, words: list[bytes]) -> None:
-        """Add the ids of new words: many to a call, parted by the mark."""
+        """Add the ids of new words, many to a call, parted by the sign. Words
+        that hold the sign, and runs that do not part cleanly, go alone."""
         words = [w.decode() for w in words]
-        alone = [w for w in words if self.mark is None or self.mark in w]
-        joined = [w for w in words if self.mark is not None and self.mark not in w]
-        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
+        alone = [w for w in words if self.sign is None or self.sign in w]
+        joined = [w for w in words if self.sign is not None and self.sign not in w]
         runs = [joined[i:i + self.at_once] for i in range(0, len(joined), self.at_once)]
-        coded = self.tokenizer.encode_batch_fast([f" {self.mark} ".join(r) for r in runs], add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast([f" {self.sign} ".join(r) for r in runs], add_special_tokens=False)
         for run, e in zip(runs, coded):
             ids = np.array(e.ids, "<u4")
-            cut = np.flatnonzero(ids == self.tokenizer.token_to_id(self.mark)) * 4
+            cut = np.flatnonzero(ids == self.sign_id) * 4
+            if len(cut) != len(run) - 1:
+                alone += run
+                continue
             whole = ids.tobytes()
             for w, a, b in zip(run, [0, *(cut + 4).tolist()], [*cut.tolist(), len(whole)]):
                 self.known[w.encode()] = whole[a:b]
+        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
 
 
 @lru_cache(4)
@@ -145,7 +152,7 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None) -> DataFr
 class Completion:
     """Branch and bound over the multiset of lengths of one shard."""
 
-    def __init__(self, lengths: np.ndarray, size: int, branches: int = 3, nodes_per_bin: int = 3):
+    def __init__(self, lengths: np.ndarray, size: int, branches: int = 3, nodes_per_bin: int = 2):
         self.size = size
         self.count = np.bincount(lengths, minlength=size + 1)
         self.total = int(lengths.sum())
@@ -169,31 +176,34 @@ class Completion:
         one = int(below[room])
         if one == room or one == 0:
             return [[one]] if one else [[]]
-        found = {(one,): one}
         # a pair matters only if it fills more than the best single piece;
         # for each larger half, the best partner dominates smaller ones
         xs = np.flatnonzero(have[:one + 1])
         xs = xs[xs > 0]
         ys = np.minimum(below[room - xs], xs)
-        twin = (ys == xs) & (self.count[xs] < 2)
-        ys = np.where(twin, below[np.maximum(xs - 1, 0)], ys)
+        ys = np.where((ys == xs) & (self.count[xs] < 2), below[np.maximum(xs - 1, 0)], ys)
         sums = np.where(ys > 0, xs + ys, 0)
-        for i in np.argsort(-sums, kind="stable")[:self.branches]:
+        top = int(sums.argmax())
+        if sums[top] == room:
+            return [[int(xs[top]), int(ys[top])]]
+        found = {(one,): one}
+        few = min(self.branches, len(sums))
+        for i in np.argpartition(-sums, few - 1)[:few]:
             if sums[i] > one:
                 found[(int(xs[i]), int(ys[i]))] = int(sums[i])
-        if max(found.values()) < room:
-            for i in np.argsort(-xs, kind="stable")[:16]:
-                x = int(xs[i])
-                left = room - x
-                ys = xs[xs <= min(x, left)]
-                zs = np.minimum(below[left - ys], ys)
-                used = (ys == x).astype(int) + 1
-                zs = np.where((zs == ys) & (self.count[ys] <= used), below[np.maximum(ys - 1, 0)], zs)
-                ok = (self.count[ys] >= used) & (zs > 0) & ((zs != x) | (self.count[x] > 1))
-                sums = np.where(ok, x + ys + zs, 0)
-                if len(sums) and sums.max() > one:
-                    j = int(sums.argmax())
-                    found[(x, int(ys[j]), int(zs[j]))] = int(sums[j])
+        for x in xs[::-1][:8].tolist():
+            left = room - x
+            ys = xs[xs <= min(x, left)]
+            zs = np.minimum(below[left - ys], ys)
+            used = (ys == x).astype(int) + 1
+            zs = np.where((zs == ys) & (self.count[ys] <= used), below[np.maximum(ys - 1, 0)], zs)
+            ok = (self.count[ys] >= used) & (zs > 0) & ((zs != x) | (self.count[x] > 1))
+            sums = np.where(ok, x + ys + zs, 0)
+            if len(sums) and sums.max() > one:
+                j = int(sums.argmax())
+                found[(x, int(ys[j]), int(zs[j]))] = int(sums[j])
+                if sums[j] == room:
+                    break
         order = sorted(found, key=lambda f: (-found[f], len(f), tuple(-x for x in f)))
         return [list(f) for f in order[:self.branches]]
 
@@ -276,7 +286,7 @@ def pack(parts: DataFrame, size: int = SIZE, shard_pieces: int = SHARD_PIECES) -
         {"sequence_id": -1 - F.col("row"), "offset": F.lit(0).cast("long")}).drop("row")
     rest = rows.filter(F.col("length") < size)
     shards = max(1, -(-rest.count() // shard_pieces))
-    rest = rest.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).repartition(shards, "shard")
     names = full.columns
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
