@@ -4,8 +4,9 @@ Two texts link when the Jaccard similarity of their sets of word n-grams is at
 least ``percent`` / 100, exactly. The result gives every document its class of
 linked documents. Steps:
 
-1. *Points.* Tokens (n-gram hashes) are hashed into ``GROUPS`` groups; the
-   counts per group are a document's point. Documents with equal sets are one
+1. *Points.* Tokens (n-gram hashes) are hashed into groups, 512 or more for
+   larger sets; the counts per group are a document's point. Groups nest, so
+   points fold to fewer groups; trees use ``GROUPS``. Documents with equal sets are one
    class from here on (hash aggregation, so a third of the corpus being copies
    of one text costs one row a task).
 2. *Cells.* A pair above the threshold shares a token among the first
@@ -19,7 +20,7 @@ linked documents. Steps:
 4. *R-trees.* Cells that still hold two components or more are split into
    blocks of bounded size; each pair of blocks packs its points into leaves
    with their maxima. Summed coordinate minima bound the overlap of two leaves,
-   then of two points; pairs of one component are skipped, and so are pairs
+   then of two points, last of two points at all their groups; pairs of one component are skipped, and so are pairs
    that already met in a cell with a smaller token.
 5. *Verification.* Surviving pairs are compared by their full sets, and their
    links close the components.
@@ -77,19 +78,45 @@ def class_key(tokens: np.ndarray) -> int:
 
 
 def counts(tokens: np.ndarray) -> bytes:
-    """Group counts in the narrowest unsigned type that holds them."""
-    v = np.bincount((tokens >> np.uint64(17)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    """Counts of the groups, named by the leading bits of a token: one byte
+    with the number of bits (9, and 2 more each time the set outgrows the
+    groups twofold), then the counts in the narrowest unsigned type."""
+    bits = 9
+    while len(tokens) > 2 << bits and bits < 15:
+        bits += 2
+    v = np.bincount((mix(tokens) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     top = int(v.max())
-    return v.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32).tobytes()
+    return bytes([bits]) + v.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32).tobytes()
 
 
-def points(vectors: list[bytes]) -> np.ndarray:
-    out = np.empty((len(vectors), GROUPS), np.int32)
-    for i, v in enumerate(vectors):
-        out[i] = np.frombuffer(v, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(v) // GROUPS])
+def point(packed: bytes) -> np.ndarray:
+    width = (len(packed) - 1) >> packed[0]
+    return np.frombuffer(packed, {1: np.uint8, 2: np.uint16, 4: np.uint32}[width], offset=1)
+
+
+def fold(p: np.ndarray, groups: int) -> np.ndarray:
+    """The point over fewer groups: neighbours add up."""
+    return p.reshape(groups, -1).sum(1, dtype=np.int32)
+
+
+def points(packed: list[bytes]) -> np.ndarray:
+    """Points over ``GROUPS`` groups."""
+    out = np.empty((len(packed), GROUPS), np.int32)
+    for i, v in enumerate(packed):
+        out[i] = fold(point(v), GROUPS)
     return out
 
 
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """Summed coordinate minima at the groups both points have."""
+    x, y = point(a), point(b)
+    if len(x) > len(y):
+        x = fold(x, len(y))
+    elif len(y) > len(x):
+        y = fold(y, len(x))
+    return int(np.minimum(x, y).sum(dtype=np.int64))
+
+
 class Order:
     """The common order of tokens: rank in the sample, then hash."""
 
@@ -244,7 +271,8 @@ def candidate_pairs(members: DataFrame, percent: int, block_points: int = BLOCK_
 
     def cell_pairs(t: pa.Table) -> list[np.ndarray]:
         key, mine, i, j, component, size = (t.column(c).to_numpy() for c in ("key", "mine", "i", "j", "component", "size"))
-        point = points(t.column("point").to_pylist())
+        packed = t.column("point").to_pylist()
+        point = points(packed)
         # component names become small numbers
         component = np.unique(component, return_inverse=True)[1]
         own = np.arange(len(key))
@@ -258,6 +286,9 @@ def candidate_pairs(members: DataFrame, percent: int, block_points: int = BLOCK_
                 return []
             x, y = tree_join(Leaves(one, component, size, point), Leaves(two, component, size, point), False,
                              component, size, point, percent, met)
+        fine = np.array([overlap_bound(packed[i], packed[j]) for i, j in zip(x.tolist(), y.tolist())], np.int64)
+        ok = _reaches(fine, size[x], size[y], percent)
+        x, y = x[ok], y[ok]
         return [np.minimum(key[x], key[y]), np.maximum(key[x], key[y])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,9 +358,9 @@ def near_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = points(batch.column(4).to_pylist()), points(batch.column(5).to_pylist())
-            size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            ok = pa.array(_reaches(np.minimum(a, b).sum(1), size_a, size_b, percent), pa.bool_())
+            pairs = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            bound = np.array([overlap_bound(a, b) for a, b in pairs], np.int64)
+            ok = pa.array(_reaches(bound, batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent), pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(ok) for c in batch.columns[:2]], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")

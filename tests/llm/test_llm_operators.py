@@ -96,6 +96,7 @@ def test_bound_never_loses_a_pair():
     sets = [np.unique(r.integers(0, 2**40, 60, dtype=np.uint64)) for _ in range(40)]
     sets += [np.unique(np.concatenate([s[:-3], r.integers(0, 2**40, 3, dtype=np.uint64)])) for s in sets]
     size = np.array([len(s) for s in sets])
+    packed = [ngram_join.counts(s) for s in sets]
     point = ngram_join.points([ngram_join.counts(s) for s in sets])
     leaves = ngram_join.Leaves(np.arange(len(sets)), np.arange(len(sets)), size, point)
     x, y = ngram_join.tree_join(leaves, leaves, True, np.arange(len(sets)), size, point, 80)
@@ -105,6 +106,18 @@ def test_bound_never_loses_a_pair():
             inter = len(np.intersect1d(sets[i], sets[j]))
             if 100 * inter >= 80 * (size[i] + size[j] - inter):
                 assert frozenset((i, j)) in found
+            assert inter <= ngram_join.overlap_bound(packed[i], packed[j])
+
+
+def test_points_of_different_width_fold():
+    r = np.random.default_rng(2)
+    for n, m in [(900, 1300), (3000, 5000), (40, 30000)]:
+        a = np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], r.integers(0, 2**63, m, dtype=np.uint64)]))
+        x, y = ngram_join.counts(a), ngram_join.counts(b)
+        assert len(np.intersect1d(a, b)) <= ngram_join.overlap_bound(x, y) <= min(len(a), len(b))
+        assert ngram_join.points([x]).sum() == len(a)
+    assert ngram_join.point(ngram_join.counts(a[:0])).sum() == 0
 
 
 def test_components(spark):
