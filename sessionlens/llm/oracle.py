@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sessionlens.llm.license_scan import DICE, TEMPLATES
 from sessionlens.llm.quality_rules import Rules
+from sessionlens.llm.secret_scan import BASE, KINDS, MANY_OWNERS, PATTERNS
 
 SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -164,3 +165,36 @@ o AS (
 SELECT page_id, record_id, copies, ordinal, "offset", length, sha256,
   CASE WHEN k % 59 = 0 THEN 'missing' WHEN k % 53 = 0 THEN 'corrupt' ELSE 'intact' END AS status
 FROM o"""
+
+
+def _found(kind: str) -> str:
+    """Spans of one kind: the parts between matches and the matches alternate."""
+    pattern, group, least = PATTERNS[kind]
+    rx = pattern.replace("'", "''")
+    size = "lambda x: length(x)"
+    return f"""
+  SELECT doc_id, source, kind, rank, "start", "start" + length(whole) AS "end", v AS value FROM (
+    SELECT doc_id, source, '{kind}' AS kind, {KINDS.index(kind)} AS rank, m[i] AS whole, v[i] AS v,
+      list_sum(list_transform(gap[1:i], {size})) + coalesce(list_sum(list_transform(m[1:i - 1], {size})), 0) AS "start"
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT doc_id, source, regexp_extract_all(text, '{rx}') AS m, regexp_extract_all(text, '{rx}', {group}) AS v,
+        regexp_split_to_array(text, '{rx}') AS gap FROM t)))
+  WHERE length(v) >= {least}"""
+
+
+_LINES = """string_agg(kind || ':' || CAST("start" AS VARCHAR) || ':' || CAST("end" AS VARCHAR), ',' ORDER BY "start", rank)"""
+_BASE = ", ".join(f"'{k}'" for k in BASE)
+
+SECRET_SCAN = f"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_found(k) for k in KINDS)}),
+owners AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) >= {MANY_OWNERS} AS copied FROM s GROUP BY value),
+per_doc AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in BASE)},
+    {_LINES} FILTER (WHERE kind IN ({_BASE})) AS base, {_LINES} AS spans,
+    count(*) FILTER (WHERE copied) AS n_copied, count(*) FILTER (WHERE NOT copied) AS n_live
+  FROM s JOIN owners ON owners.value = s.value GROUP BY doc_id)
+SELECT t.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
+FROM t LEFT JOIN per_doc p ON p.doc_id = t.doc_id"""

@@ -14,11 +14,12 @@ from sessionlens.llm.tables import table
 from sessionlens.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: Spelled e-mail and account spans, secret spans, scores, token ids and packings have no SQL: they are tested in tests/llm
+#: Added personal-data kinds, scores, token ids and packings have no SQL: they are tested in tests/llm
 ORACLE_SQL = {
     "op1_ngram_join": oracle.NGRAM_JOIN,
     "op3_decontamination": oracle.DECONTAMINATION,
     "op6_license_scan": oracle.LICENSE_SCAN,
+    "op7_secret_scan": oracle.SECRET_SCAN,
     "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op9_quality_rules": oracle.QUALITY_RULES,
     "op10_warc_audit": oracle.WARC_AUDIT,
