@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import compare, duck_connect
+from sessionlens.plans import catalog
 
-SQL = E.oracle_sql()
+SQL = catalog.oracle_sql()  # those of the optional package are tested with it
 
 
 @pytest.fixture(scope="module")
