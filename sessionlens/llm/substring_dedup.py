@@ -61,7 +61,7 @@ def pack_blocks(docs: DataFrame, target: int = BLOCK_BYTES) -> DataFrame:
     steps join by block without moving texts again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             ids = [LAST if i is None else i for i in batch.column(0).to_pylist()]
             texts = utf8(batch.column(1))
@@ -165,11 +165,16 @@ def confirmed_phrases(blocks: DataFrame, size: int, gram: int) -> DataFrame:
             for row in batch.to_pylist():
                 ids, _, b, _, at, key = _windows(row, size, gram)
                 keys, low, high = _distinct(key, ids[b.doc[at]])
+                base = np.full(len(keys), ids.min() if len(ids) else 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), row["block"])), pa.array(signed(keys)), pa.array(low), pa.array(high)],
-                    ["block", "phrase", "low", "high"])
-
-    held = blocks.mapInArrow(run, "block long, phrase long, low long, high long")
+                    [pa.array(np.full(len(keys), row["block"])), pa.array(signed(keys)), pa.array(base),
+                     pa.array(low ^ base), pa.array(high ^ low)], ["block", "phrase", "base", "low", "high"])
+
+    # ids travel as differences, which are mostly zero bytes
+    held = blocks.mapInArrow(run, "block long, phrase long, base long, low long, high long")
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low = F.col("base").bitwiseXOR(F.col("low"))
+    held = held.repartition(parts, "phrase").select("block", "phrase", low.alias("low"), low.bitwiseXOR(F.col("high")).alias("high"))
     owner = F.min("low").over(Window.partitionBy("phrase"))  # a row a block
     return held.withColumn("owner", owner).filter(F.col("owner") < F.col("high")).select("block", "phrase", "owner")
 
@@ -182,7 +187,8 @@ def _as_text(words: np.ndarray) -> str:
     return out.tobytes().decode("utf-16-le")
 
 
-def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: list[dict]) -> np.ndarray:
+def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: list[int],
+             owner_ids: list[int]) -> np.ndarray:
     """Mask of the block's words that the automaton removes."""
     import ahocorasick
 
@@ -195,11 +201,10 @@ def _removed(ids: np.ndarray, b: Block, words: np.ndarray, size: int, phrases: l
     automaton = ahocorasick.Automaton()
     owners: dict[str, dict[int, int]] = {}
     order = np.argsort(own)
-    wanted = np.array([p["phrase"] for p in phrases], np.int64).view(np.uint64)
+    wanted = np.array(phrases, np.int64).view(np.uint64)
     places = order[np.searchsorted(own[order], wanted)]  # each phrase is in the block
-    for p, place in zip(phrases, places.tolist()):
-        pattern = text[LETTERS * place:LETTERS * (place + cue)]
-        owners.setdefault(pattern, {})[p["phrase"]] = p["owner"]
+    for phrase, owner, place in zip(phrases, owner_ids, places.tolist()):
+        owners.setdefault(text[LETTERS * place:LETTERS * (place + cue)], {})[phrase] = owner
     for pattern, by_hash in owners.items():
         automaton.add_word(pattern, by_hash)
     automaton.make_automaton()
@@ -224,15 +229,15 @@ def dedup(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     candidates = blocks.join(recurring_anchors(blocks, size, gram), "block", "left").select(
         "block", "ids", "sizes", "texts", "anchors")
     phrases = confirmed_phrases(candidates, size, gram).groupBy("block").agg(
-        F.collect_list(F.struct("phrase", "owner")).alias("phrases"))  # at most the windows of a block
-    both = blocks.join(phrases, "block", "left").select("ids", "sizes", "texts", "phrases")
+        F.collect_list("phrase").alias("phrases"), F.collect_list("owner").alias("owners"))  # at most the block's windows
+    both = blocks.join(phrases, "block", "left").select("ids", "sizes", "texts", "phrases", "owners")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, _, b = _open(row)
                 words = b.hashes()
-                gone = _removed(ids, b, words, size, row["phrases"] or [])
+                gone = _removed(ids, b, words, size, row["phrases"] or [], row["owners"] or [])
                 left = np.concatenate([[0], np.cumsum(gone)])
                 n = np.diff(b.first)
                 cut = left[b.first[1:]] - left[b.first[:-1]]
