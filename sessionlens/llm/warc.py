@@ -38,19 +38,17 @@ END = "\r\n\r\n"
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """page_id, record_id, head, html, copies: one row per distinct page."""
+    """page_id, record_id, head, html of every page; equal pages share an id."""
     url, html = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("url", "html"))
     page = F.col("page_id").cast("long")
     rid = F.sha2(F.concat_ws("\n", F.coalesce(page.cast("string"), F.lit("-")), F.length(url).cast("string"), url, html), 256)
     rows = pages.select(page.alias("page_id"), rid.alias("record_id"), url.alias("url"), html.alias("html"))
-    rows = rows.groupBy("record_id").agg(F.first("page_id").alias("page_id"), F.first("url").alias("url"),
-                                         F.first("html").alias("html"), F.count("*").alias("copies"))
     # a header field is one line
     target = F.regexp_replace("url", "[\r\n]", " ")
     head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:sha256:"), F.col("record_id"),
                     F.lit(">\r\nWARC-Target-URI: "), target, F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
                     F.octet_length("html").cast("string"), F.lit(END))
-    return rows.select("page_id", "record_id", head.alias("head"), "html", "copies")
+    return rows.select("page_id", "record_id", head.alias("head"), "html")
 
 
 def _parts(spark: SparkSession) -> int:
@@ -60,7 +58,9 @@ def _parts(spark: SparkSession) -> int:
 def write_archive(recs: DataFrame, path: str) -> None:
     """Ordered part files, each a gzip WARC file of whole records."""
     order = [F.col("page_id").asc_nulls_last(), F.col("record_id")]
-    rows = recs.repartitionByRange(_parts(recs.sparkSession), *order).sortWithinPartitions(*order)
+    # equal records meet in the same range, so dropping copies needs no further shuffle
+    rows = recs.repartitionByRange(_parts(recs.sparkSession), *order).dropDuplicates(["page_id", "record_id"])
+    rows = rows.sortWithinPartitions(*order)
     lines = rows.select(F.concat("head", "html").alias("value")).write.option("lineSep", END)
     lines.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
 
@@ -104,8 +104,10 @@ def split_records(data: bytes) -> Iterator[tuple[str, bytes]]:
 def manifest(recs: DataFrame) -> DataFrame:
     """page_id, record_id, copies, ordinal, offset, length, sha256 (checkpointed)."""
     whole = F.concat("head", "html", F.lit(END))
-    rows = recs.select("page_id", "record_id", "copies", F.octet_length(whole).cast("long").alias("length"),
+    rows = recs.select("page_id", "record_id", F.octet_length(whole).cast("long").alias("length"),
                        F.sha2(whole, 256).alias("sha256"))
+    rows = rows.groupBy("record_id").agg(F.first("page_id").alias("page_id"), F.first("length").alias("length"),
+                                         F.first("sha256").alias("sha256"), F.count("*").alias("copies"))
     order = [F.col("page_id").asc_nulls_last(), F.col("record_id")]
     rows = rows.repartitionByRange(_parts(recs.sparkSession), *order).withColumn("part", F.spark_partition_id())
     rows = cut_lineage(rows)  # the sampled bounds must not move between reads
