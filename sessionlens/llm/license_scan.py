@@ -15,7 +15,9 @@ ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +63,10 @@ def template_bigrams(text: str) -> list[str]:
 
 
 def size_bounds(a: int, dice: float) -> tuple[int, int]:
-    """Set sizes that can reach ``dice`` with a template of ``a`` bigrams."""
-    return int(-(-a * dice // (2 - dice))), int(a * (2 - dice) // dice)
+    """Set sizes that can reach ``dice`` with a template of ``a`` bigrams, in
+    exact fractions: a set of a bound's size may reach ``dice`` exactly."""
+    d = Fraction(str(dice))
+    return math.ceil(a * d / (2 - d)), math.floor(a * (2 - d) / d)
 
 
 def _words(segment: Column) -> Column:

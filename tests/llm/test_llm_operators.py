@@ -318,6 +318,23 @@ def test_license_templates_find_themselves(spark):
     assert all(names[r.doc_id] in r.licenses.split(",") and r.best_dice == 1 for r in got)
 
 
+def test_license_bounds_are_exact(spark):
+    """Every size that can reach 4/5 is compared, both borders included."""
+    for a in range(1, 60):
+        reach = [b for b in range(1, 100) if 5 * 2 * min(a, b) >= 4 * (a + b)]
+        assert license_scan.size_bounds(a, 0.8) == (reach[0], reach[-1]), a
+    borders = {0: "Licensed under the MIT License. See LICENSE", 1: "Licensed under CC BY-NC 4.0. All rights reserved"}
+    for text in license_scan.TEMPLATES.values():
+        a = len(license_scan.template_bigrams(text))
+        if a % 2 == 0:  # half as many foreign bigrams: the upper border, 2a / (a + 3a/2)
+            borders[len(borders)] = text + "".join(f" z{i}" for i in range(a // 2))
+    got = license_scan.scan(spark.createDataFrame(list(borders.items()), "doc_id long, text string"))
+    for r in got.collect():
+        best = {k: _dice(borders[r.doc_id], x) for k, x in license_scan.TEMPLATES.items()}
+        assert {m.license: m.dice for m in r.matches} == {k: d for k, d in best.items() if d >= 0.8}
+        assert max(m.dice for m in r.matches) == 0.8
+
+
 # 7 -------------------------------------------------------------------------
 
 def test_secret_edges(docs, empty):
