@@ -7,8 +7,8 @@ number, to shards of about ``shard_pieces`` pieces, and each shard is packed
 by branch and bound over bin completions:
 
 * the largest piece left opens a sequence;
-* its undominated fillings are enumerated (the one piece that fits best, then
-  pairs and triples that fill more than it does);
+* its undominated fillings, of any number of pieces, are enumerated lazily in
+  order of waste;
 * a branch is cut when its waste exceeds what one sequence less than the
   incumbent allows;
 * the incumbent starts as best-fit decreasing, and a shard stops as soon as it
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,6 +49,7 @@ VOCABULARY = "word_bpe_49k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SIGNS = "★♥☆♡❤✨"
 _TEXTS_AT_ONCE = 256
+BRANCHES = 3
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -150,28 +152,111 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None) -> DataFr
 
 
 class Completion:
-    """Branch and bound over the multiset of lengths of one shard."""
+    """Branch and bound over the multiset of lengths of one shard.
 
-    def __init__(self, lengths: np.ndarray, size: int, branches: int = 3, nodes_per_bin: int = 2):
+    Sets of lengths are bits of an int: bit x of ``left`` says that a piece of
+    length x is left.
+    """
+
+    def __init__(self, lengths: np.ndarray, size: int, nodes_per_bin: int = 3, steps_per_node: int = 64):
         self.size = size
-        self.count = np.bincount(lengths, minlength=size + 1)
+        self.counted = count = np.bincount(lengths, minlength=size + 1)
         self.total = int(lengths.sum())
         self.bound = -(-self.total // size)
-        self.branches = branches
-        self.best = best_fit(self.count, size)
-        self.nodes = nodes_per_bin * len(self.best)
+        self.best = best_fit(count, size)
+        self.budget = nodes_per_bin * len(self.best), steps_per_node * nodes_per_bin * len(self.best)
 
     def pack(self) -> list[list[int]]:
-        """Lengths of each sequence."""
-        if len(self.best) > self.bound:
-            self._search()
+        """Lengths of each sequence. Fullest sequences first suits mixed lengths;
+        few pieces a sequence first suits a narrow range of them."""
+        for self.few_first in (False, True):
+            if len(self.best) > self.bound:
+                self.nodes, self.steps = self.budget
+                self.count = self.counted.tolist()
+                self.left = sum(1 << x for x in np.flatnonzero(self.counted).tolist())
+                self._search()
         return self.best
 
-    def _fillings(self, largest: int) -> list[list[int]]:
-        """Undominated fillings beside ``largest`` (already taken out), least
-        waste first."""
-        room = self.size - largest
-        have = self.count[:room + 1] > 0
+    def _reach(self) -> tuple[list[int], list[int]]:
+        """Lengths left in order, and the sums that the first k of them reach."""
+        lengths = [x for x in range(1, self.left.bit_length()) if self.left >> x & 1]
+        sums, mask = [1], (2 << self.size) - 1
+        for x in lengths:
+            reached, copies, step = sums[-1], min(self.count[x], self.size // x), 1
+            while copies:
+                step = min(step, copies)
+                reached |= reached << x * step & mask
+                copies -= step
+                step *= 2
+            sums.append(reached)
+        return lengths, sums
+
+    def _fillings(self, room: int, slack: int, reach: tuple[list[int], list[int]]) -> Iterator[tuple[list[int], int]]:
+        """Undominated fillings of ``room`` of any number of pieces, with their
+        waste of at most ``slack``, least waste first. ``reach`` may be that of
+        a level above, which had all pieces of this one."""
+        if slack < 0:
+            return
+        if self.left >> room & 1:  # dominates all others
+            yield [room], 0
+            return
+        first = [f for f in self._few(room) if sum(f) >= room - slack] if self.few_first else []
+        for fill in first:
+            yield fill, room - sum(fill)
+        least = max(0, room - slack)
+        fits = reach[1][bisect_right(reach[0], room)]
+        fits = (fits & (2 << room) - 1) >> least << least
+        while fits:
+            total = fits.bit_length() - 1
+            fits ^= 1 << total
+            for fill in self._exact(total, room - total, *reach):
+                if fill not in first:
+                    yield fill, room - total
+
+    def _exact(self, total: int, waste: int, lengths: list[int], sums: list[int]) -> Iterator[list[int]]:
+        """Undominated sets of pieces of exactly ``total``, larger pieces first.
+
+        A set is dominated if one unused piece can take the place of some of
+        its pieces (or of none) without being smaller than they are and without
+        overfilling: the two could change places in any packing.
+        """
+        fill: list[int] = []
+        # per piece: its place in ``lengths``; unused pieces, sums of subsets before it
+        levels: list[tuple[int, int, int]] = []
+        unused, subsets = self.left, 0
+        k = bisect_right(lengths, total)
+        while self.steps > 0:
+            if total == 0:
+                if not unused & (2 << waste) - 2:
+                    yield list(fill)
+                k = 0
+            k = min(k, bisect_right(lengths, total))
+            while k and not (unused >> lengths[k - 1] & 1 and sums[k] >> total - lengths[k - 1] & 1):
+                k = k - 1 if sums[k] >> total & 1 else 0
+            if k == 0:
+                if not fill:
+                    return
+                total += fill.pop()
+                k, unused, subsets = levels.pop()
+                k -= 1
+                continue
+            self.steps -= 1
+            x = lengths[k - 1]
+            rest = unused ^ 1 << x if fill.count(x) + 1 == self.count[x] else unused
+            better = _smear(subsets << x, waste) | _smear(2 << x, waste - 1)
+            if better & rest:
+                k -= 1
+                continue
+            levels.append((k, unused, subsets))
+            fill.append(x)
+            unused, subsets = rest, subsets | subsets << x | 1 << x
+            total -= x
+
+    def _few(self, room: int) -> list[list[int]]:
+        """The fullest fillings of one, two or three pieces, least waste first:
+        where the second search begins, not all that it tries."""
+        count = np.array(self.count)
+        have = count[:room + 1] > 0
         below = np.maximum.accumulate(np.where(have, np.arange(room + 1), 0))  # largest length up to each
         one = int(below[room])
         if one == room or one == 0:
@@ -181,13 +266,13 @@ class Completion:
         xs = np.flatnonzero(have[:one + 1])
         xs = xs[xs > 0]
         ys = np.minimum(below[room - xs], xs)
-        ys = np.where((ys == xs) & (self.count[xs] < 2), below[np.maximum(xs - 1, 0)], ys)
+        ys = np.where((ys == xs) & (count[xs] < 2), below[np.maximum(xs - 1, 0)], ys)
         sums = np.where(ys > 0, xs + ys, 0)
         top = int(sums.argmax())
         if sums[top] == room:
             return [[int(xs[top]), int(ys[top])]]
         found = {(one,): one}
-        few = min(self.branches, len(sums))
+        few = min(BRANCHES, len(sums))
         for i in np.argpartition(-sums, few - 1)[:few]:
             if sums[i] > one:
                 found[(int(xs[i]), int(ys[i]))] = int(sums[i])
@@ -196,8 +281,8 @@ class Completion:
             ys = xs[xs <= min(x, left)]
             zs = np.minimum(below[left - ys], ys)
             used = (ys == x).astype(int) + 1
-            zs = np.where((zs == ys) & (self.count[ys] <= used), below[np.maximum(ys - 1, 0)], zs)
-            ok = (self.count[ys] >= used) & (zs > 0) & ((zs != x) | (self.count[x] > 1))
+            zs = np.where((zs == ys) & (count[ys] <= used), below[np.maximum(ys - 1, 0)], zs)
+            ok = (count[ys] >= used) & (zs > 0) & ((zs != x) | (count[x] > 1))
             sums = np.where(ok, x + ys + zs, 0)
             if len(sums) and sums.max() > one:
                 j = int(sums.argmax())
@@ -205,57 +290,62 @@ class Completion:
                 if sums[j] == room:
                     break
         order = sorted(found, key=lambda f: (-found[f], len(f), tuple(-x for x in f)))
-        return [list(f) for f in order[:self.branches]]
+        return [list(f) for f in order[:BRANCHES]]
 
     def _search(self) -> None:
         """Depth-first; each level keeps its fillings not yet tried."""
-        stack: list[tuple[int, list[int], list[list[int]]]] = []
+        # each: largest piece, filling, waste, further fillings, reach
+        stack: list[list] = []
         waste, allowed = 0, (len(self.best) - 1) * self.size - self.total
-        top = self.size
-        while self.nodes > 0:
-            self.nodes -= 1
-            while top > 0 and self.count[top] == 0:
-                top -= 1
-            options: list[list[int]] = []
-            if top == 0:  # all placed, in fewer sequences than the incumbent
-                self.best = [[big, *fill] for big, fill, _ in stack]
+        while self.nodes > 0 and self.steps > 0:
+            if self.left == 0:  # all placed, in fewer sequences than the incumbent
+                self.best = [[level[0], *level[1]] for level in stack]
                 if len(self.best) <= self.bound:
                     return
                 allowed = (len(self.best) - 1) * self.size - self.total
             else:
-                self.count[top] -= 1
-                options = self._fillings(top)
-                fill = options.pop(0)
-                step = self._more(top, fill)
-                if waste + step <= allowed:
-                    self._take(fill, -1)
-                    stack.append((top, fill, options))
-                    waste += step
-                    continue
-                self.count[top] += 1
-            # back to the deepest level with another filling that still fits
+                self.nodes -= 1
+                distinct = self.left.bit_count()
+                reach = stack[-1][4] if stack else None
+                if reach is None or distinct < 128 or 10 * distinct < 9 * len(reach[0]):
+                    reach = self._reach()
+                big = self.left.bit_length() - 1
+                self._take([big], -1)
+                more = self._fillings(self.size - big, allowed - waste, reach)
+                stack.append([big, [], 0, more, reach])
+            # the next filling of the deepest level that has one
             while stack:
-                big, fill, options = stack.pop()
-                self._take(fill, 1)
-                waste -= self._more(big, fill)
-                fits = [f for f in options if waste + self._more(big, f) <= allowed]
-                if fits:
-                    self._take(fits[0], -1)
-                    stack.append((big, fits[0], fits[1:]))
-                    waste += self._more(big, fits[0])
-                    top = big
+                level = stack[-1]
+                self._take(level[1], 1)
+                waste -= level[2]
+                found = next((f for f in level[3] if waste + f[1] <= allowed), None)
+                level[1:3] = found or ([], 0)
+                if found is not None:
+                    self._take(level[1], -1)
+                    waste += level[2]
                     break
-                self.count[big] += 1
-                top = big
+                self._take([level[0]], 1)
+                stack.pop()
             else:
                 return
 
-    def _more(self, big: int, fill: list[int]) -> int:
-        return self.size - big - sum(fill)
-
     def _take(self, fill: list[int], sign: int) -> None:
         for x in fill:
             self.count[x] += sign
+            if self.count[x] == (sign > 0):
+                self.left ^= 1 << x
+
+
+def _smear(bits: int, by: int) -> int:
+    """``bits`` with the ``by`` places above each; none if ``by`` is negative."""
+    if by < 0:
+        return 0
+    done = 1
+    while done <= by:
+        step = min(done, by + 1 - done)
+        bits |= bits << step
+        done += step
+    return bits
 
 
 def best_fit(count: np.ndarray, size: int) -> list[list[int]]:

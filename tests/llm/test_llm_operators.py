@@ -286,6 +286,37 @@ def test_completion_finds_what_best_fit_misses():
     assert len(c.pack()) == 2
 
 
+def test_completion_fills_with_any_number_of_pieces():
+    """Five pieces a sequence, and ordinary lengths where best-fit is one over."""
+    c = packing.Completion(np.array([10, 10, 15, 17, 20, 26, 28, 36, 37, 41]), 120)
+    assert len(c.best) == 3 and len(c.pack()) == c.bound == 2
+    r = np.random.default_rng(4)
+    lengths = np.clip(r.lognormal(np.log(600), 0.8, 2000).astype(int), 1, 4095)
+    c = packing.Completion(lengths, 4096)
+    assert len(c.best) == c.bound + 1
+    out = c.pack()
+    assert len(out) == c.bound and max(map(sum, out)) <= 4096
+    assert sorted(x for f in out for x in f) == sorted(lengths.tolist())
+
+
+def test_completion_is_exact_on_small_shards():
+    """Against every packing: no filling is dropped that a best packing needs."""
+    def least(left, rooms, best):
+        if len(rooms) >= best or not left:
+            return min(len(rooms), best)
+        for room in set(rooms):
+            if room >= left[0]:
+                at = rooms.index(room)
+                best = least(left[1:], rooms[:at] + [room - left[0]] + rooms[at + 1:], best)
+        return least(left[1:], [*rooms, 40 - left[0]], best)
+
+    r = np.random.default_rng(7)
+    for _ in range(300):
+        lengths = r.integers(3, 25, r.integers(4, 11))
+        c = packing.Completion(lengths, 40, nodes_per_bin=1000)
+        assert len(c.pack()) == least(sorted(lengths.tolist(), reverse=True), [], 99)
+
+
 # 6 -------------------------------------------------------------------------
 
 def test_license_edges(spark, docs, empty):
