@@ -366,16 +366,27 @@ def near_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _classes(docs: DataFrame, n: int, percent: int, sample_docs: int) -> DataFrame:
+    """key, doc_id, size, prefix, point of each distinct set (checkpointed)."""
+    known = docs.filter(F.col("doc_id").isNotNull())
+    signed_docs = signatures(known, n, percent, sample_order(known, n, sample_docs)).filter("size > 0")
+    least = F.min(F.struct("doc_id", "size", "prefix", "point")).alias("m")
+    return cut_lineage(signed_docs.groupBy("key").agg(least).select("key", "m.*"))
+
+
+def _with_points(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows that ``candidate_pairs`` takes."""
+    own = members.groupBy("key").agg(F.collect_set("token").alias("own"))  # at most a prefix
+    facts = classes.select("key", "size", "point").join(own, "key")
+    return members.join(facts, "key").withColumn("earlier", F.filter("own", lambda x: x < F.col("token"))).drop("own")
+
+
 def join_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_docs: int = SAMPLE_DOCS,
                  block_points: int = BLOCK_POINTS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable by
     links) of every row."""
     docs = id_text(docs)
-    known = docs.filter(F.col("doc_id").isNotNull())
-    signed_docs = signatures(known, n, percent, sample_order(known, n, sample_docs)).filter("size > 0")
-    least = F.min(F.struct("doc_id", "size", "prefix", "point")).alias("m")
-    classes = cut_lineage(signed_docs.groupBy("key").agg(least).select("key", "m.*"))
-
+    classes = _classes(docs, n, percent, sample_docs)
     members = cut_lineage(cells(classes))
     star = members.filter("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     links = verify(near_bound(star, classes, percent), classes, docs, n, percent)
@@ -385,10 +396,7 @@ def join_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_doc
         "token", "held", "key", F.coalesce("root", "key").alias("component"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     open_cells = cut_lineage(placed.join(mixed.filter("lo <> hi").select("token"), "token"))
-    own = open_cells.groupBy("key").agg(F.collect_set("token").alias("own"))  # at most a prefix
-    facts = classes.select("key", "size", "point").join(own, "key")
-    open_cells = open_cells.join(facts, "key").withColumn("earlier", F.filter("own", lambda x: x < F.col("token"))).drop("own")
-    more = verify(candidate_pairs(open_cells, percent, block_points), classes, docs, n, percent)
+    more = verify(candidate_pairs(_with_points(open_cells, classes), percent, block_points), classes, docs, n, percent)
     root = lambda side: labels.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     joined = more.join(root("a"), "a", "left").join(root("b"), "b", "left").select(
         F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
@@ -405,6 +413,37 @@ def join_classes(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_doc
         F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("size") > 0, F.col("component_id")), "doc_id")).alias("component_id"))
 
 
+def link_counts(docs: DataFrame, n: int = N, percent: int = PERCENT, sample_docs: int = SAMPLE_DOCS,
+                block_points: int = BLOCK_POINTS) -> DataFrame:
+    """component_id, n_rows, n_links and n_equal of every component: its rows
+    with an id, the pairs of them that link, and those with equal sets.
+
+    No pair of sets is skipped for being in one component, so the work grows
+    with the links between different sets. Rows of equal sets are counted by
+    their number and never become pairs.
+    """
+    docs = id_text(docs)
+    classes = _classes(docs, n, percent, sample_docs)
+    members = cut_lineage(cells(classes)).select("token", "held", "key", F.col("key").alias("component"))
+    pairs = candidate_pairs(_with_points(members, classes), percent, block_points).distinct()
+    links = cut_lineage(verify(pairs, classes, docs, n, percent).distinct())
+    zero = F.lit(0).cast("long")
+
+    sizes = memberships(docs.filter(F.col("doc_id").isNotNull()), n)
+    rows = sizes.filter("size > 0").groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("least"))
+    rows = rows.join(components(links).withColumnRenamed("node", "key"), "key", "left")
+    rows = cut_lineage(rows.withColumn("root", F.coalesce("root", "key")))
+    side = lambda s: rows.select(F.col("key").alias(s), F.col("m").alias(f"m_{s}"))
+    between = links.join(side("a"), "a").join(side("b"), "b").join(rows.select(F.col("key").alias("a"), "root"), "a")
+    between = between.groupBy("root").agg(F.sum(F.col("m_a") * F.col("m_b")).alias("between"))
+    equal = F.sum(F.expr("m * (m - 1) div 2"))
+    whole = rows.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("m").alias("n_rows"), equal.alias("n_equal"))
+    whole = whole.join(between, "root", "left").select(
+        "component_id", "n_rows", (F.coalesce("between", zero) + F.col("n_equal")).alias("n_links"), "n_equal")
+    bare = sizes.filter("size = 0").groupBy(F.col("doc_id").alias("component_id")).agg(F.count("*").alias("n_rows"))
+    return whole.unionByName(bare.withColumns({"n_links": zero, "n_equal": zero}))
+
+
 def keep_first(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each class, the one with the smallest id (rows that
     repeat this id stay with it). Documents without an id stay."""

@@ -82,6 +82,42 @@ def test_join_chains_of_near_copies(spark):
     assert key(map(tuple, got)) == key(brute.jaccard_components(rows, 3, 80))
 
 
+def _links(rows, n, percent):
+    """component -> [rows, links, links of equal sets], pair by pair."""
+    sets = [(i, brute.shingles(t, n)) for i, t in rows]
+    comp = {(i, frozenset(x)): c for (i, x), (_, _, c) in zip(sets, brute.jaccard_components(rows, n, percent))}
+    out = {}
+    for a, (i, x) in enumerate(sets):
+        if i is None:
+            continue
+        mine = out.setdefault(comp[i, frozenset(x)], [0, 0, 0])
+        mine[0] += 1
+        for j, y in sets[:a]:
+            if j is not None and x and y and 100 * len(x & y) >= percent * len(x | y):
+                mine[1] += 1
+                mine[2] += x == y
+    return sorted((c, *v) for c, v in out.items())
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_link_counts_hold_every_link(spark, docs, empty, block):
+    """A group of near copies, some of them exact copies: all pairs count."""
+    r = random.Random(8)
+    rows = []
+    for i in range(60):
+        w = [WORDS[k] for k in range(80)]
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(80)] = f"e{r.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, rows[i][1]) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    exp = _links(rows, 3, 80)
+    assert sum(x[2] for x in exp) > 2 * len(rows)
+    assert sorted(map(tuple, ngram_join.link_counts(df, 3, 80, block_points=block).collect())) == exp
+    assert sorted(map(tuple, ngram_join.link_counts(docs, block_points=block).collect())) == _links(ROWS, 3, 90)
+    assert ngram_join.link_counts(empty).collect() == []
+
+
 def test_op1_query(spark, small):
     got = E.queries()["op1_ngram_join"](spark, SF_SMALL).collect()
     assert key(map(tuple, got)) == key(brute.jaccard_components(small, 3, 90))
