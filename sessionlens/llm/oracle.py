@@ -198,3 +198,49 @@ SELECT t.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
   coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
 FROM t LEFT JOIN per_doc p ON p.doc_id = t.doc_id"""
+
+
+#: crc32 of ``text`` (code points up to U+00FF) as a column ``h``: the table of the reflected
+#: polynomial, then one step a byte
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(
+    [i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc32(text: str) -> str:
+    code = f"list_transform(string_split({text}, ''), lambda x: CAST(unicode(x) AS BIGINT))"
+    octets = f"flatten(list_transform({code}, lambda u: CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2),
+x AS (
+  SELECT run, k, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM r, crc),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word, k FROM x),
+v AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+gap AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS g
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM gap a JOIN gap b ON a.i = b.i AND a.g = b.g AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gap a JOIN v b ON b.word = a.g
+  UNION SELECT b.word, a.word, a.n FROM gap a JOIN v b ON b.word = a.g),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, hex(encode(other))) AS other, max(n) AS n FROM near GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 2 * v.n THEN other END AS form,
+    CASE WHEN best.n >= 2 * v.n THEN best.n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+walk(word, top) AS (
+  SELECT word, form FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.top WHERE f.form IS NOT NULL),
+last_of AS (SELECT walk.word, walk.top FROM walk JOIN f ON f.word = walk.top WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(last_of.top, f.word) AS root, n, n_near, form_n
+FROM f LEFT JOIN last_of ON last_of.word = f.word"""

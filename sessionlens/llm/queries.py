@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.llm import (decontaminate, license_scan, ngram_join, oracle, packing, pii, quality_model,
-                             quality_rules, secret_scan, substring_dedup, warc)
+                             quality_rules, secret_scan, spelling, substring_dedup, warc)
 from sessionlens.llm.tables import table
 from sessionlens.session import scratch_path
 
@@ -23,6 +23,7 @@ ORACLE_SQL = {
     "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op9_quality_rules": oracle.QUALITY_RULES,
     "op10_warc_audit": oracle.WARC_AUDIT,
+    "op12_spelling_variants": oracle.SPELLING_VARIANTS,
 }
 
 
@@ -90,3 +91,9 @@ def op10_warc_audit(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archive(damaged, path)
     return warc.audit(listed, warc.read_archive(spark, path))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """The documents' own words, one run in 97 with a letter left out."""
+    return spelling.group(spelling.vocabulary(table(spark, sf_dir, "documents"), slip_one_in=97))

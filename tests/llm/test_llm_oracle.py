@@ -16,5 +16,5 @@ def test_query_matches_statement(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(q.startswith(f"op{n}_") for q in E.queries()) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in E.queries()) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in E.queries()
