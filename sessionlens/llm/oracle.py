@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sessionlens.llm.conversation_repair import DELETE, INSERT, REROLE, TRUNCATED
 from sessionlens.llm.license_scan import DICE, TEMPLATES
 from sessionlens.llm.quality_rules import Rules
 from sessionlens.llm.secret_scan import BASE, KINDS, MANY_OWNERS, PATTERNS
@@ -244,3 +245,67 @@ walk(word, top) AS (
 last_of AS (SELECT walk.word, walk.top FROM walk JOIN f ON f.word = walk.top WHERE f.form IS NULL)
 SELECT f.word, form, coalesce(last_of.top, f.word) AS root, n, n_near, form_n
 FROM f LEFT JOIN last_of ON last_of.word = f.word"""
+
+
+#: States of the role order: 0 nothing yet, 1 after the system row, 2 after a user row, 3 after an assistant row
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE {CRC_TABLE},
+x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations, crc),
+y AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM x),
+z AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS mark
+  FROM y),
+f AS (
+  SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair,
+    CASE WHEN mark = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN mark NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM z),
+ins(a, b, c, edits, rows) AS (VALUES
+  (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, {INSERT}, 'I', ['user:']), (0, 3, {2 * INSERT}, 'II', ['user:', 'assistant:']), (1, 2, {INSERT}, 'I', ['user:']),
+  (1, 3, {2 * INSERT}, 'II', ['user:', 'assistant:']), (2, 3, {INSERT}, 'I', ['assistant:']), (3, 2, {INSERT}, 'I', ['user:'])),
+shift(a, ini, b, role) AS (VALUES (0, 's', 1, 'system'), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+edit AS (
+  SELECT f.conv_id, f.i, st.a, st.a AS b, {DELETE} AS c, 'D' AS edits, CAST([] AS VARCHAR[]) AS rows FROM f, (VALUES (0), (1), (2), (3)) st(a)
+  UNION ALL
+  SELECT f.conv_id, f.i, shift.a, shift.b, CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END, 'K', [f.role || ':' || f.text]
+  FROM f JOIN shift ON shift.ini = f.ini WHERE fault IN ('', 'truncated')
+  UNION ALL
+  SELECT f.conv_id, f.i, shift.a, shift.b, CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END + {REROLE}, 'R', [shift.role || ':' || f.text]
+  FROM f JOIN shift ON shift.ini <> 's' WHERE fault IN ('', 'truncated')),
+way(conv_id, i, st, cost, audit, rows) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', CAST([] AS VARCHAR[]) FROM conversations
+  UNION ALL
+  SELECT conv_id, i, st, first(cost ORDER BY cost, audit), first(audit ORDER BY cost, audit), first(rows ORDER BY cost, audit)
+  FROM (
+    SELECT way.conv_id, e.i, e.b AS st, way.cost + n.c + e.c AS cost, way.audit || n.edits || e.edits AS audit,
+      list_concat(list_concat(way.rows, n.rows), e.rows) AS rows
+    FROM way JOIN ins n ON n.a = way.st
+    JOIN edit e ON e.conv_id IS NOT DISTINCT FROM way.conv_id AND e.i = way.i + 1 AND e.a = n.b)
+  GROUP BY conv_id, i, st),
+ends AS (
+  SELECT way.conv_id, way.i, cost + n.c AS cost, audit || n.edits AS audit, list_concat(way.rows, n.rows) AS rows
+  FROM way JOIN ins n ON n.a = way.st WHERE n.b IN (0, 3)),
+best AS (
+  SELECT conv_id, first(cost ORDER BY i DESC, cost, audit) AS cost, first(audit ORDER BY i DESC, cost, audit) AS audit,
+    first(rows ORDER BY i DESC, cost, audit) AS rows FROM ends GROUP BY conv_id),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT best.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit,
+  sha256(array_to_string(rows, chr(10))) AS repaired_sha256
+FROM best LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM best.conv_id"""

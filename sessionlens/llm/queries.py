@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import (decontaminate, license_scan, ngram_join, oracle, packing, pii, quality_model,
-                             quality_rules, secret_scan, spelling, substring_dedup, warc)
+from sessionlens.llm import (conversation_repair, decontaminate, license_scan, mixing, ngram_join, oracle, packing, pii,
+                             quality_model, quality_rules, secret_scan, spelling, substring_dedup, warc)
 from sessionlens.llm.tables import table
 from sessionlens.session import scratch_path
 
@@ -23,6 +23,7 @@ ORACLE_SQL = {
     "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op9_quality_rules": oracle.QUALITY_RULES,
     "op10_warc_audit": oracle.WARC_AUDIT,
+    "op11_conversation_repair": oracle.CONVERSATION_REPAIR,
     "op12_spelling_variants": oracle.SPELLING_VARIANTS,
 }
 
@@ -93,7 +94,20 @@ def op10_warc_audit(spark, sf_dir):
     return warc.audit(listed, warc.read_archive(spark, path))
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Rows get faults by a checksum of ``conv_id:turn``; all are repaired."""
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.with_all(
+        conversation_repair.repair(conversation_repair.damage(conversations)), conversations)
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     """The documents' own words, one run in 97 with a letter left out."""
     return spelling.group(spelling.vocabulary(table(spark, sf_dir, "documents"), slip_one_in=97))
+
+
+@query
+def op13_source_mix(spark, sf_dir):
+    return mixing.shares(table(spark, sf_dir, "documents"))
