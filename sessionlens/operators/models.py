@@ -7,34 +7,38 @@ distributed DataFrames; only fitted parameters reach the driver.
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
-import random
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.operators import features as feats
 from sessionlens.operators.encode import one_hot_pipeline
+from sessionlens.operators.target_stats import OrderedTargetEncoder
 from sessionlens.schema import RANDOM_STATE, ROW_ORD, TARGET
+from sessionlens.session import cut_lineage
 
 # Fixed values of the reference's default model settings.
 BASE_DEFAULTS = {"maxIter": 1500, "stepSize": 0.05, "maxDepth": 7, "subsamplingRate": 0.8}
 META_DEFAULTS = {"numTrees": 500, "maxDepth": 10, "minInstancesPerNode": 5}
 
 NUMERIC, CATEGORICAL_META = feats.threshold_features()
-BASE_CATEGORICAL = [f.name for f in feats.FEATURES if f.categorical]
-BASE_NUMERIC = [f.name for f in feats.FEATURES if not f.categorical]
+# Fixed values of the reference: the columns its base model takes as categories.
+BASE_CATEGORICAL = ["product", "campaign_id", "webpage_id", "product_category", "user_group_id", "gender", "var_1",
+                    "session_time_of_day", "user_depth", "secondary_product_category_known", "city_development_index_known"]
+BASE_CATEGORICAL += [f.name for f in feats.FEATURES if f.categorical and f.name not in BASE_CATEGORICAL]  # string columns
+BASE_NUMERIC = [f.name for f in feats.FEATURES if f.name not in BASE_CATEGORICAL]
 
 
 class SessionFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -87,26 +91,111 @@ def model_choice(name: str, **params):
     return est.setParams(**params) if params else est
 
 
-def _max_bins(indexer, floor: int = 32) -> int:
-    return max([floor] + [len(labels) + 1 for labels in indexer.labelsArray])
+class BaseClassifier(Estimator, MLWritable, MLReadable):
+    """The base model: categories as ordered target statistics, numeric
+    features as they are, any ``pyspark.ml`` classifier on top.
 
+    Training rows are encoded by earlier rows only; the fitted pipeline
+    encodes new rows by whole categories. With ``validationCol`` the rows it
+    flags train nothing: they are encoded like new rows and, for boosted
+    trees, end the rounds early (``validationIndicatorCol``). ``balanced``
+    weighs the classes alike.
+    """
 
-def base_pipeline(estimator=None, numeric=None, categorical=None, train: DataFrame | None = None) -> Pipeline:
-    """Index categoricals (unknown kept), assemble, classify. With ``train``
-    the tree's ``maxBins`` is raised to the largest category count."""
-    numeric = list(numeric if numeric is not None else BASE_NUMERIC)
-    categorical = list(categorical if categorical is not None else BASE_CATEGORICAL)
-    est = estimator if estimator is not None else model_choice("gbt", **BASE_DEFAULTS)
-    # one multi-column indexer: a single pass over the data to fit
-    idx = StringIndexer(inputCols=categorical, outputCols=[c + "_idx" for c in categorical],
-                        handleInvalid="keep")
-    if train is not None:
-        idx = idx.fit(train)  # a fitted stage: the pipeline does not fit it again
-        if hasattr(est, "setMaxBins"):
-            est = est.setMaxBins(_max_bins(idx))
-    asm = VectorAssembler(inputCols=numeric + [c + "_idx" for c in categorical], outputCol="features",
-                          handleInvalid="keep")
-    return Pipeline(stages=[idx, asm, est])
+    numericCols = Param(Params._dummy(), "numericCols", "numeric features", typeConverter=TypeConverters.toListString)
+    categoricalCols = Param(Params._dummy(), "categoricalCols", "categories", typeConverter=TypeConverters.toListString)
+    validationCol = Param(Params._dummy(), "validationCol", "flag of validation rows", typeConverter=TypeConverters.toString)
+    balanced = Param(Params._dummy(), "balanced", "weigh classes alike", typeConverter=TypeConverters.toBoolean)
+
+    def __init__(self, estimator=None, numeric=None, categorical=None, validation_col=None, balanced=False):
+        super().__init__()
+        self.estimator = estimator if estimator is not None else model_choice("gbt", **BASE_DEFAULTS)
+        self._setDefault(numericCols=BASE_NUMERIC, categoricalCols=BASE_CATEGORICAL, validationCol="", balanced=False)
+        chosen = {"numericCols": numeric, "categoricalCols": categorical, "validationCol": validation_col}
+        self._set(**{k: v for k, v in chosen.items() if v is not None}, balanced=balanced)
+
+    def copy(self, extra=None) -> "BaseClassifier":
+        """Parameters of the inner classifier in ``extra`` go to it."""
+        that = super().copy(extra)
+        that.estimator = self.estimator.copy({k: v for k, v in (extra or {}).items() if k.parent == self.estimator.uid})
+        return that
+
+    def stages(self) -> tuple[OrderedTargetEncoder, VectorAssembler]:
+        cats = self.getOrDefault(self.categoricalCols)
+        enc = OrderedTargetEncoder(inputCols=cats, outputCols=[c + "_ts" for c in cats])
+        asm = VectorAssembler(inputCols=[*self.getOrDefault(self.numericCols), *enc.getOutputCols()], outputCol="features",
+                              handleInvalid="keep")
+        return enc, asm
+
+    def encode(self, train: DataFrame) -> tuple[list, DataFrame]:
+        """The fitted encoding stages and the assembled training rows
+        (checkpointed); several classifiers can be fitted on them."""
+        enc, asm = self.stages()
+        flag = self.getOrDefault(self.validationCol)
+        fitted, rows = enc.fit_ordered(train.where(~F.col(flag)) if flag else train)
+        if flag:
+            rows = rows.unionByName(fitted.transform(train.where(F.col(flag))))
+        if self.getOrDefault(self.balanced):
+            rows = with_class_weight(rows)
+        return [fitted, asm], cut_lineage(asm.transform(rows))
+
+    def fit_encoded(self, stages: list, rows: DataFrame) -> PipelineModel:
+        est, flag = self.estimator.copy(), self.getOrDefault(self.validationCol)
+        if flag and est.hasParam("validationIndicatorCol"):
+            est = est.setValidationIndicatorCol(flag)
+        elif flag:
+            rows = rows.where(~F.col(flag))
+        if self.getOrDefault(self.balanced):
+            est = est.setWeightCol("class_weight")
+        return PipelineModel([*stages, est.fit(rows)])
+
+    def _fit(self, train: DataFrame) -> PipelineModel:
+        return self.fit_encoded(*self.encode(train))
+
+    def write(self) -> MLWriter:
+        return _WithStages(self, {"estimator": self.estimator})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StagesReader(cls)
+
+
+class _WithStages(MLWriter):
+    """A stage made of stages: its parameters, and each inner stage in a
+    folder of its own (named with its class in the metadata)."""
+
+    def __init__(self, instance, inner: dict):
+        super().__init__()
+        self.instance, self.inner = instance, {k: v for k, v in inner.items() if v is not None}
+
+    def saveImpl(self, path: str) -> None:
+        classes = {k: f"{type(v).__module__}.{type(v).__name__}" for k, v in self.inner.items()}
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, extraMetadata={"inner": classes})
+        for name, stage in self.inner.items():
+            stage.write().overwrite().save(os.path.join(path, name))
+
+
+class _StagesReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, SparkSession.getActiveSession())
+        inner = {}
+        for name, full in metadata["inner"].items():
+            module, _, cls = full.rpartition(".")
+            inner[name] = getattr(importlib.import_module(module), cls).load(os.path.join(path, name))
+        out = self.cls(**inner)
+        out._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(out, metadata)
+        return out
+
+
+def base_pipeline(estimator=None, numeric=None, categorical=None, validation_col: str | None = None,
+                  balanced: bool = False) -> BaseClassifier:
+    """The base model around ``estimator`` (default: boosted trees)."""
+    return BaseClassifier(estimator, numeric, categorical, validation_col, balanced)
 
 
 def meta_features_pipeline(numeric=None, categorical=None, prob_col: str = "y_pred_prob") -> Pipeline:
@@ -127,7 +216,7 @@ def meta_model(**params) -> RandomForestClassifier:
                                   featureSubsetStrategy="all", seed=RANDOM_STATE, **p)
 
 
-class StackedModel(Model):
+class StackedModel(Model, MLWritable, MLReadable):
     """Base pipeline + meta encoder + meta forest. ``transform`` adds
     ``y_pred_prob`` (base probability, the score) and ``prediction`` (the
     meta model's label)."""
@@ -144,46 +233,65 @@ class StackedModel(Model):
         out = self.meta.transform(m)
         return out.select(*cols, "y_pred_prob", F.col("prediction").cast("int").alias("prediction"))
 
-    def save(self, path: str) -> None:
-        self.base.write().overwrite().save(os.path.join(path, "base"))
-        self.meta_enc.write().overwrite().save(os.path.join(path, "meta_enc"))
-        self.meta.write().overwrite().save(os.path.join(path, "meta"))
+    def write(self) -> MLWriter:
+        return _WithStages(self, {"base": self.base, "meta_enc": self.meta_enc, "meta": self.meta})
 
     @classmethod
-    def load(cls, path: str) -> "StackedModel":
-        from pyspark.ml.classification import RandomForestClassificationModel
-        return cls(PipelineModel.load(os.path.join(path, "base")),
-                   PipelineModel.load(os.path.join(path, "meta_enc")),
-                   RandomForestClassificationModel.load(os.path.join(path, "meta")))
+    def read(cls) -> MLReader:
+        return _StagesReader(cls)
 
 
-class StackedClassifier(Estimator):
+class StackedClassifier(Estimator, MLWritable, MLReadable):
     """Fit the base model, the meta encoder and the meta model on the same
-    rows (in-sample base scores, as the reference does; pass
-    ``fold_col`` to use out-of-fold base scores instead)."""
+    rows (in-sample base scores, as the reference does; with ``foldCol``
+    out-of-fold base scores instead). A stage like any other: it has
+    parameters, saves and loads, and fits inside a ``Pipeline``."""
 
-    def __init__(self, base_estimator=None, meta_params: dict | None = None, fold_col: str | None = None):
+    metaParams = Param(Params._dummy(), "metaParams", "meta forest parameters as JSON", typeConverter=TypeConverters.toString)
+    foldCol = Param(Params._dummy(), "foldCol", "fold of a row, for out-of-fold base scores", typeConverter=TypeConverters.toString)
+    validationCol = Param(Params._dummy(), "validationCol", "flag of rows that only end the boosting", typeConverter=TypeConverters.toString)
+
+    def __init__(self, base_estimator=None, meta_params: dict | None = None, fold_col: str | None = None,
+                 validation_col: str | None = None):
         super().__init__()
         self.base_estimator = base_estimator
-        self.meta_params = meta_params or {}
-        self.fold_col = fold_col
+        self._setDefault(metaParams="{}", foldCol="", validationCol="")
+        self._set(metaParams=json.dumps(meta_params or {}), foldCol=fold_col or "", validationCol=validation_col or "")
+
+    def copy(self, extra=None) -> "StackedClassifier":
+        that = super().copy(extra)
+        if self.base_estimator is not None:
+            that.base_estimator = self.base_estimator.copy({k: v for k, v in (extra or {}).items() if k.parent == self.base_estimator.uid})
+        return that
+
+    def write(self) -> MLWriter:
+        return _WithStages(self, {"base_estimator": self.base_estimator})
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StagesReader(cls)
+
+    def _base(self) -> BaseClassifier:
+        return base_pipeline(self.base_estimator, validation_col=self.getOrDefault(self.validationCol) or None)
 
     def _fit(self, train: DataFrame) -> StackedModel:
-        base = base_pipeline(self.base_estimator, train=train).fit(train)
-        if self.fold_col:
+        base = self._base().fit(train)
+        flag, fold = self.getOrDefault(self.validationCol), self.getOrDefault(self.foldCol)
+        rows = train.where(~F.col(flag)).drop(flag) if flag else train
+        if fold:
             parts = []
-            for k in [r[0] for r in train.select(self.fold_col).distinct().collect()]:
-                m = base_pipeline(self.base_estimator, train=train).fit(train.where(F.col(self.fold_col) != k))
-                parts.append(m.transform(train.where(F.col(self.fold_col) == k))
-                             .select(*train.columns, positive_probability().alias("y_pred_prob")))
+            for k in [r[0] for r in rows.select(fold).distinct().collect()]:  # a handful of folds
+                m = base_pipeline(self.base_estimator).fit(rows.where(F.col(fold) != k))
+                parts.append(m.transform(rows.where(F.col(fold) == k))
+                             .select(*rows.columns, positive_probability().alias("y_pred_prob")))
             scored = parts[0]
             for p in parts[1:]:
                 scored = scored.unionByName(p)
         else:
-            scored = base.transform(train).select(*train.columns, positive_probability().alias("y_pred_prob"))
+            scored = base.transform(rows).select(*rows.columns, positive_probability().alias("y_pred_prob"))
+        scored = cut_lineage(scored)
         enc = meta_features_pipeline().fit(scored)
-        meta_in = with_class_weight(enc.transform(scored))
-        meta = meta_model(**self.meta_params).fit(meta_in)
+        meta = meta_model(**json.loads(self.getOrDefault(self.metaParams))).fit(with_class_weight(enc.transform(scored)))
         return StackedModel(base, enc, meta)
 
 
@@ -195,36 +303,6 @@ def refit_full(estimator: Estimator, *frames: DataFrame):
     return estimator.fit(allrows)
 
 
-def random_param_maps(estimator, space: dict, n_draws: int, seed: int = RANDOM_STATE):
-    """``n_draws`` parameter maps drawn from ``space`` ({param name: values})
-    with a seeded generator (random search)."""
-    rng = random.Random(seed)
-    grid = ParamGridBuilder().build()
-    maps = []
-    for _ in range(n_draws):
-        maps.append({estimator.getParam(k): rng.choice(list(v)) for k, v in space.items()})
-    return maps or grid
-
-
-def param_search(pipeline: Pipeline, estimator, train: DataFrame, space: dict, n_draws: int = 10,
-                 folds: int | None = 5, metric: str = "f1", seed: int = RANDOM_STATE, parallelism: int = 2):
-    """Random search scored by k-fold cross-validation (``folds``) or by one
-    train/validation split (``folds=None``). ``metric``: 'f1' (positive
-    class) or 'auc'."""
-    if metric == "auc":
-        ev = BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC")
-    else:
-        ev = MulticlassClassificationEvaluator(labelCol=TARGET, metricName="fMeasureByLabel", metricLabel=1.0)
-    maps = random_param_maps(estimator, space, n_draws, seed)
-    if folds:
-        tuner = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-                               seed=seed, parallelism=parallelism)
-    else:
-        tuner = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, trainRatio=0.8,
-                                     seed=seed, parallelism=parallelism)
-    return tuner.fit(train)
-
-
 def ensemble_mean(models, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Mean positive-class probability of several fitted models, by chained
     transforms on one frame (no joins), and the label at ``threshold``."""
@@ -245,23 +323,14 @@ def ensemble_mean(models, df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def save_model(model, path: str) -> None:
-    """Persist a fitted PipelineModel or StackedModel (overwrite), with a
-    one-line marker of its kind, written through Spark (any file system)."""
-    from pyspark.sql import SparkSession
-    if isinstance(model, StackedModel):
-        model.save(path)
-    else:
-        model.write().overwrite().save(path)
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps({"kind": type(model).__name__}),)], "value string") \
-         .coalesce(1).write.mode("overwrite").text(os.path.join(path, "_kind"))
+    """Persist a fitted PipelineModel or StackedModel (overwrite)."""
+    model.write().overwrite().save(path)
 
 
 def load_model(path: str):
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    kind = json.loads(spark.read.text(os.path.join(path, "_kind")).first()["value"])["kind"]
-    return StackedModel.load(path) if kind == "StackedModel" else PipelineModel.load(path)
+    """The saved model; its class is in the metadata that Spark ML writes."""
+    kind = DefaultParamsReader.loadMetadata(path, SparkSession.getActiveSession())["class"]
+    return StackedModel.load(path) if kind.endswith(".StackedModel") else PipelineModel.load(path)
 
 
 def batch_score(model_path: str, df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.operators import cleaning, features, impute, metrics, models, splits
+from sessionlens.operators import cleaning, features, impute, metrics, models, search, splits
 from sessionlens.schema import ROW_ORD, TARGET
 from sessionlens.session import cut_lineage
 from sessionlens.sources import io
@@ -51,21 +51,30 @@ def evaluate(scored: DataFrame, beta: float = 2.0) -> DataFrame:
     return row.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)")
 
 
-def training_run(spark: SparkSession, sessions: DataFrame, out_dir: str, base_params=None,
-                 meta_params=None) -> DataFrame:
-    """Preprocess, fit the stacked model on train, score validation, refit
-    on every processed row, save transformer + models + test features.
-    Returns the validation metrics."""
-    processed, imputer_model = preprocess(sessions)
-    est = models.StackedClassifier(models.model_choice("gbt", **(base_params or models.BASE_DEFAULTS)),
-                                   meta_params=meta_params)
-    model = est.fit(processed["train"])
+def training_run(spark: SparkSession, sessions: DataFrame, out_dir: str, base_params=None, meta_params=None,
+                 search_draws: int = 0, metric: str = "f1", limit: int | None = None) -> DataFrame:
+    """Preprocess, fit the stacked model on train (with ``search_draws``:
+    with the settings that a halving search finds on the validation split),
+    score validation, refit on every processed row, save transformer, models
+    and the processed splits. Returns the validation metrics."""
+    processed, imputer_model = preprocess(cleaning.limit_rows(sessions, limit) if limit else sessions)
+    if search_draws:
+        base_params, results = search.halving_search(processed["train"], processed["val"], os.path.join(out_dir, "search"),
+                                                     n_draws=search_draws, metric=metric)
+        results.write.mode("overwrite").parquet(os.path.join(out_dir, "search", "results"))
+    # the validation split ends the boosting; the full refit grows as many trees as that took
+    flag = "is_validation"
+    watched = processed["train"].withColumn(flag, F.lit(False)).unionByName(processed["val"].withColumn(flag, F.lit(True)))
+    base = models.model_choice("gbt", **(base_params or models.BASE_DEFAULTS))
+    model = models.StackedClassifier(base, meta_params=meta_params, validation_col=flag).fit(watched)
     val_metrics = evaluate(model.transform(processed["val"]))
-    full = models.refit_full(est, *processed.values())
+    grown = len(model.base.stages[-1].trees)
+    full = models.refit_full(models.StackedClassifier(base.copy({base.maxIter: grown}), meta_params=meta_params), *processed.values())
     imputer_model.write().overwrite().save(os.path.join(out_dir, "imputer"))
     models.save_model(model, os.path.join(out_dir, "model"))
     models.save_model(full, os.path.join(out_dir, "full_model"))
-    io.write_features_labels(processed["test"], os.path.join(out_dir, "test"))
+    for name, rows in processed.items():
+        io.write_features_labels(rows, os.path.join(out_dir, name))
     return val_metrics
 
 

@@ -16,6 +16,7 @@ def test_entry_runs(spark):
 
 def test_stacked_model_save_load_same_scores(spark):
     train, test = q_models._train_test(spark, SF_SMALL)
+    train = train.drop("is_validation")
     m = models.StackedClassifier(models.model_choice("gbt", maxIter=3, maxDepth=3),
                                  meta_params={"numTrees": 3, "maxDepth": 3}).fit(train)
     a = m.transform(test).select("row_ord", "y_pred_prob", "prediction")
