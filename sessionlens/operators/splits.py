@@ -5,11 +5,13 @@ out of Spark and DuckDB, and of any executor that recomputes a lost
 partition, so splits are reproducible and survive retries (``rand()``
 would not, unless the input order were fixed).
 
-The only ordered step is "position of a user within its group in hash
-order". It never sorts a whole group in one task: ids are bucketed by a
-hash prefix (monotone in the hash order); each (group, bucket) is ranked
-on its own, and bucket sizes (groups x 4096 rows at most) give the
-offsets. A group holding a third of all users is spread over its buckets.
+User splits rank users within their group in hash order. No group is sorted
+in one task: ids are bucketed by a hash prefix (monotone in the hash order);
+each (group, bucket) is ranked on its own, and bucket sizes (groups x 4096
+rows at most) give the offsets. A group holding a third of all users is
+spread over its buckets. Row splits and samples need no ranks: they find the
+border rows by counting (``selection.borders``) and compare every row with
+these, so rows stay where they are.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlens.operators.selection import borders, reaches, with_borders
 from sessionlens.schema import RANDOM_STATE, RARE_GROUP_THRESHOLD, ROW_ORD, SPLIT_RATIOS, TARGET, TEST_PRODUCT
 
 BUCKET_CHARS = 3  # 16**3 = 4096 buckets per group
@@ -174,50 +177,69 @@ def split_user_stratified(df: DataFrame, ratios=SPLIT_RATIOS, seed=RANDOM_STATE,
     return df.join(users, "user_id", "inner")
 
 
+def _split_sizes(n: Column, ratios) -> tuple[Column, Column]:
+    n1 = F.bround(F.lit(float(ratios[0])) * n, 0)
+    return n1, n1 + F.least(F.bround(F.lit(float(ratios[1])) * n, 0), n - n1)
+
+
 def split_stratified_rows(df: DataFrame, ratios=SPLIT_RATIOS, seed=RANDOM_STATE,
                           label: str = TARGET, id_col: str = ROW_ORD) -> DataFrame:
     """Row split keeping the class share: each class cut by rounded ratios
-    in hash order of the row id (row 147)."""
-    r = rank_by_hash(df.withColumn("_h", hash_key(seed, id_col)), [label], "_h", id_col)
-    return r.withColumn("split", _assign(F.col("_pos"), F.col("_n"), ratios, "round")).drop("_h", "_pos", "_n")
+    in hash order of the (unique) row id (row 147)."""
+    h = hash_key(seed, id_col)
+    n1, n2 = _split_sizes(F.col("_n"), ratios)
+    found = borders(df.select(label, id_col, h.alias("_hash")), [label], "_hash", id_col, F.array(n1, n2))
+    tie = F.col(id_col)
+    split = F.when(reaches(h, tie, 0), "train").when(reaches(h, tie, 1), "val").otherwise("test")
+    return with_borders(df, found, [label]).withColumn("split", split).drop("_n", "_borders")
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, seed=RANDOM_STATE, id_col: str = ROW_ORD) -> DataFrame:
     """Unstratified split: ceil(test_size * n) rows to test (row 148)."""
-    r = rank_by_hash(df.withColumn("_h", hash_key(seed, id_col)).withColumn("_all", F.lit(0)),
-                     ["_all"], "_h", id_col)
-    n_test = F.ceil(F.lit(float(test_size)) * F.col("_n"))
-    return (r.withColumn("split", F.when(F.col("_pos") <= F.col("_n") - n_test, "train").otherwise("test"))
-             .drop("_h", "_pos", "_n", "_all"))
+    h = hash_key(seed, id_col)
+    n_train = F.col("_n") - F.ceil(F.lit(float(test_size)) * F.col("_n"))
+    found = borders(df.select(F.lit(0).alias("_all"), id_col, h.alias("_hash")), ["_all"], "_hash", id_col, F.array(n_train))
+    split = F.when(reaches(h, F.col(id_col), 0), "train").otherwise("test")
+    return with_borders(df.withColumn("_all", F.lit(0)), found, ["_all"]).withColumn("split", split).drop("_n", "_borders", "_all")
 
 
 def balanced_samples(df: DataFrame, k: int = 5, ratio: int = 2, id_col: str = ROW_ORD) -> DataFrame:
     """``k`` samples: every click plus ``ratio`` x as many non-clicks drawn
-    without replacement, sample i in hash order of seed i (row 149)."""
+    without replacement, sample i in hash order of seed i (row 149). A
+    non-click is copied into the samples that take it and no others."""
     clicks = df.where(F.col(TARGET) == 1)
     non = df.where(F.col(TARGET) == 0)
-    n_clicks = clicks.agg(F.count(F.lit(1)).alias("_nc"))
+    n_clicks = clicks.count()
     ids = F.array(*[F.lit(i) for i in range(k)])
-    # every non-click once per sample, each sample ranked by its own seed
-    cand = non.withColumn("sample_id", F.explode(ids))
-    cand = cand.withColumn("_h", F.md5(F.concat_ws("|", F.col("sample_id").cast("string"),
-                                                   F.col(id_col).cast("string"))))
-    r = rank_by_hash(cand, ["sample_id"], "_h", id_col)
-    take = (r.crossJoin(F.broadcast(n_clicks)).where(F.col("_pos") <= F.col("_nc") * ratio)
-             .drop("_h", "_pos", "_n", "_nc"))
-    return clicks.withColumn("sample_id", F.explode(ids)).unionByName(take)
+    # counted in flight by (sample, hash prefix): nothing is shuffled but counts
+    keys = non.select(id_col, F.explode(ids).alias("sample_id")).withColumn(
+        "_hash", F.md5(F.concat_ws("|", F.col("sample_id").cast("string"), F.col(id_col).cast("string"))))
+    found = borders(keys, ["sample_id"], "_hash", id_col, F.array(F.lit(n_clicks * ratio)))
+    by = {r["_g_sample_id"]: r["_borders"][0] for r in found.collect()}  # a row a sample
+    takes = []
+    for i in range(k):
+        b = by.get(i)
+        if b is None:
+            continue
+        h = hash_key(i, id_col)
+        inside = (h < b["h"]) | ((h == b["h"]) & (F.col(id_col) <= F.lit(b["t"])))
+        takes.append(F.when(inside, F.lit(i)))
+    taken = F.array_compact(F.array(*takes)) if takes else F.expr("CAST(array() AS array<int>)")
+    return clicks.withColumn("sample_id", F.explode(ids)).unionByName(non.withColumn("sample_id", F.explode(taken)))
 
 
 def kfold(df: DataFrame, k: int = 5, seed=RANDOM_STATE, id_col: str = ROW_ORD) -> DataFrame:
     """Shuffled k-fold: contiguous blocks of the hash order; the first
     n % k folds get one extra row (row 150)."""
-    r = rank_by_hash(df.withColumn("_h", hash_key(seed, id_col)).withColumn("_all", F.lit(0)),
-                     ["_all"], "_h", id_col)
-    p, n = F.col("_pos") - 1, F.col("_n")
-    q, rem = F.floor(n / k), n % k
-    big = rem * (q + 1)
-    fold = F.when(p < big, F.floor(p / (q + 1))).otherwise(rem + F.floor((p - big) / q))
-    return r.withColumn("fold", fold.cast("int")).drop("_h", "_pos", "_n", "_all")
+    h, tie = hash_key(seed, id_col), F.col(id_col)
+    n = F.col("_n")
+    ends = F.array(*[F.floor(n / k) * (i + 1) + F.least(n % k, F.lit(i + 1)) for i in range(k - 1)])
+    found = borders(df.select(F.lit(0).alias("_all"), id_col, h.alias("_hash")), ["_all"], "_hash", id_col, ends)
+    fold = F.lit(k - 1)
+    for i in reversed(range(k - 1)):
+        fold = F.when(reaches(h, tie, i), F.lit(i)).otherwise(fold)
+    return with_borders(df.withColumn("_all", F.lit(0)), found, ["_all"]).withColumn("fold", fold.cast("int")).drop(
+        "_n", "_borders", "_all")
 
 
 def balance_report(samples: DataFrame) -> DataFrame:

@@ -110,17 +110,16 @@ def _ranks(scored, score):
     return F.broadcast(auc.select((F.coalesce("auc", F.lit(0.0)) > 0.505).alias("_ranks")))
 
 
-def _scores(model, train, df, score=None):
+def _scores(scored, train_scored):
     """Scores are probabilities; the label is the likelier class; they rank the training rows."""
     p, label = models.positive_probability(), F.col("prediction")
-    rows = model(df).crossJoin(_ranks(model(train), p))
+    rows = scored.crossJoin(_ranks(train_scored, p))
     return _held(rows, in_range=p.between(0, 1), follows=(p == 0.5) | ((p > 0.5).cast("double") == label), ranks=F.col("_ranks"))
 
 
 def _stacked_scores(model, train, df):
-    p = F.col("y_pred_prob")
-    rows = model.transform(df).crossJoin(_ranks(model.transform(train), p))
-    return _held(rows, in_range=p.between(0, 1), is_label=F.col("prediction").isin(0, 1), ranks=F.col("_ranks"))
+    rows = model.transform(df).crossJoin(_ranks(model.transform(train), F.col("prediction").cast("double")))
+    return _held(rows, in_range=F.col("y_pred_prob").between(0, 1), is_label=F.col("prediction").isin(0, 1), ranks=F.col("_ranks"))
 
 
 _SCORED = _rows("test", "in_range follows ranks")
@@ -148,16 +147,20 @@ def q_ordered_target_stats(spark, sf_dir):
 
 
 def _base(spark, sf_dir):
+    """The fitted base model and the encoded rows that it was fitted on."""
     def make():
         train, _ = _train_test(spark, sf_dir)
-        return models.base_pipeline(validation_col=VALIDATION).fit(train)
+        clf = models.base_pipeline(validation_col=VALIDATION)
+        stages, rows = clf.encode(train)
+        return clf.fit_encoded(stages, rows), rows.where(~F.col(VALIDATION))
     return _once(spark, sf_dir, "base", make)
 
 
 @register("base_model", sql=_SCORED)
 def q_base_model(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    return _scores(_base(spark, sf_dir).transform, train, test)
+    _, test = _train_test(spark, sf_dir)
+    model, rows = _base(spark, sf_dir)
+    return _scores(model.transform(test), model.stages[-1].transform(rows))
 
 
 @register("model_choice", sql=_rows("test", "decision_tree logistic random_forest"))
@@ -169,7 +172,7 @@ def q_model_choice(spark, sf_dir):
     out, p = test, models.positive_probability()
     for name, params in (("decision_tree", {"maxDepth": 7}), ("logistic", {"maxIter": 100}), ("random_forest", {**models.META_DEFAULTS, **FOREST})):
         model = models.base_pipeline(models.model_choice(name, **params)).fit_encoded(stages, rows)
-        scored = model.transform(test).crossJoin(_ranks(model.transform(train), p))
+        scored = model.transform(test).crossJoin(_ranks(model.stages[-1].transform(rows), p))
         out = out.join(scored.select("row_ord", (p.between(0, 1) & F.col("_ranks")).alias(name)), "row_ord", "left")
     return _held(out, decision_tree=F.col("decision_tree"), logistic=F.col("logistic"), random_forest=F.col("random_forest"))
 
@@ -186,7 +189,7 @@ def q_meta_features(spark, sf_dir):
     """The vector is the score, then the numeric features as they are, then
     one-hot groups that hold a single 1 at most."""
     train, _ = _train_test(spark, sf_dir)
-    scored = _base(spark, sf_dir).transform(train).select(*train.columns, models.positive_probability().alias("y_pred_prob"))
+    scored = _base(spark, sf_dir)[0].transform(train).select(*train.columns, models.positive_probability().alias("y_pred_prob"))
     out = models.meta_features_pipeline().fit(scored).transform(scored)
     v = models.vector_to_array("meta_features")
     n = len(models.NUMERIC)
@@ -205,7 +208,7 @@ def q_meta_model(spark, sf_dir):
     def meta(df):
         scored = m.base.transform(df).select(*df.columns, models.positive_probability().alias("y_pred_prob"))
         return m.meta.transform(m.meta_enc.transform(scored))
-    return _scores(meta, train, test)
+    return _scores(meta(test), meta(train))
 
 
 @register("stacked_fit", sql=_rows("train", _STACKED))
@@ -266,7 +269,7 @@ def _same_score(a, b, column):
 def q_batch_score(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     path = scratch_path(spark, "model")
-    m = _base(spark, sf_dir)
+    m = _base(spark, sf_dir)[0]
     models.save_model(m, path)
     return _same_score(m.transform(test), models.batch_score(path, test), models.positive_probability())
 
