@@ -134,12 +134,19 @@ _GRP = """
           GROUP BY ALL)"""
 
 
-@register("pearson_r", sql=_GRP + """ SELECT r, n, r * sqrt((n - 2) / (1 - r * r)) AS t_stat FROM (
-  SELECT corr(CAST(sessions_number AS DOUBLE), click_rate) AS r, count(*) AS n FROM grp)""")
+@register("pearson_r", sql=_GRP + """
+  , st AS (SELECT r, n, r * sqrt((n - 2) / (1 - r * r)) AS t_stat, CAST(n - 2 AS DOUBLE) AS d FROM (
+    SELECT corr(CAST(sessions_number AS DOUBLE), click_rate) AS r, count(*) AS n FROM grp)),
+  -- both tails of Student's t: Simpson's rule over u in [0, 1), the density taken at |t| + u / (1 - u)
+  cell AS (SELECT r, n, t_stat, d, i, i / 20000.0::DOUBLE AS u FROM st, range(0, 20000) AS k(i)),
+  dens AS (SELECT r, n, t_stat, CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END *
+      exp(lgamma((d + 1) / 2) - lgamma(d / 2) - (d + 1) / 2 * ln(1 + power(abs(t_stat) + u / (1 - u), 2) / d))
+      / sqrt(d * pi()) / power(1 - u, 2) AS f FROM cell)
+  SELECT r, n, t_stat, round(2 * sum(f) / 60000.0, 9) AS p FROM dens GROUP BY r, n, t_stat""")
 def q_pearson_r(spark, sf_dir):
     g = profile.outcome_by_group(cleaning.combine_categories(wide(spark, sf_dir)),
                                  ["product_cat_comb", "campaign_id"], "click_rate", 0)
-    return stats.pearson(g, "sessions_number", "click_rate")
+    return stats.pearson(g, "sessions_number", "click_rate").withColumn("p", F.round("p", 9))
 
 
 _CORR_COLS = ["session_id", "user_id", "campaign_id", "webpage_id", "product_category_1", "product_category_2",
@@ -173,10 +180,16 @@ def q_crosstab(spark, sf_dir):
             count(*) FILTER (WHERE had_recent_session = 1 AND is_click = 1) AS o11 FROM f),
   e AS (SELECT *, CAST(o00 + o01 + o10 + o11 AS DOUBLE) AS n FROM o),
   x AS (SELECT *, (o00 + o01) * (o00 + o10) / n AS e00, (o00 + o01) * (o01 + o11) / n AS e01,
-               (o10 + o11) * (o00 + o10) / n AS e10, (o10 + o11) * (o01 + o11) / n AS e11 FROM e)
-  SELECT o00, o01, o10, o11,
+               (o10 + o11) * (o00 + o10) / n AS e10, (o10 + o11) * (o01 + o11) / n AS e11 FROM e),
+  y AS (SELECT o00, o01, o10, o11,
     power(o00 + 0.5 * sign(e00 - o00) - e00, 2) / e00 + power(o01 + 0.5 * sign(e01 - o01) - e01, 2) / e01
     + power(o10 + 0.5 * sign(e10 - o10) - e10, 2) / e10 + power(o11 + 0.5 * sign(e11 - o11) - e11, 2) / e11 AS chi2,
-    1 AS dof FROM x""")
+    1 AS dof FROM x),
+  -- upper tail of the normal distribution at sqrt(chi2), twice: Simpson's rule over u in [0, 1)
+  cell AS (SELECT y.*, i, i / 20000.0::DOUBLE AS u FROM y, range(0, 20000) AS k(i)),
+  dens AS (SELECT o00, o01, o10, o11, chi2, dof, CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+      * exp(-power(sqrt(chi2) + u / (1 - u), 2) / 2) / sqrt(2 * pi()) / power(1 - u, 2) AS f FROM cell)
+  SELECT o00, o01, o10, o11, chi2, dof, round(2 * sum(f) / 60000.0, 9) AS p FROM dens GROUP BY ALL""")
 def q_chi_square(spark, sf_dir):
-    return stats.chi_square_2x2(history.recent_session_rows(wide(spark, sf_dir)), "had_recent_session", "is_click")
+    t = stats.chi_square_2x2(history.recent_session_rows(wide(spark, sf_dir)), "had_recent_session", "is_click")
+    return t.withColumn("p", F.round("p", 9))
