@@ -10,16 +10,29 @@ from sessionlens.operators.ordering import DEFAULT_CHUNK, global_row_number, key
 from sessionlens.schema import ROW_ORD, TARGET
 
 
-def historical_click(df: DataFrame) -> DataFrame:
+def _scanned(df: DataFrame, add, keep, values=(), **scan) -> DataFrame:
+    """``add`` on a keyed scan of the user's rows in (time, row) order, over
+    the scan's own columns and ``keep`` only. With ``keep`` these are the
+    result; without it the new columns meet the whole rows by row id."""
+    carried = list(dict.fromkeys(["user_id", "DateTime", ROW_ORD, *values, *(keep or ())]))
+    out = add(keyed_scan(df.select(*carried), "user_id", ["DateTime", ROW_ORD], **scan))
+    new = [c for c in out.columns if c not in carried]
+    if keep is not None:
+        return out.select(*keep, *new)
+    new_only = out.select(F.col(ROW_ORD).alias("_row"), *new)
+    return df.join(new_only, df[ROW_ORD] == new_only["_row"]).drop("_row")
+
+
+def historical_click(df: DataFrame, keep=None) -> DataFrame:
     """Clicks of the user's earlier rows (time order, then row order)."""
-    s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], sum_cols=[TARGET])
-    return s.withColumnRenamed(f"_sum_{TARGET}", "historical_click").withColumn(
-        "historical_click", F.col("historical_click").cast("long"))
+    def add(s):
+        return s.withColumn("historical_click", F.col(f"_sum_{TARGET}").cast("long")).drop(f"_sum_{TARGET}")
+    return _scanned(df, add, keep, [TARGET], sum_cols=[TARGET])
 
 
-def historical_sessions(df: DataFrame) -> DataFrame:
+def historical_sessions(df: DataFrame, keep=None) -> DataFrame:
     """Number of the user's earlier rows; the first is 0."""
-    return keyed_scan(df, "user_id", ["DateTime", ROW_ORD], count_out="historical_sessions")
+    return _scanned(df, lambda s: s, keep, count_out="historical_sessions")
 
 
 def product_viewed_before(df: DataFrame) -> DataFrame:
@@ -35,20 +48,22 @@ def product_viewed_before(df: DataFrame) -> DataFrame:
                         F.coalesce((okey != F.col("_first")).cast("int"), F.lit(0))).drop("_first")
 
 
-def time_since_prev(df: DataFrame) -> DataFrame:
+def time_since_prev(df: DataFrame, keep=None) -> DataFrame:
     """Seconds and hours since the user's previous row in time order
     (hours = seconds / 3600; the reference divides by 360)."""
-    s = keyed_scan(df, "user_id", ["DateTime", ROW_ORD], lag_cols=["DateTime"])
     secs = (wall_micros("DateTime") - wall_micros(F.col("_lag_DateTime"))) / 1e6
-    return (s.withColumn("seconds_since_prev", secs)
-             .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0).drop("_lag_DateTime"))
+
+    def add(s):
+        return (s.withColumn("seconds_since_prev", secs)
+                 .withColumn("hours_since_prev", F.col("seconds_since_prev") / 3600.0).drop("_lag_DateTime"))
+    return _scanned(df, add, keep, lag_cols=["DateTime"])
 
 
 def recent_session_rows(df: DataFrame, within_hours: float = 1.0) -> DataFrame:
-    """Rows after the first of users with more than 2 rows, flagged
-    ``had_recent_session`` when the user's previous row is at most
-    ``within_hours`` earlier."""
-    t = time_since_prev(df).where(F.col("hours_since_prev").isNotNull())
+    """User, row id and target of the rows after the first of users with more
+    than 2 rows, flagged ``had_recent_session`` when the user's previous row
+    is at most ``within_hours`` earlier."""
+    t = time_since_prev(df, keep=["user_id", ROW_ORD, TARGET]).where(F.col("hours_since_prev").isNotNull())
     busy = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2)
     f = t.join(busy.select(F.col("user_id").alias("_busy")), F.col("user_id").eqNullSafe(F.col("_busy")), "left_semi")
     return f.withColumn("had_recent_session", (F.col("hours_since_prev") <= within_hours).cast("int"))

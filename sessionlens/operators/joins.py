@@ -126,16 +126,19 @@ def asof_clicks(external: DataFrame, internal: DataFrame, drop_last: bool = Fals
                     .withColumn("historical_click", F.coalesce("historical_click", F.lit(0))))
 
 
-def asof_sessions(external: DataFrame, internal: DataFrame) -> DataFrame:
+def asof_sessions(external: DataFrame, internal: DataFrame, with_rows: bool = True) -> DataFrame:
     """Internal sessions of the user strictly earlier in time, plus the
-    external sessions of the user already seen (time order, then row order)."""
+    external sessions of the user already seen (time order, then row order).
+    Only ids and times are scanned; ``with_rows`` joins the external rows."""
     h = (internal.where(F.col("DateTime").isNotNull())
                  .groupBy("user_id", "DateTime").agg(F.count(F.lit(1)).alias("_n")))
     keys = external.select("user_id", "DateTime").where(F.col("DateTime").isNotNull()).distinct()
     u = _asof_union(h, keys, ["_n"])
     before = (keyed_scan(u, "user_id", ["_us", "_side"], sum_cols=["_n"]).where("_ext")
               .select("user_id", "DateTime", F.col("_sum__n").alias("_internal")))
-    ext = keyed_scan(external, "user_id", ["DateTime", ROW_ORD], count_out="_seen")
-    return (ext.join(before, ["user_id", "DateTime"], "left")
-               .withColumn("sessions", (F.coalesce("_internal", F.lit(0)) + F.col("_seen")).cast("long"))
-               .drop("_internal", "_seen"))
+    ext = keyed_scan(external.select("user_id", "DateTime", ROW_ORD), "user_id", ["DateTime", ROW_ORD], count_out="_seen")
+    out = ext.join(before, ["user_id", "DateTime"], "left").select(
+        F.col(ROW_ORD).alias("_row"), (F.coalesce("_internal", F.lit(0)) + F.col("_seen")).cast("long").alias("sessions"))
+    if not with_rows:
+        return out.withColumnRenamed("_row", ROW_ORD)
+    return external.join(out, external[ROW_ORD] == out["_row"]).drop("_row")

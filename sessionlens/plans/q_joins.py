@@ -100,7 +100,7 @@ def q_asof_clicks_drop_last(spark, sf_dir):
   AS sessions FROM wide e""")
 def q_asof_sessions(spark, sf_dir):
     w = wide(spark, sf_dir)
-    return joins.asof_sessions(w, w).select("row_ord", "sessions")
+    return joins.asof_sessions(w, w, with_rows=False)
 
 
 # -- history ---------------------------------------------------------------------------
@@ -108,13 +108,13 @@ def q_asof_sessions(spark, sf_dir):
 @register("historical_click", sql=f"""SELECT row_ord, CAST(COALESCE(sum(is_click) OVER (PARTITION BY user_id
   {ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS historical_click FROM wide""")
 def q_historical_click(spark, sf_dir):
-    return history.historical_click(wide(spark, sf_dir)).select("row_ord", "historical_click")
+    return history.historical_click(wide(spark, sf_dir), keep=["row_ord"])
 
 
 @register("historical_sessions", sql=f"""SELECT row_ord, row_number() OVER (PARTITION BY user_id {ORDER}) - 1
   AS historical_sessions FROM wide""")
 def q_historical_sessions(spark, sf_dir):
-    return history.historical_sessions(wide(spark, sf_dir)).select("row_ord", "historical_sessions")
+    return history.historical_sessions(wide(spark, sf_dir), keep=["row_ord"])
 
 
 _PVB = f"""CASE WHEN product IS NULL THEN 0 WHEN row_number() OVER (PARTITION BY user_id, product {ORDER}) > 1
@@ -132,7 +132,7 @@ _GAP = f'(epoch_us("DateTime") - epoch_us(lag("DateTime") OVER (PARTITION BY use
 @register("time_since_prev", sql=f"""SELECT row_ord, {_GAP} AS seconds_since_prev,
   {_GAP} / 3600.0 AS hours_since_prev FROM wide""")
 def q_time_since_prev(spark, sf_dir):
-    return history.time_since_prev(wide(spark, sf_dir)).select("row_ord", "seconds_since_prev", "hours_since_prev")
+    return history.time_since_prev(wide(spark, sf_dir), keep=["row_ord"])
 
 
 @register("recent_session_ctr", sql=f"""
