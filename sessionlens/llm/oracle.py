@@ -84,10 +84,11 @@ lim(n, x) AS (VALUES (3, 9.9), {_LIMITS}),
 win AS (
   SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lim)),
-twice AS (SELECT doc_id, n, s FROM win GROUP BY 1, 2, 3 HAVING count(*) > 1),
+twice AS (SELECT doc_id, n, s, min(i) AS first_i FROM win GROUP BY 1, 2, 3 HAVING count(*) > 1),
 inside AS (
   SELECT DISTINCT win.doc_id, win.n, unnest(range(win.i, win.i + win.n)) AS p
-  FROM win JOIN twice t ON t.doc_id = win.doc_id AND t.n = win.n AND t.s = win.s),
+  FROM win JOIN twice t ON t.doc_id = win.doc_id AND t.n = win.n AND t.s = win.s
+  WHERE win.n = 3 OR win.i > first_i),
 cover AS (
   SELECT inside.doc_id, inside.n, count(*) AS words, sum(c) AS c
   FROM inside JOIN word ON word.doc_id = inside.doc_id AND word.i = inside.p GROUP BY 1, 2),

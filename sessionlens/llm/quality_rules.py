@@ -68,14 +68,23 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return twice[at] == keys
 
 
-def ngram_cover(b: Block, hashes: np.ndarray, n: int) -> np.ndarray:
-    """Mask of words inside an n-gram that its text has twice or more."""
+def _later(keys: np.ndarray) -> np.ndarray:
+    """Which keys have an equal one before them."""
+    order = np.argsort(keys, kind="stable")
+    again = np.zeros(len(keys), bool)
+    again[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    return again
+
+
+def ngram_cover(b: Block, hashes: np.ndarray, n: int, later: bool = False) -> np.ndarray:
+    """Mask of words inside an n-gram that its text has twice or more; with
+    ``later`` only inside its second and further occurrences."""
     at = b.windows(n)
     mask = np.zeros(len(hashes), bool)
     if len(at) == 0:
         return mask
     keys = mix(ngram_hashes(hashes, n)[at] ^ mix(b.doc[at].astype(U64)))
-    at = at[_repeated(keys)]
+    at = at[_later(keys) if later else _repeated(keys)]
     edge = np.zeros(len(hashes) + 1, np.int32)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + n, -1)
@@ -120,7 +129,7 @@ def _measure_block(b: Block, rules: Rules) -> dict[str, np.ndarray]:
     line_cover = _per_text(chars * in_dup, b.first) / share
     excess = np.full(len(b), -1.0)
     for n, limit in rules.coverage_limits.items():
-        cover = _per_text(chars * ngram_cover(b, hashes, n), b.first) / share
+        cover = _per_text(chars * ngram_cover(b, hashes, n, later=True), b.first) / share
         excess = np.maximum(excess, cover - limit)
     failed = (n_words < rules.min_words) | (100 * repeat > rules.max_repeat_percent * n_words)
     kept = ~failed & (excess <= 0) & (line_cover <= rules.line_limit)

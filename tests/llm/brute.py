@@ -136,11 +136,11 @@ def quality_base(t):
 
 
 def coverage(t, n):
-    """Share of word characters inside repeated n-grams."""
+    """Share of word characters inside n-grams that came before in the text."""
     w = SPACE.findall(t or "")
-    c = collections.Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
-    inside = [False] * len(w)
+    seen, inside = set(), [False] * len(w)
     for i in range(len(w) - n + 1):
-        if c[tuple(w[i:i + n])] > 1:
+        if tuple(w[i:i + n]) in seen:
             inside[i:i + n] = [True] * n
+        seen.add(tuple(w[i:i + n]))
     return sum(len(x) for x, g in zip(w, inside) if g) / max(1, sum(map(len, w)))
