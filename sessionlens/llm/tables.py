@@ -15,3 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, whatever else the table carries."""
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
+
+
+def text_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Lower the rows of an Arrow batch to ``rows`` for this session. A batch
+    of the default 10,000 rows holds as many whole texts (or pairs of them) in
+    the JVM and again in each Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
