@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionlens.llm import decontaminate, ngram_join, packing, pii, quality_rules
-from sessionlens.llm.tables import DOCUMENT_COLUMNS, table
+from sessionlens.llm.tables import DOCUMENT_COLUMNS, table, text_batches
 from sessionlens.session import scratch_path
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    text_batches(spark)
     return quality_rules.keep_good(docs.select(*DOCUMENT_COLUMNS))
 
 
