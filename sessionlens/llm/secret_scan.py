@@ -13,6 +13,8 @@ more characters), ``access`` (AKIA and capitals or digits, 20 or more),
 Counting is two plain aggregations, first per (value, repository, owner), so a
 value held by a third of all rows arrives as one row a task.
 
+The work on one text grows with its length and findings, not with their square.
+
 Defined results: null and empty texts have no spans; spans count code points,
 end exclusive; a null source is one owner of its own; rows that repeat a
 doc_id share the sums of their findings; an empty table gives an empty result;
@@ -28,6 +30,7 @@ from sessionlens.session import cut_lineage
 
 BASE = ["assign", "access", "hex"]
 MANY_OWNERS = 3
+CHUNK = 128
 
 # pattern, group that holds the value, least characters of that group
 PATTERNS = {
@@ -46,9 +49,41 @@ KINDS = list(PATTERNS)
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running_sum(numbers: Column) -> Column:
+    """Inclusive running sums of an array of ints (at least one).
+
+    Appending to an array copies it, so sums run inside chunks of ``CHUNK``
+    and then over the chunks' totals: work grows with the array's size times
+    the chunk, and no array but the numbers of one chunk or the totals is
+    ever copied a number at a time."""
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def sums(xs: Column) -> Column:
+        return F.aggregate(xs, none, lambda acc, x: F.struct(
+            (acc.at + x).alias("at"), F.concat(acc.out, F.array(acc.at + x)).alias("out")), lambda acc: acc.out)
+
+    def chunked(xs: Column) -> Column:
+        chunks = F.ceil(F.size(xs) / CHUNK).cast("int")
+        inner = F.transform(F.sequence(F.lit(0), F.greatest(chunks - 1, F.lit(0))),
+                            lambda c: sums(F.slice(xs, c * CHUNK + 1, F.lit(CHUNK))))
+        return _bind(inner, joined)
+
+    def joined(parts: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), sums(F.transform(parts, F.array_max)))  # sums never fall
+        return F.flatten(F.zip_with(parts, F.slice(before, 1, F.size(parts)),
+                                    lambda part, base: F.transform(part, lambda x: x + base)))
+
+    return _bind(numbers, chunked)
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Spans of one kind. The parts between matches and the matches alternate,
-    so a running sum of their lengths gives every start."""
+    so a running sum of their lengths gives every end."""
     pattern, group, least = PATTERNS[kind]
     rx = F.lit(pattern)
     whole = F.regexp_extract_all(text, rx, F.lit(0))
@@ -56,16 +91,13 @@ def _spans(text: Column, kind: str) -> Column:
     gaps = F.split(text, pattern, -1)
     rows = F.zip_with(F.arrays_zip(whole.alias("whole"), value.alias("value")), F.slice(gaps, 1, F.size(whole)),
                       lambda m, gap: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("size"), m["value"].alias("value")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(acc: Column, row: Column) -> Column:
-        start = acc.at + row.gap
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + row.size).alias("end"),
-                        row.value.alias("value"))
-        return F.struct((start + row.size).alias("at"), F.concat(acc.out, F.array(span)).alias("out"))
+    def placed(rows: Column) -> Column:
+        ends = _running_sum(F.transform(rows, lambda r: r.gap + r.size))
+        return F.zip_with(rows, ends, lambda r, end: F.struct(
+            (end - r.size).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), r.value.alias("value")))
 
-    found = F.aggregate(rows, empty, step, lambda acc: acc.out)
-    found = F.filter(found, lambda s: F.length(s.value) >= least)
+    found = F.filter(_bind(rows, placed), lambda s: F.length(s.value) >= least)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
