@@ -153,7 +153,7 @@ r AS (
   SELECT page_id, copies, html, sha256(coalesce(CAST(page_id AS VARCHAR), '-') || chr(10) ||
     CAST(length(url) AS VARCHAR) || chr(10) || url || chr(10) || html) AS record_id, url FROM p),
 w AS (
-  SELECT page_id, copies, record_id, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:sha256:' ||
+  SELECT page_id, copies, record_id, html, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:sha256:' ||
     record_id || '>' || e || 'WARC-Target-URI: ' || regexp_replace(url, '[\r\n]', ' ', 'g') || e ||
     'Content-Type: text/html' || e || 'Content-Length: ' || CAST(strlen(html) AS VARCHAR) || e || e || html || e || e AS body
   FROM r, (SELECT chr(13) || chr(10) AS e)),
@@ -163,10 +163,16 @@ o AS (
     CAST(coalesce(sum(strlen(body)) OVER (ORDER BY page_id NULLS LAST, record_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
     CAST('0x' || substr(record_id, 1, 6) AS BIGINT) AS k
-  FROM w)
+  FROM w),
+there AS (
+  SELECT *, CAST(coalesce(sum(CASE WHEN k % 59 <> 0 THEN length END) OVER (ORDER BY ordinal
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) - "offset" AS s
+  FROM o)
 SELECT page_id, record_id, copies, ordinal, "offset", length, sha256,
-  CASE WHEN k % 59 = 0 THEN 'missing' WHEN k % 53 = 0 THEN 'corrupt' ELSE 'intact' END AS status
-FROM o"""
+  CASE WHEN k % 59 = 0 THEN 'missing' WHEN k % 53 = 0 AND html <> translate(html, 'aeiou', 'eioua') THEN 'corrupt'
+    WHEN s <> 0 THEN 'moved' ELSE 'intact' END AS status,
+  CAST(CASE WHEN k % 59 = 0 THEN 0 ELSE 1 END AS BIGINT) AS found, CASE WHEN k % 59 <> 0 THEN s END AS shift
+FROM there"""
 
 
 def _found(kind: str) -> str:

@@ -6,23 +6,27 @@ its number, its offset in the concatenated uncompressed archive, its length and
 its hash. Records are the leaves of a tree: ranges of ``RANGE_BYTES`` of
 offsets are the lowest nodes, ``FANOUT`` nodes make one above, up to one root.
 
-``audit`` compares the root of the manifest's tree with a replica's, then goes
-down level by level, joining only children of nodes that differ, and reads the
-leaves of differing ranges alone to name the records that are corrupt or
-missing. Extra records of the replica are reported too.
+A replica's tree is built from its own files alone: its records in the order
+of its files, at its own offsets. ``audit`` compares the two roots, then goes
+down level by level, joining only children of nodes that differ. Leaves are
+read and matched by id for differing ranges alone; every record in an equal
+range is intact. A lost or added record shifts all that follows it, so those
+ranges differ too, and their records are reported as moved by that shift.
 
 Sums along the order are two-level: within range partitions, then over one row
 a partition. No level gathers more than ``FANOUT`` children or one range.
 
 Defined results: null url or html counts as empty, a null page_id sorts last;
 repeated rows are one record with their number in ``copies``; an empty table
-gives an empty manifest and an audit without rows; extra columns are ignored.
+gives an empty manifest and an audit without rows; a part file that ends early
+or cannot be unpacked counts up to its fault; a record whose id is unreadable
+is extra, and the listed one missing; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,23 +69,44 @@ def write_archive(recs: DataFrame, path: str) -> None:
     lines.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
 
 
+def unpack(packed: bytes) -> bytes:
+    """The bytes of a gzip file (of any number of members) up to its first fault."""
+    out = []
+    while packed:
+        member = zlib.decompressobj(31)
+        for at in range(0, len(packed), 1 << 16):
+            try:
+                out.append(member.decompress(packed[at:at + (1 << 16)]))
+            except zlib.error:
+                return b"".join(out)
+            if member.eof:
+                packed = member.unused_data + packed[at + (1 << 16):]
+                break
+        else:
+            return b"".join(out)
+    return b"".join(out)
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """record_id, length and sha256 of every record in the part files."""
+    """file, place, record_id, length and sha256 of every record in the part
+    files: ``place`` is the record's number in its file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
+            for file, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rid, length, digest = [], [], []
-                for name, whole in split_records(gzip.decompress(packed)):
+                for name, whole in split_records(unpack(packed)):
                     rid.append(name)
                     length.append(len(whole))
                     digest.append(hashlib.sha256(whole).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid, pa.string()), pa.array(length, pa.int64()), pa.array(digest, pa.string())],
-                    ["record_id", "length", "sha256"])
+                    [pa.array([file] * len(rid), pa.string()), pa.array(range(len(rid)), pa.int64()),
+                     pa.array(rid, pa.string()), pa.array(length, pa.int64()), pa.array(digest, pa.string())],
+                    ["file", "place", "record_id", "length", "sha256"])
 
-    files = spark.read.format("binaryFile").load(f"{path}/part-*").select("content")
-    return files.mapInArrow(run, "record_id string, length long, sha256 string")
+    files = spark.read.format("binaryFile").load(f"{path}/part-*").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    return files.mapInArrow(run, "file string, place long, record_id string, length long, sha256 string")
 
 
 def split_records(data: bytes) -> Iterator[tuple[str, bytes]]:
@@ -101,15 +126,9 @@ def split_records(data: bytes) -> Iterator[tuple[str, bytes]]:
         at = stop
 
 
-def manifest(recs: DataFrame) -> DataFrame:
-    """page_id, record_id, copies, ordinal, offset, length, sha256 (checkpointed)."""
-    whole = F.concat("head", "html", F.lit(END))
-    rows = recs.select("page_id", "record_id", F.octet_length(whole).cast("long").alias("length"),
-                       F.sha2(whole, 256).alias("sha256"))
-    rows = rows.groupBy("record_id").agg(F.first("page_id").alias("page_id"), F.first("length").alias("length"),
-                                         F.first("sha256").alias("sha256"), F.count("*").alias("copies"))
-    order = [F.col("page_id").asc_nulls_last(), F.col("record_id")]
-    rows = rows.repartitionByRange(_parts(recs.sparkSession), *order).withColumn("part", F.spark_partition_id())
+def _placed(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows with ``ordinal`` and ``offset`` along the order (checkpointed)."""
+    rows = rows.repartitionByRange(_parts(rows.sparkSession), *order).withColumn("part", F.spark_partition_id())
     rows = cut_lineage(rows)  # the sampled bounds must not move between reads
     inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,22 +137,44 @@ def manifest(recs: DataFrame) -> DataFrame:
     base = totals.select("part", F.coalesce(F.sum("n").over(before), zero).alias("n0"),
                          F.coalesce(F.sum("bytes").over(before), zero).alias("b0"))
     rows = rows.withColumns({"n1": F.count("*").over(inside), "b1": F.coalesce(F.sum("length").over(inside), zero)})
-    return rows.join(base, "part").select(
-        "page_id", "record_id", "copies", (F.col("n0") + F.col("n1")).alias("ordinal"),
-        (F.col("b0") + F.col("b1")).alias("offset"), "length", "sha256")
+    rows = rows.join(base, "part").withColumns({"ordinal": F.col("n0") + F.col("n1"), "offset": F.col("b0") + F.col("b1")})
+    return rows.drop("part", "n0", "n1", "b0", "b1")
+
+
+def manifest(recs: DataFrame) -> DataFrame:
+    """page_id, record_id, copies, ordinal, offset, length, sha256."""
+    whole = F.concat("head", "html", F.lit(END))
+    rows = recs.select("page_id", "record_id", F.octet_length(whole).cast("long").alias("length"),
+                       F.sha2(whole, 256).alias("sha256"))
+    rows = rows.groupBy("record_id").agg(F.first("page_id").alias("page_id"), F.first("length").alias("length"),
+                                         F.first("sha256").alias("sha256"), F.count("*").alias("copies"))
+    return _placed(rows, [F.col("page_id").asc_nulls_last(), F.col("record_id")]).select(
+        "page_id", "record_id", "copies", "ordinal", "offset", "length", "sha256")
+
+
+def placed_replica(replica: DataFrame) -> DataFrame:
+    """record_id, sha256, length, ordinal and offset of a replica's records,
+    in the order of its files (by their task and file numbers, then name)."""
+    number = lambda rx: F.regexp_extract("file", rx, 1).try_cast("long")
+    rows = replica.select("file", "place", "record_id", "length", "sha256").withColumns(
+        {"task": number(r"^part-(\d+)"), "split": number(r"-c(\d+)")})
+    order = [F.col(c) for c in ("task", "split", "file", "place")]
+    return _placed(rows, order).select("record_id", "sha256", "length", "ordinal", "offset")
 
 
 def _node(children: Column) -> Column:
     return F.sha2(F.array_join(F.transform(F.array_sort(children), lambda c: F.concat_ws(":", c["at"].cast("string"), c["digest"])), "\n"), 256)
 
 
-def tree(leaves: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
-    """Levels (node, digest) from ranges to the root, from (offset, digest)."""
-    node = F.floor(F.col("offset") / range_bytes).cast("long")
-    children = F.collect_list(F.struct(F.col("offset").alias("at"), F.col("digest")))  # one range
-    level = cut_lineage(leaves.groupBy(node.alias("node")).agg(_node(children).alias("digest")))
-    levels = [level]
-    last = level.agg(F.max("node")).first()[0] or 0
+def _range(range_bytes: int) -> Column:
+    return F.floor(F.col("offset") / range_bytes).cast("long")
+
+
+def tree(leaves: DataFrame, last: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
+    """Levels (node, digest) from ranges to the root over nodes 0 to ``last``,
+    from (offset, sha256)."""
+    children = F.collect_list(F.struct(F.col("offset").alias("at"), F.col("sha256").alias("digest")))  # one range
+    levels = [cut_lineage(leaves.groupBy(_range(range_bytes).alias("node")).agg(_node(children).alias("digest")))]
     while last > 0:
         up = F.floor(F.col("node") / fanout).cast("long")
         children = F.collect_list(F.struct(F.col("node").alias("at"), F.col("digest")))  # at most ``fanout``
@@ -143,33 +184,68 @@ def tree(leaves: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT
 
 
 def differing_ranges(one: list[DataFrame], two: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
-    """Lowest nodes that differ, reached through differing nodes only."""
+    """Lowest nodes that differ or that one tree lacks, reached through
+    differing nodes only (checkpointed)."""
     bad = None
     for a, b in zip(reversed(one), reversed(two)):
         if bad is not None:
-            a = a.withColumn("up", F.floor(F.col("node") / fanout).cast("long")).join(
-                bad.select(F.col("node").alias("up")), "up", "left_semi").select("node", "digest")
+            up = F.floor(F.col("node") / fanout).cast("long").alias("up")
+            above = bad.select(F.col("node").alias("up"))
+            a, b = (x.select("node", "digest", up).join(above, "up", "left_semi").select("node", "digest") for x in (a, b))
         b = b.select("node", F.col("digest").alias("other"))
-        bad = a.join(b, "node", "left").filter(~F.col("digest").eqNullSafe(F.col("other"))).select("node")
-    return bad
+        bad = a.join(b, "node", "full").filter(~F.col("digest").eqNullSafe(F.col("other"))).select("node")
+    return cut_lineage(bad)
+
+
+def differing(listed: DataFrame, there: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> DataFrame:
+    """Nodes of the ranges in which the manifest and a placed replica differ."""
+    last = max(x.agg(F.max(_range(range_bytes))).first()[0] or 0 for x in (listed, there))
+    return differing_ranges(*(tree(x.select("offset", "sha256"), last, range_bytes, fanout) for x in (listed, there)), fanout)
+
+
+def leaves_in(rows: DataFrame, ranges: DataFrame, range_bytes: int = RANGE_BYTES, how: str = "left_semi") -> DataFrame:
+    """The leaves of the given ranges (or, ``left_anti``, of all others)."""
+    return rows.withColumn("node", _range(range_bytes)).join(ranges, "node", how).drop("node")
 
 
 def audit(listed: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> DataFrame:
-    """The manifest's rows with ``status``: intact, corrupt or missing; and a
-    row of status extra per record of the replica that it does not list.
+    """The manifest's rows with ``status``, ``found`` (the replica's records of
+    that id) and ``shift`` (bytes from the listed offset to the replica's); and
+    a row of status extra per id of the replica that is not listed.
 
-    The replica's tree has the manifest's places: a record found under its id
-    stands at its listed offset, so a lost record does not shift the others.
+    missing: no record of that id; corrupt: none of them has the listed hash;
+    duplicated: one has, and there are more; moved: the one record stands at
+    another offset; intact: all else.
     """
-    found = replica.groupBy("record_id").agg(F.max("sha256").alias("there"), F.min("sha256").alias("also"))
-    whole = F.when(F.col("there") == F.col("also"), F.col("there")).otherwise(F.concat("also", "there"))
-    rows = cut_lineage(listed.join(found, "record_id", "left").withColumn("there", whole).drop("also"))
-    mine = tree(rows.select("offset", F.col("sha256").alias("digest")), range_bytes, fanout)
-    theirs = tree(rows.select("offset", F.coalesce("there", F.lit("")).alias("digest")), range_bytes, fanout)
-    bad = differing_ranges(mine, theirs, fanout).select("node", F.lit(True).alias("differs"))
-    rows = rows.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).join(bad, "node", "left")
-    status = (F.when(F.col("differs").isNull() | (F.col("sha256") == F.col("there")), "intact")
-              .when(F.col("there").isNull(), "missing").otherwise("corrupt"))
-    rows = rows.select(*listed.columns, status.alias("status"))
-    extra = found.join(listed, "record_id", "left_anti").select("record_id", F.col("there").alias("sha256"), F.lit("extra").alias("status"))
-    return rows.unionByName(extra, allowMissingColumns=True)
+    listed = cut_lineage(listed)
+    there = cut_lineage(placed_replica(replica))
+    bad = differing(listed, there, range_bytes, fanout)
+    suspects = cut_lineage(leaves_in(listed, bad, range_bytes))
+    # equal records of one id are one row before they meet the manifest
+    seen = cut_lineage(leaves_in(there, bad, range_bytes).groupBy("record_id", "sha256").agg(
+        F.count("*").alias("n"), F.min("offset").alias("at")))
+    one = F.lit(1).cast("long")
+    zero = F.lit(0).cast("long")
+    equal = leaves_in(listed, bad, range_bytes, "left_anti").withColumns(
+        {"status": F.lit("intact"), "found": one, "shift": zero})
+    same = F.col("sha256") == F.col("listed")
+    held = seen.join(suspects.select("record_id", F.col("sha256").alias("listed")), "record_id")
+    held = held.groupBy("record_id").agg(
+        F.sum("n").alias("n"), F.min(F.when(same, F.col("at"))).alias("same_at"), F.min("at").alias("any_at"))
+    shift = F.coalesce("same_at", "any_at") - F.col("offset")
+    status = (F.when(F.col("n").isNull(), "missing").when(F.col("same_at").isNull(), "corrupt")
+              .when(F.col("n") > 1, "duplicated").when(shift != 0, "moved").otherwise("intact"))
+    checked = suspects.join(held, "record_id", "left").select(
+        *listed.columns, status.alias("status"), F.coalesce("n", zero).alias("found"), shift.alias("shift"))
+    rest = cut_lineage(seen.join(suspects, "record_id", "left_anti"))
+    if rest.isEmpty():
+        return equal.unionByName(checked)
+    # ids outside the suspects: a further copy of a record in an equal range, or not listed at all
+    more = rest.groupBy("record_id").agg(F.sum("n").alias("n"), F.max("sha256").alias("sha256"))
+    copies = more.select("record_id", "n")
+    equal = equal.join(copies, "record_id", "left").select(
+        *listed.columns, F.when(F.col("n").isNull(), "intact").otherwise("duplicated").alias("status"),
+        (one + F.coalesce("n", zero)).alias("found"), "shift")
+    extra = more.join(listed, "record_id", "left_anti").select(
+        "record_id", "sha256", F.lit("extra").alias("status"), F.col("n").alias("found"))
+    return equal.unionByName(checked).unionByName(extra, allowMissingColumns=True)

@@ -1,6 +1,7 @@
 """Every dealt operator against brute force, on edge cases and sf0.001."""
 
 import random
+import time
 import zlib
 
 import brute
@@ -424,6 +425,19 @@ def test_secret_fuzz(spark):
         assert row.base_sha256 == brute.sha(brute.spans_text(brute.secrets_base(texts[row.doc_id]))), texts[row.doc_id]
 
 
+def test_secret_many_findings(spark):
+    """100,000 findings in one text, and numbers of findings about a chunk's size."""
+    value = "0123456789abcdef01234567"
+    sizes = [1, secret_scan.CHUNK - 1, secret_scan.CHUNK, secret_scan.CHUNK + 1, 3 * secret_scan.CHUNK, 100_000]
+    df = spark.createDataFrame([(n, (value + " ") * n, "s") for n in sizes], "doc_id long, text string, source string")
+    began = time.time()
+    rows = secret_scan.detect(df, F.col("source"), F.col("source")).select(
+        "doc_id", F.transform("found", lambda s: s.start).alias("at"), F.transform("found", lambda s: s.end).alias("to")).collect()
+    assert time.time() - began < 20
+    for r in rows:
+        assert r["at"] == [25 * i for i in range(r.doc_id)] and r["to"] == [25 * i + 24 for i in range(r.doc_id)]
+
+
 def test_secret_ownership(spark):
     shared, own = "a" * 12 + "0123456789ab" * 2, "b" * 12 + "0123456789ab" * 2
     rows = [(i, f"token={shared}", "en", f"s{i}") for i in range(4)] + [(9, f"x ghp_{'A1' * 20} {own}", "en", "s1")]
@@ -481,8 +495,52 @@ def recs(spark):
     return warc.records(spark.createDataFrame([(*p, "x") for p in PAGES], "page_id long, url string, html string, length string"))
 
 
-def test_archive_round_trip(spark, recs, tmp_path):
-    listed = warc.manifest(recs)
+REPLICA = "file string, place long, record_id string, length long, sha256 string"
+
+
+def as_replica(spark, rows):
+    """A replica of (record_id, length, sha256) rows, three to a file."""
+    return spark.createDataFrame([(f"part-{i // 3:05d}-x-c000.txt.gz", i % 3, *r) for i, r in enumerate(rows)], REPLICA)
+
+
+@pytest.fixture(scope="module")
+def listed(recs):
+    return warc.cut_lineage(warc.manifest(recs))
+
+
+@pytest.fixture(scope="module")
+def leaves(listed):
+    return [(r.record_id, r.length, r.sha256) for r in sorted(listed.collect(), key=lambda r: r.ordinal)]
+
+
+def brute_audit(leaves, replica):
+    at, offsets, found = 0, {}, {}
+    for rid, length, sha in leaves:
+        offsets[rid] = (at, sha)
+        at += length
+    at = 0
+    for rid, length, sha in replica:
+        found.setdefault(rid, []).append((at, sha))
+        at += length
+    out = {rid: ("extra", len(v), None) for rid, v in found.items() if rid not in offsets}
+    for rid, (at, sha) in offsets.items():
+        v = found.get(rid, [])
+        same = [x for x, y in v if y == sha]
+        shift = min(same or [x for x, _ in v]) - at if v else None
+        status = ("missing" if not v else "corrupt" if not same else "duplicated" if len(v) > 1
+                  else "moved" if shift else "intact")
+        out[rid] = (status, len(v), shift)
+    return out
+
+
+def run_audit(listed, replica, *sizes):
+    rows = warc.audit(listed, replica, *sizes).collect()
+    got = {r.record_id: (r.status, r.found, r["shift"]) for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def test_archive_round_trip(spark, recs, listed, tmp_path):
     warc.write_archive(recs, f"{tmp_path}/w")
     back = warc.read_archive(spark, f"{tmp_path}/w")
     assert key((r.record_id, r.length, r.sha256) for r in back.collect()) == key(
@@ -496,20 +554,57 @@ def test_archive_round_trip(spark, recs, tmp_path):
     assert {r.status for r in warc.audit(listed, back).collect()} == {"intact"}
 
 
-@pytest.mark.parametrize("range_bytes,fanout", [(1 << 20, 16), (64, 2)])
-def test_audit_finds_damage(spark, recs, range_bytes, fanout):
-    listed = warc.manifest(recs)
-    rows = sorted(listed.collect(), key=lambda r: r.ordinal)
-    lost, changed = rows[1].record_id, rows[3].record_id
-    copy = listed.select("record_id", "length", F.when(F.col("record_id") == changed, "00").otherwise(F.col("sha256")).alias("sha256"))
-    copy = copy.filter(F.col("record_id") != lost).union(spark.createDataFrame([("zz", 1, "11")], "a string, b long, c string"))
-    got = {r.record_id: r.status for r in warc.audit(listed, copy, range_bytes, fanout).collect()}
-    assert got == {**{r.record_id: "intact" for r in rows}, lost: "missing", changed: "corrupt", "zz": "extra"}
+DAMAGE = ["lost", "altered", "extra", "reversed", "doubled", "doubled_at_end", "shifted", "none", "all", "mixed"]
+
+
+@pytest.mark.parametrize("damage,range_bytes,fanout", [*((d, 300, 2) for d in DAMAGE), ("mixed", 1 << 20, 16)])
+def test_audit_finds_damage(spark, listed, leaves, range_bytes, fanout, damage):
+    bad = lambda r, sha: (r[0], r[1], sha)
+    replica = {
+        "lost": leaves[:1] + leaves[2:], "altered": [*leaves[:3], bad(leaves[3], "00"), *leaves[4:]],
+        "extra": [*leaves, ("zz", 1, "11"), ("zz", 2, "12")], "reversed": leaves[::-1],
+        "doubled": [*leaves[:2], leaves[1], *leaves[2:]], "doubled_at_end": [*leaves, leaves[0], bad(leaves[1], "9")],
+        "shifted": [("zz", 7, "11"), *leaves], "none": leaves, "all": [],
+        "mixed": [leaves[5], bad(leaves[0], "0"), leaves[0], ("", 40, "7"), leaves[3], leaves[3]]}[damage]
+    got = run_audit(listed, as_replica(spark, replica), range_bytes, fanout)
+    assert got == brute_audit(leaves, replica)
+    assert ({s for s, _, _ in got.values()} == {"intact"}) == (damage == "none")
+
+
+def test_audit_reads_differing_leaves_only(spark):
+    """One altered record in 4000: the leaves of its range alone are read."""
+    rows = [(f"r{i:05d}", 100, f"{i:064x}") for i in range(4000)]
+    listed = spark.createDataFrame([(*r, i, 100 * i) for i, r in enumerate(rows)],
+                                   "record_id string, length long, sha256 string, ordinal long, offset long")
+    there = warc.placed_replica(as_replica(spark, [*rows[:1234], ("r01234", 100, "f"), *rows[1235:]]))
+    ranges = warc.differing(listed, there, 2000, 4)
+    assert [r.node for r in ranges.collect()] == [1234 * 100 // 2000]
+    assert warc.leaves_in(listed, ranges, 2000).count() == warc.leaves_in(there, ranges, 2000).count() == 20
+
+
+def test_replica_order_by_file_numbers(spark, leaves):
+    """File 1000 of a task follows file 999, and task 100000 follows 99999."""
+    names = ["part-00002-x-c999.gz", "part-00002-x-c1000.gz", "part-99999-x-c000.gz", "part-100000-x-c000.gz"]
+    rows = [(f, 0, f"id{i}", 10, "s") for i, f in enumerate(names)]
+    placed = warc.placed_replica(spark.createDataFrame(rows[::-1], REPLICA)).collect()
+    assert sorted((r.ordinal, r.offset, r.record_id) for r in placed) == [(i, 10 * i, f"id{i}") for i in range(4)]
+
+
+def test_unpack_stops_at_a_fault():
+    import gzip
+
+    body = random.Random(5).randbytes(300_000)
+    packed = gzip.compress(body)
+    assert warc.unpack(packed) == body and warc.unpack(packed + packed) == body + body
+    for broken in (packed[:150_000], packed[:150_000] + b"\xff" * 40_000):
+        part = warc.unpack(broken)
+        assert body.startswith(part[:100_000]) and 0 < len(part) < len(body)
+    assert warc.unpack(b"") == warc.unpack(b"no gzip") == b""
 
 
 def test_archive_empty(spark, recs):
     none = recs.filter("false")
-    assert warc.audit(warc.manifest(none), spark.createDataFrame([], "record_id string, length long, sha256 string")).count() == 0
+    assert warc.audit(warc.manifest(none), spark.createDataFrame([], REPLICA)).count() == 0
 
 
 def test_split_records_survives_damage():
@@ -521,8 +616,14 @@ def test_split_records_survives_damage():
 
 
 def test_op10_query(spark):
-    rows = E.queries()["op10_warc_audit"](spark, SF_SMALL).collect()
+    rows = sorted(E.queries()["op10_warc_audit"](spark, SF_SMALL).collect(), key=lambda r: r.ordinal)
+    lost = 0
     for r in rows:
         n = int(r.record_id[:6], 16)
-        assert r.status == ("missing" if n % 59 == 0 else "corrupt" if n % 53 == 0 else "intact")
+        if n % 59 == 0:
+            assert (r.status, r.found, r["shift"]) == ("missing", 0, None)
+            lost += r.length
+        else:
+            assert r.status == ("corrupt" if n % 53 == 0 else "moved" if lost else "intact")
+            assert (r.found, r["shift"]) == (1, -lost)
     assert len(rows) == pq.read_table(f"{SF_SMALL}/pages.parquet").num_rows
