@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import behavior_label, value_sort_key
@@ -179,13 +179,24 @@ def log_frequency(df: DataFrame) -> DataFrame:
                     .withColumn("log10_users", F.log10(F.col("n_users").cast("double"))))
 
 
+def _level_sets(df: DataFrame, features, *others, aggs) -> DataFrame:
+    """(feature, level, *others, *aggs): groups of every feature with
+    ``others`` as GROUPING SETS of one aggregate over one scan; null levels
+    are left out."""
+    names = list(dict.fromkeys(features))
+    rest = [F.col(c) for c in others]
+    marks = [F.grouping(f).alias(f"_g_{f}") for f in names]
+    g = df.groupingSets([[F.col(f), *rest] for f in names], *[F.col(f) for f in names], *rest).agg(*marks, *aggs)
+    mine = [F.col(f"_g_{f}") == 0 for f in names]
+    feature = F.coalesce(*[F.when(m, F.lit(f)) for m, f in zip(mine, names)])
+    level = F.coalesce(*[F.when(m, F.col(f).cast("string")) for m, f in zip(mine, names)])
+    kept = [c for c in g.columns if c not in names and not c.startswith("_g_") and c not in others]
+    return g.select(feature.alias("feature"), level.alias("level"), *others, *kept).where(F.col("level").isNotNull())
+
+
 def users_per_level(df: DataFrame, features) -> DataFrame:
-    """Distinct users per level of each feature, long form."""
-    parts = [df.where(F.col(f).isNotNull()).groupBy(f)
-               .agg(F.count_distinct("user_id").alias("n_users"))
-               .select(F.lit(f).alias("feature"), F.col(f).cast("string").alias("level"), "n_users")
-             for f in features]
-    return reduce(DataFrame.unionByName, parts)
+    """Distinct users per level of each feature, long form, from one scan."""
+    return _level_sets(df, features, aggs=[F.count_distinct("user_id").alias("n_users")])
 
 
 def user_outcomes(df: DataFrame) -> DataFrame:
@@ -243,16 +254,12 @@ def outcome_pivot(df: DataFrame, f1: str, f2: str, outcome_type: str = "click_ra
 def outcome_batch(df: DataFrame, features, outcomes=OUTCOMES, against: str = "campaign_id",
                   min_sessions: int = 0) -> DataFrame:
     """Row 64 for every (outcome, feature) against ``against``, as one long
-    table from one scan: rows are unpivoted to (feature, level) and grouped
-    once; the outcomes are three columns of that one aggregate."""
-    d = df.where(F.col(TARGET).isNotNull() & F.col(against).isNotNull())
-    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("level"))
-                                for f in features])).alias("cell")
-    long = d.select(against, TARGET, cells).select(against, TARGET, "cell.*").where(F.col("level").isNotNull())
-    g = (long.groupBy("feature", "level", against)
-             .agg(F.avg(TARGET).alias("click_rate"), F.sum(TARGET).cast("double").alias("click_num"),
-                  F.count(TARGET).alias("sessions_number"))
-             .where(F.col("sessions_number") >= min_sessions))
+    table from one scan: the features are grouping sets of one aggregate and
+    the outcomes are three of its columns."""
+    d = df.where(F.col(TARGET).isNotNull() & F.col(against).isNotNull()).select(*dict.fromkeys(features), against, TARGET)
+    g = _level_sets(d, features, against, aggs=[
+        F.avg(TARGET).alias("click_rate"), F.sum(TARGET).cast("double").alias("click_num"),
+        F.count(TARGET).alias("sessions_number")]).where(F.col("sessions_number") >= min_sessions)
     vals = {"click_rate": "click_rate", "click_num": "click_num",
             "sessions_num": "CAST(sessions_number AS DOUBLE)"}
     stack = ", ".join(f"'{o}', {vals[o]}" for o in outcomes)
@@ -260,6 +267,21 @@ def outcome_batch(df: DataFrame, features, outcomes=OUTCOMES, against: str = "ca
                         against, "sessions_number")
 
 
+def outcome_batch_top(batch: DataFrame, n: int = 10, against: str = "campaign_id") -> DataFrame:
+    """The ``n`` best groups of every (outcome, feature), with ``rank`` from 1;
+    ties by level, then ``against``. The limit on the rank cuts each task's
+    groups to ``n`` rows before the shuffle."""
+    best = Window.partitionBy("outcome", "feature").orderBy(F.desc("value"), F.asc("level"), F.asc(against))
+    return batch.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("long"))
+
+
+def outcome_batch_pivot(batch: DataFrame, against: str = "campaign_id", values=None) -> DataFrame:
+    """Every (outcome, feature, level) as a row, the levels of ``against`` as
+    columns, empty -> 0. ``values`` fixes the columns (skips a distinct job)."""
+    p = batch.groupBy("outcome", "feature", "level").pivot(against, values).agg(F.first("value"))
+    return p.fillna(0)
+
+
 def top_groups(df: DataFrame, by: str, n: int = 10, tie_keys=()) -> DataFrame:
     """The ``n`` best groups by ``by`` (TakeOrderedAndProject: top-n per task)."""
     return df.orderBy(F.desc(by), *[F.asc(k) for k in tie_keys]).limit(n)

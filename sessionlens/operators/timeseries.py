@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.scalars import wall_micros
 from sessionlens.schema import TARGET
 
 
-def _calendar(df: DataFrame, unit: str, ts: str = "DateTime") -> DataFrame:
-    """Every ``unit`` ('hour' / 'day') from the first to the last one in the
-    data. The bounds are one aggregate row; the calendar is as long as the
-    time span, not the data."""
+def _with_gaps(agg: DataFrame, unit: str) -> DataFrame:
+    """A table by period with a row of 0 for every ``unit`` ('hour' / 'day')
+    missing between its first and its last. Each row writes the empty periods
+    up to the next one, so the data are scanned once and nothing is joined.
+    The window holds the table by period alone: a row per hour of the time
+    span at most, whatever the number of sessions."""
     step = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY"}[unit]
-    b = df.agg(F.min(_trunc(df, unit, ts)).alias("lo"), F.max(_trunc(df, unit, ts)).alias("hi"))
-    return b.select(F.explode(F.expr(f"sequence(lo, hi, {step})")).alias("period"))
+    d = agg.withColumn("_next", F.lead("period").over(Window.orderBy("period"))).withColumn("_at", F.expr(
+        f"explode(sequence(period, coalesce(_next - {step}, period), {step}))"))
+    own = lambda c: F.when(F.col("_at") == F.col("period"), F.col(c)).otherwise(F.lit(0)).alias(c)
+    return d.select(F.col("_at").alias("period"), own("sessions"), own("clicks"))
 
 
 def _trunc(df: DataFrame, unit: str, ts: str):
@@ -32,21 +36,15 @@ def _by_period(df: DataFrame, unit: str, ts: str) -> DataFrame:
 def hourly_ctr(df: DataFrame, ts: str = "DateTime") -> DataFrame:
     """Sessions, clicks and CTR per hour; hours without data are rows with
     0 sessions, 0 clicks and a null CTR."""
-    d = df.where(F.col(ts).isNotNull() & F.col(TARGET).isNotNull())
-    agg = _by_period(d, "hour", ts)
-    return (_calendar(d, "hour", ts).join(agg, "period", "left")
-            .select("period", F.coalesce("sessions", F.lit(0)).alias("sessions"),
-                    F.coalesce("clicks", F.lit(0)).alias("clicks"),
-                    F.try_divide(F.col("clicks").cast("double"), F.col("sessions")).alias("ctr")))
+    return _with_gaps(_by_period(df, "hour", ts), "hour").withColumn(
+        "ctr", F.try_divide(F.col("clicks").cast("double"), F.col("sessions")))
 
 
 def daily_ctr(df: DataFrame, ts: str = "DateTime") -> DataFrame:
     """Mean click per day; a day without data is 0."""
-    d = df.where(F.col(ts).isNotNull() & F.col(TARGET).isNotNull())
-    agg = _by_period(d, "day", ts)
-    return (_calendar(d, "day", ts).join(agg, "period", "left")
-            .select(F.to_date("period").alias("day"),
-                    F.coalesce(F.col("clicks") / F.col("sessions"), F.lit(0.0)).alias("ctr")))
+    return _with_gaps(_by_period(df, "day", ts), "day").select(
+        F.to_date("period").alias("day"),
+        F.coalesce(F.try_divide(F.col("clicks").cast("double"), F.col("sessions")), F.lit(0.0)).alias("ctr"))
 
 
 def monthly_ctr(df: DataFrame, ts: str = "DateTime") -> DataFrame:

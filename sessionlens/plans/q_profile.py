@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sessionlens.operators import cleaning, profile
+from sessionlens.operators import cleaning, profile, sketches
 from sessionlens.plans.registry import narrow, register, wide
 
 DEMOGRAPHICS = ["gender", "age_level", "user_group_id", "user_depth", "city_development_index"]
@@ -181,6 +181,32 @@ def q_users_per_level(spark, sf_dir):
     return profile.users_per_level(narrow(spark, sf_dir), _LEVEL_FEATURES)
 
 
+@register("users_per_level_sketch", sql=" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS level, count(DISTINCT user_id) AS n_users, true AS within "
+    f"FROM narrow WHERE {f} IS NOT NULL GROUP BY {f}" for f in _LEVEL_FEATURES))
+def q_users_per_level_sketch(spark, sf_dir):
+    """Exact users per level, and whether the union of the days' sketches
+    keeps to its error bound."""
+    d = narrow(spark, sf_dir)
+    estimated = sketches.distinct(
+        sketches.merged(sketches.level_sketches(d, _LEVEL_FEATURES), "feature", "level"), "estimate")
+    exact = profile.users_per_level(d, _LEVEL_FEATURES)
+    return exact.join(estimated, ["feature", "level"], "left").select(
+        "feature", "level", "n_users", sketches.within("estimate", "n_users").alias("within"))
+
+
+@register("column_levels_sketch", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT \"{c}\") AS n_distinct, true AS within FROM wide" for c in _LEVEL_COLS))
+def q_column_levels_sketch(spark, sf_dir):
+    """Exact distinct values per column, and whether the union of the days'
+    sketches keeps to its error bound."""
+    d = wide(spark, sf_dir)
+    estimated = sketches.distinct(sketches.merged(sketches.column_sketches(d, _LEVEL_COLS), "column_name"), "estimate")
+    exact = profile.column_levels(d, _LEVEL_COLS).select("column_name", "n_distinct")
+    return exact.join(estimated, "column_name", "left").select(
+        "column_name", "n_distinct", sketches.within("estimate", "n_distinct").alias("within"))
+
+
 _USER_OUT = """SELECT user_id, count(session_id) AS sessions_num, avg(is_click) AS click_rate,
   CAST(sum(is_click) AS BIGINT) AS click_num, CASE WHEN avg(is_click) > 0 THEN 1 ELSE 0 END AS any_click
   FROM narrow GROUP BY user_id"""
@@ -217,17 +243,40 @@ def q_outcome_pivot(spark, sf_dir):
 _BATCH_FEATURES = ["product_category_1", "product_category_2", "product_cat_comb"]
 
 
-@register("outcome_batch", sql=f", {COMB_SQL.split('grp AS')[0].rstrip().rstrip(',')} " + " UNION ALL ".join(
+_COMB_ONLY = f", {COMB_SQL.split('grp AS')[0].rstrip().rstrip(',')} "
+_BATCH_SQL = " UNION ALL ".join(
     f"""SELECT '{o}' AS outcome, '{f}' AS feature, CAST({f} AS VARCHAR) AS level, campaign_id,
         CAST({ {'click_rate': 'avg(is_click)', 'click_num': 'sum(is_click)', 'sessions_num': 'count(is_click)'}[o] } AS DOUBLE) AS value,
         count(is_click) AS sessions_number
       FROM comb WHERE is_click IS NOT NULL AND {f} IS NOT NULL AND campaign_id IS NOT NULL
       GROUP BY {f}, campaign_id HAVING count(is_click) >= 20"""
-    for f in _BATCH_FEATURES for o in ("click_rate", "click_num", "sessions_num")))
-def q_outcome_batch(spark, sf_dir):
+    for f in _BATCH_FEATURES for o in ("click_rate", "click_num", "sessions_num"))
+
+
+def _batch(spark, sf_dir):
     return profile.outcome_batch(_comb(spark, sf_dir), _BATCH_FEATURES, min_sessions=20)
 
 
+@register("outcome_batch", sql=_COMB_ONLY + _BATCH_SQL)
+def q_outcome_batch(spark, sf_dir):
+    return _batch(spark, sf_dir)
+
+
+@register("outcome_batch_top", sql=_COMB_ONLY + f""", batch AS ({_BATCH_SQL})
+  SELECT *, row_number() OVER (PARTITION BY outcome, feature ORDER BY value DESC, level, campaign_id) AS rank
+  FROM batch QUALIFY rank <= 10""")
+def q_outcome_batch_top(spark, sf_dir):
+    return profile.outcome_batch_top(_batch(spark, sf_dir))
+
+
+@register("outcome_batch_pivot", sql=_COMB_ONLY + f""", batch AS ({_BATCH_SQL})
+  SELECT outcome, feature, level,
+    {", ".join(f'coalesce(max(value) FILTER (WHERE campaign_id = {i}), 0) AS "{i}"' for i in range(10))}
+  FROM batch GROUP BY outcome, feature, level""")
+def q_outcome_batch_pivot(spark, sf_dir):
+    return profile.outcome_batch_pivot(_batch(spark, sf_dir), values=list(range(10)))
+
+
 @register("group_quantiles", sql=f""", {COMB_SQL.split('grp AS')[0].rstrip().rstrip(',')}
   , sizes AS (SELECT count(is_click) AS n FROM comb WHERE product_cat_comb IS NOT NULL
               AND campaign_id IS NOT NULL AND is_click IS NOT NULL GROUP BY product_cat_comb, campaign_id)
