@@ -121,20 +121,18 @@ FROM m"""
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in TEMPLATES.items())
 
 
-def _bigrams(text: str) -> str:
-    words = f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
-    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
-
+WORDS_OF = "regexp_extract_all(lower({}), '[a-z0-9]+')"
+BIGRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
 
 LICENSE_SCAN = rf"""
-WITH tpl AS (SELECT name, {_bigrams('body')} AS g FROM (VALUES {_TEMPLATES}) t(name, body)),
+WITH tpl AS (
+  SELECT name, {BIGRAMS} AS g FROM (SELECT name, {WORDS_OF.format('body')} AS w FROM (VALUES {_TEMPLATES}) t(name, body))),
 part AS (
   SELECT DISTINCT doc_id, p FROM (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS p FROM documents
     UNION ALL
     SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\n[ \t\r]*\n')) AS p FROM documents)),
-sized AS (SELECT doc_id, p FROM part WHERE len(regexp_extract_all(lower(p), '[a-z0-9]+')) BETWEEN 2 AND 400),
-gram AS (SELECT doc_id, {_bigrams('p')} AS g FROM sized),
+gram AS (SELECT doc_id, {BIGRAMS} AS g FROM (SELECT doc_id, {WORDS_OF.format('p')} AS w FROM part) WHERE len(w) >= 2),
 found AS (
   SELECT DISTINCT doc_id, name, 2.0 * len(list_intersect(gram.g, tpl.g)) / (len(gram.g) + len(tpl.g)) AS dice
   FROM gram, tpl),
