@@ -122,6 +122,16 @@ def test_ffill_bfill_across_chunks(spark):
     assert got == [3, 3, 3, 3, 3, 3, 7, 7]
 
 
+def test_fills_scan_each_row_once(spark, capsys):
+    """A frame that ends with its partition is scanned anew for every row."""
+    df = spark.createDataFrame([(0, None, 1), (1, 5, 1), (2, None, 1)], "row_ord long, v long, k long")
+    for keys, want in ((None, [5, 5, 5]), (["k"], [5, 5, 5])):
+        filled = impute.ffill_bfill(df, "v", partition_cols=keys)
+        assert [r.v for r in filled.orderBy("row_ord").collect()] == want
+        filled.explain()
+        assert "unboundedfollowing" not in capsys.readouterr().out.lower()
+
+
 def test_drop_duplicates_keeps_first(spark):
     df = spark.createDataFrame([(0, "a", None), (1, "a", None), (2, "b", 1)], "row_ord long, x string, y long")
     assert sorted(r.row_ord for r in cleaning.drop_duplicates(df).collect()) == [0, 2]
