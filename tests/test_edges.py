@@ -246,3 +246,12 @@ def test_wall_micros_exact_across_dst_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     want = [calendar.timegm(w.timetuple()) * 1_000_000 + w.microsecond for w in walls]
     assert got == want
+
+
+def test_feature_plan_parses_the_input_once(spark, capsys):
+    """The joins read stored columns, not the session view again."""
+    from conftest import SF_SMALL
+    from sessionlens.plans.q_features import feature_input
+    features.prepare_features(feature_input(spark, SF_SMALL)).explain()
+    plan = capsys.readouterr().out
+    assert "_nu_prod_ut" in plan and "get_json_object" not in plan
