@@ -74,6 +74,33 @@ def test_hot_category_is_spread_over_tasks(spark):
     assert enc.ordered(df).count() == 4000
 
 
+@pytest.mark.parametrize("at_once", ["7", "10000"])
+def test_spans_and_scans_agree(spark, monkeypatch, at_once):
+    """Columns of few levels take no unpivoted scan; repeated and null ids
+    come out as they do from the scan."""
+    from sessionlens.operators import target_stats
+    rows = _rows() + _rows(40) + [(None, "hot", 1, 1)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", at_once)
+    try:
+        scan = target_stats.keyed_scan
+        monkeypatch.setattr(target_stats, "keyed_scan", lambda *a, **kw: pytest.fail("unpivoted"))
+        counted = sorted(map(tuple, _encoder().ordered(_frame(spark, rows)).collect()), key=repr)
+        monkeypatch.setattr(target_stats, "keyed_scan", scan)
+        monkeypatch.setattr(target_stats, "SPAN_COUNTS", 0)
+        assert counted == sorted(map(tuple, _encoder().ordered(_frame(spark, rows)).collect()), key=repr)
+        assert len(counted) == 340
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_few_levels_are_looked_up_without_joins(spark, capsys):
+    from sessionlens.operators import encode
+    df = _frame(spark, _rows())
+    _encoder().fit(df).transform(df).explain()
+    encode.one_hot_pipeline(["color"]).fit(df).transform(df).explain()
+    assert "Join" not in capsys.readouterr().out
+
+
 def test_empty_training_frame_encodes_to_nothing(spark):
     enc = _encoder()
     model, rows = enc.fit_ordered(_frame(spark, []))
