@@ -76,17 +76,23 @@ class WordIds:
         ids = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in SIGNS}
         self.sign = next((c for c in SIGNS if len(ids[c]) == 1), None)
         self.sign_id = ids[self.sign][0] if self.sign else None
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known()
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.known) > self.limit:
             self.known.clear()
-        look = self.known.get
+        look, new = self.known.__getitem__, self.known.new
         split = [t.split() for t in texts]
-        ids = [list(map(look, words)) for words in split]
-        gaps = [[i for i, x in enumerate(found) if x is None] if None in found else [] for found in ids]
-        self._learn(list({words[i] for words, gap in zip(split, gaps) for i in gap}))
+        ids, gaps = [], []
+        for words in split:
+            had = len(new)
+            found = list(map(look, words))
+            ids.append(found)
+            # "None in found" would cost as much as the look-ups
+            gaps.append([i for i, x in enumerate(found) if x is None] if len(new) > had else [])
+        self._learn(list(dict.fromkeys(new)))
+        new.clear()
         for words, found, gap in zip(split, ids, gaps):
             for i in gap:
                 found[i] = look(words[i])
@@ -113,6 +119,17 @@ class WordIds:
             self.known[w.encode()] = np.array(e.ids, "<u4").tobytes()
 
 
+class _Known(dict):
+    """Ids by word; looking up a word without ids notes it in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> None:
+        self.new.append(word)
+
+
 @lru_cache(4)
 def _word_ids(path: str) -> WordIds:
     return WordIds(path)

@@ -627,3 +627,15 @@ def test_op10_query(spark):
             assert r.status == ("corrupt" if n % 53 == 0 else "moved" if lost else "intact")
             assert (r.found, r["shift"]) == (1, -lost)
     assert len(rows) == pq.read_table(f"{SF_SMALL}/pages.parquet").num_rows
+
+
+def test_word_ids_note_new_words_as_they_are_looked_up():
+    from tokenizers import Tokenizer
+
+    from sessionlens.llm import packing
+    words = packing.WordIds(packing.vocabulary_path(), limit=3)
+    tok = Tokenizer.from_file(packing.vocabulary_path())
+    for texts in (["a few words", "", "few words more"], ["words a few", "ÅÄ ★ x★y"], ["more again", "a  few\nwords"]):
+        got = words.texts([t.encode() for t in texts])
+        assert got == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert words.known.new == []
