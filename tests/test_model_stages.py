@@ -189,3 +189,47 @@ def test_evaluator_is_a_stage(spark, train):
     assert search.ClickScoreEvaluator.load(path).evaluate(df) == pytest.approx(0.0)
     with pytest.raises(ValueError):
         search.ClickScoreEvaluator("nope", scoreCol="s").evaluate(df)
+
+
+def test_scores_are_computed_once_for_their_rank(spark):
+    """The filter of the metric lies above stored scores, not above the model."""
+    from sessionlens.plans import q_models
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        seen.add(1)
+        return float(x)
+
+    df = spark.range(500, numPartitions=4).withColumn("is_click", (F.col("id") % 3 == 0).cast("int"))
+    scored = df.withColumn("p", F.udf(score, "double")("id"))
+    assert q_models._ranks(scored, F.col("p")).collect()[0][0] in (True, False)
+    assert seen.value == 500
+
+
+def test_encoding_carries_only_what_classifiers_read(spark, train):
+    clf = models.base_pipeline(models.model_choice("decision_tree", maxDepth=3), validation_col="is_validation")
+    stages, rows = clf.encode(train)
+    assert set(rows.columns) == {"row_ord", "is_click", "is_validation", "features", *models.BASE_NUMERIC, *stages[0].getOutputCols()}
+    assert rows.count() == train.count()
+    enc, _ = clf.stages()
+    whole = {r.row_ord: r for r in enc.ordered(train.where("NOT is_validation")).collect()}
+    got = rows.where("NOT is_validation").collect()
+    assert len(got) == len(whole) and all(r[c] == whole[r.row_ord][c] for r in got for c in enc.getOutputCols())
+
+
+def test_full_scores_of_training_rows_in_one_pass(spark, train):
+    """Without other rows, the training rows are scored once for both uses."""
+    from sessionlens.plans import q_models
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        seen.add(1)
+        return (x % 10) / 10
+
+    class Model:
+        def transform(self, df):
+            p = F.udf(score, "double")("row_ord")
+            return df.withColumn("y_pred_prob", p).withColumn("prediction", (F.col("y_pred_prob") > 0.5).cast("int"))
+
+    out = q_models._stacked_scores(Model(), train).collect()
+    assert len(out) == train.count() == seen.value and all(r.in_range and r.is_label for r in out)
