@@ -233,21 +233,22 @@ def cells(classes: DataFrame, percent: int) -> DataFrame:
     live = seldom.withColumn("n", held).filter("n > 1").drop("n").unionByName(often)
     # a linked set is no smaller than `least`, so both prefixes share its `spare` tokens or more
     least = F.expr(f"({percent} * size + 99) div 100")
-    enough = live.groupBy("key").agg(F.count("*").alias("n"), F.first("size").alias("size")).filter(
-        F.col("n") >= F.floor(least * (100 - percent) / 400) + 1).select("key")
-    live = live.filter(F.col("place") <= F.col("size") - least).drop("place").join(enough, "key")
+    shared = F.count("*").over(Window.partitionBy("key"))
+    live = live.withColumn("n", shared).filter(
+        (F.col("n") >= F.floor(least * (100 - percent) / 400) + 1) & (F.col("place") <= F.col("size") - least))
     # a little wider than the threshold, so that rounding parts no pair
     width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
     own = F.floor(F.log(F.col("size").cast("double")) / width).cast("int")
-    live = live.withColumn("own", own).withColumn("band", F.explode(F.array("own", F.col("own") + 1)))
-    cell = live.groupBy("token", "band").agg(
+    # narrow rows, dealt out before the cells' wide buffers are made: cells and members read what leads here once
+    live = live.select("key", "size", "token", F.explode(F.array(own, own + 1)).alias("band")).repartition("token", "band")
+    cell = live.withColumn("own", own).groupBy("token", "band").agg(
         F.count("*").alias("held"), F.max("own").alias("top"), F.min(F.struct("key", "size")).alias("leader"),
         F.min(F.struct(F.xxhash64("key", "token").alias("h"), "key", "size")).alias("picked"), F.bit_xor(F.xxhash64("key")).alias("who"))
     # cells of the band below alone were whole in that band
     cell = cell.filter("held > 1 AND top = band").drop("top")
     kept = cell.groupBy("band", "held", "leader", "who").agg(F.min(F.struct("token", "picked")).alias("m")).select(
         "band", "held", "leader", "m.token", "m.picked")
-    return live.drop("own").join(kept, ["token", "band"])
+    return live.join(kept, ["token", "band"])
 
 
 def _reaches(overlap, size_a, size_b, percent: int):

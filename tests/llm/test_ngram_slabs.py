@@ -87,3 +87,21 @@ def test_both_ways_of_fetching_texts(spark, monkeypatch):
     for most in (1 << 19, 0):  # pairs sent to the texts, and shuffled
         monkeypatch.setattr(ngram_join.verify, "__defaults__", (most,))
         assert sorted(map(tuple, ngram_join.join_classes(docs, 3, 80, block_points=8).collect()), key=repr) == exp
+
+
+def test_prefix_tokens_are_dealt_out_once(spark):
+    """Cells and their members come from one pass over the prefixes: a scan
+    for the tokens of the sample, and one for the others."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(_near_copies(40, 60, 5, 3), SCHEMA)
+    classes = ngram_join._classes(docs, 3, 80, 1000)
+    n = classes.count()
+    narrow = classes.select("key", "size", "prefix", "common")
+    members = cut_lineage(ngram_join.cells(narrow.mapInArrow(counted, narrow.schema), 80))
+    assert members.count() > 0 and n <= seen.value <= 2 * n
