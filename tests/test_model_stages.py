@@ -233,3 +233,14 @@ def test_full_scores_of_training_rows_in_one_pass(spark, train):
 
     out = q_models._stacked_scores(Model(), train).collect()
     assert len(out) == train.count() == seen.value and all(r.in_range and r.is_label for r in out)
+
+
+def test_features_are_written_once(spark, monkeypatch):
+    """The holdout split is told as rows are read, not written with every feature again."""
+    monkeypatch.setattr(q_models, "_shared", {})
+    written, stored = [], q_models.stored
+    monkeypatch.setattr(q_models, "stored", lambda df, name: written.append(name) or stored(df, name))
+    rows = q_models.feature_table(spark, SF_SMALL)
+    assert written == ["features"]
+    n, n_test = rows.count(), rows.where("split = 'test'").count()
+    assert n == wide(spark, SF_SMALL).count() and n_test == -(-n // 5)
