@@ -240,7 +240,8 @@ def cells(classes: DataFrame, percent: int) -> DataFrame:
     width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
     own = F.floor(F.log(F.col("size").cast("double")) / width).cast("int")
     # narrow rows, dealt out before the cells' wide buffers are made: cells and members read what leads here once
-    live = live.select("key", "size", "token", F.explode(F.array(own, own + 1)).alias("band")).repartition("token", "band")
+    live = live.select("key", "size", "token", F.explode(F.array(own, own + 1)).alias("band"))
+    live = live.filter("token IS NOT NULL AND band IS NOT NULL").repartition("token", "band")  # the join's filter: one shuffle for both
     cell = live.withColumn("own", own).groupBy("token", "band").agg(
         F.count("*").alias("held"), F.max("own").alias("top"), F.min(F.struct("key", "size")).alias("leader"),
         F.min(F.struct(F.xxhash64("key", "token").alias("h"), "key", "size")).alias("picked"), F.bit_xor(F.xxhash64("key")).alias("who"))
@@ -303,8 +304,8 @@ def slabs(members: DataFrame, classes: DataFrame, block_points: int, slab_weight
         "key", "component", "band", F.struct("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                                              "mine").alias("cell"))
     facts = classes.select("key", "size", "fine")
-    weight = F.sum(1 + F.octet_length("fine") / 1024)
-    bands = rows.join(facts, "key").groupBy("band").agg(F.ceil(weight / slab_weight).alias("n"))
+    weights = classes.select("key", (1 + F.octet_length("fine") / 1024).alias("weight"))  # the points stay where they are
+    bands = rows.join(weights, "key").groupBy("band").agg(F.ceil(F.sum("weight") / slab_weight).alias("n"))
     part = F.pmod(F.xxhash64("cell.token", "cell.i", "cell.j"), F.col("n"))
     rows = rows.join(F.broadcast(bands), "band").withColumn("slab", F.struct("band", part.alias("part")))  # a row a band
     once = rows.groupBy("key", "slab").agg(F.first("component").alias("component"), F.collect_list("cell").alias("cells"))
