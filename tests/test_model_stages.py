@@ -244,3 +244,14 @@ def test_features_are_written_once(spark, monkeypatch):
     assert written == ["features"]
     n, n_test = rows.count(), rows.where("split = 'test'").count()
     assert n == wide(spark, SF_SMALL).count() and n_test == -(-n // 5)
+
+
+def test_forests_keep_the_rows_nodes(train):
+    """Without them every row walks down every tree again in each pass; the trees are the same."""
+    forest = models.model_choice("random_forest", **SMALL)
+    assert forest.getCacheNodeIds() and models.meta_model(**SMALL).getCacheNodeIds()
+    clf = models.base_pipeline(forest)
+    stages, rows = clf.encode(train.drop("is_validation"))
+    a, b = (models.base_pipeline(f).fit_encoded(stages, rows).stages[-1].toDebugString.split("\n", 1)[1]
+            for f in (forest, forest.copy().setCacheNodeIds(False)))
+    assert a == b
