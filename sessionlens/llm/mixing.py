@@ -177,7 +177,8 @@ def slots(spark, due: Due, shard_slots: int = SHARD_SLOTS) -> DataFrame:
 
     numbered = keyed_scan(counts, "no", ["shard"], sum_cols=["drawn"]).select(
         "shard", "no", "drawn", "before", "shard_n", F.col("_sum_drawn").cast("long").alias("first"))
-    return numbered.mapInArrow(expand, "shard long, place long, no long, block long, turn long")
+    # Spark takes this for as small as the counts and would broadcast it; it has a row for each slot
+    return numbered.mapInArrow(expand, "shard long, place long, no long, block long, turn long").hint("merge")
 
 
 # -- blocks -----------------------------------------------------------------------------

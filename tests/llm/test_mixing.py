@@ -119,3 +119,12 @@ def test_empty(spark):
 def test_query(spark):
     docs = table(spark, SF_SMALL, "documents").select("doc_id", "text", "source").collect()
     check([tuple(r) for r in docs], E.queries()["op13_source_mix"](spark, SF_SMALL).collect(), mixing.BLOCK_WORDS)
+
+
+def test_slots_meet_the_blocks_in_a_shuffle(spark, rows, capsys):
+    """The slots grow with the texts, which Spark's estimate does not see: broadcast, they would go through the driver."""
+    df = frame(spark, rows)
+    for out in (mixing.shares(df, block_words=16), mixing.mix(df, block_words=16)):
+        capsys.readouterr()
+        out.explain()
+        assert re.findall(r"(\w+Join) \[no#\w+, block#\w+\]", capsys.readouterr().out) == ["SortMergeJoin"]
