@@ -255,3 +255,11 @@ def test_forests_keep_the_rows_nodes(train):
     a, b = (models.base_pipeline(f).fit_encoded(stages, rows).stages[-1].toDebugString.split("\n", 1)[1]
             for f in (forest, forest.copy().setCacheNodeIds(False)))
     assert a == b
+
+
+def test_the_meta_model_has_the_whole_forest(spark, train, monkeypatch):
+    asked, forest = [], models.meta_model
+    monkeypatch.setattr(models, "meta_model", lambda **p: asked.append(forest(**p)) or forest(**{**p, **SMALL}))
+    monkeypatch.setattr(q_models, "_shared", {k: v for k, v in q_models._shared.items() if not k[2].startswith("stacked")})
+    q_models.q_meta_model(spark, SF_SMALL)
+    assert [(f.getNumTrees(), f.getMaxDepth()) for f in asked] == [(500, 10)]
