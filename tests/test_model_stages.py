@@ -263,3 +263,26 @@ def test_the_meta_model_has_the_whole_forest(spark, train, monkeypatch):
     monkeypatch.setattr(q_models, "_shared", {k: v for k, v in q_models._shared.items() if not k[2].startswith("stacked")})
     q_models.q_meta_model(spark, SF_SMALL)
     assert [(f.getNumTrees(), f.getMaxDepth()) for f in asked] == [(500, 10)]
+
+
+def test_the_search_query_has_all_draws_and_rounds(spark, train, monkeypatch):
+    asked, halving = [], search.halving_search
+
+    def few(fit, val, out, n_draws=9, **kw):
+        asked.append((n_draws, max(search._rungs(kw.get("first_rounds", 5), kw.get("max_rounds", 1500), 3))))
+        return halving(fit, val, out, {"maxDepth": [2]}, n_draws=2, metric="auc", first_rounds=1, max_rounds=1)
+
+    monkeypatch.setattr(search, "halving_search", few)
+    assert len(q_models.q_param_search(spark, SF_SMALL).collect()) == 2 and asked == [(100, 1500)]
+
+
+def test_ended_boosting_is_not_fitted_again(spark, train, monkeypatch):
+    """More rounds would grow the same trees; every rung has the row all the same."""
+    fit, val = (train.where(c).drop("is_validation") for c in ("NOT is_validation", "is_validation"))
+    fitted, real = [], models.BaseClassifier.fit_encoded
+    monkeypatch.setattr(models.BaseClassifier, "fit_encoded", lambda self, *a: fitted.append(self.estimator.getMaxIter()) or real(self, *a))
+    space = {"maxDepth": [2], "minInstancesPerNode": [100000]}  # no split: the second tree gains nothing
+    _, results = search.halving_search(fit, val, scratch_path(spark, "search"), space, n_draws=9, first_rounds=3, max_rounds=9)
+    rows = results.collect()
+    assert fitted == [3] * 9 and [(r.rung, r.rounds, r.grown) for r in rows] == [(0, 3, 1)] * 9 + [(1, 9, 1)] * 3
+    assert len({r.path for r in rows}) == 9 and all(spark.read.parquet(r.path).count() == val.count() for r in rows[-1:])
